@@ -9,11 +9,11 @@ Bayardo et al., WWW 2007, and Anastasiu & Karypis, ICDE 2014):
 2. Each query profile looks at the strongest few postings of its heaviest
    ingredients. The exact score of its n-th best such candidate is a floor that
    the final answer cannot fall below.
-3. Ingredients are ordered rare to common. At a shared ingredient, whatever
-   score is still to come is at most the product of the two remaining norms, so
-   a pair is formed there only if that product reaches the query's floor. Common
-   ingredients carry little of most vectors' norm, hence their long posting
-   lists are hardly ever opened.
+3. Ingredients are ordered rare to common. The few postings of a rare one are
+   always met. At a common one, whatever score is still to come is at most the
+   product of the two remaining norms, so a pair is formed there only if that
+   product reaches the query's floor. Common ingredients carry little of most
+   vectors' norm, hence their long posting lists are hardly ever opened.
 4. Surviving pairs get their exact score; the top n are ranked per product.
 
 No candidate is sampled or capped: a pair is left out only when its bound proves
@@ -37,9 +37,13 @@ NORM_EPSILON = 1e-10
 
 #: Slack that keeps rounding in the bounds from dropping a pair exactly at them.
 SLACK = 1e-9
-#: Heaviest ingredients per query that are looked up for the floor.
-LEAD_INGREDIENTS = 4
-#: Posting lists longer than this are cut into norm bands.
+#: Share of the squared norm that makes an ingredient one of the (at most ten)
+#: looked up for the floor.
+LEAD_SHARE = 0.1
+#: Posting lists up to this length are opened by every query; longer ones only by
+#: the queries whose bound asks for it.
+SHORT_LIST = 32
+#: Posting lists longer than this are cut into bands of the remaining norm.
 BANDED_LENGTH = 256
 BANDS = 32
 
@@ -62,10 +66,11 @@ class Vectors:
     ``members``: side, profile, product_id, brand.
 
     ``u`` is the unit-normalised weight, ``postings`` the number of match profiles
-    with the ingredient. With a profile's ingredients ordered rare to common, ``head``
-    is the norm from this ingredient on and ``tail`` the norm after it. ``lead`` marks
-    the ingredients looked up for the floor: the heaviest and the most common one, so
-    that a floor is found wherever any list holds enough answers.
+    with the ingredient. With a profile's ingredients ordered rare to common, ``tail``
+    is the norm after this ingredient, counting long lists only, and ``head`` the same
+    with this ingredient. ``lead`` marks the ingredients looked up for the floor: the
+    heaviest and the most common one, so that a floor is found wherever any list holds
+    enough answers.
     """
 
     features: DataFrame
@@ -93,10 +98,12 @@ def build_vectors(weighted: DataFrame, products: DataFrame) -> Vectors:
 
     Rows of weight zero (an ingredient of every product) add nothing and go first.
     """
-    live = weighted.filter(F.col("tfidf") > 0)
-    keyed = products.join(profile_keys(live), "product_id").select(
-        "product_id", "side", brand_key("brand").alias("brand"), "norm", "fingerprint"
-    )
+    live = materialise(
+        weighted.filter(F.col("tfidf") > 0).select("product_id", "ingredient", "tfidf"), "weights")
+    keyed = materialise(
+        products.join(profile_keys(live), "product_id").select(
+            "product_id", "side", brand_key("brand").alias("brand"), "norm", "fingerprint"),
+        "keyed")
     profiles = keyed.groupBy("side", "fingerprint").agg(
         F.min("product_id").alias("profile"),
         F.min("norm").alias("norm"),
@@ -117,16 +124,19 @@ def build_vectors(weighted: DataFrame, products: DataFrame) -> Vectors:
         F.count_if(F.col("side") == "match").alias("postings"),
         F.count_if(F.col("side") == "query").alias("probes"),
     ).filter("postings > 0 AND probes > 0").drop("probes")
-    common_first = W.partitionBy("profile").orderBy(F.desc("postings"), F.desc("ingredient"))
-    heavy_first = W.partitionBy("profile").orderBy(F.desc("u"), "ingredient")
+    common_first = (W.partitionBy("profile").orderBy(F.desc("postings"), F.desc("ingredient"))
+                    .rowsBetween(W.unboundedPreceding, -1))
     squares = F.col("u") * F.col("u")
+    guarded = F.when(F.col("postings") > SHORT_LIST, squares).otherwise(0.0)
     features = (
         rows.join(postings, "ingredient")
-        .withColumn("tail", F.sqrt(F.coalesce(
-            F.sum(squares).over(common_first.rowsBetween(W.unboundedPreceding, -1)), F.lit(0.0))))
-        .withColumn("head", F.sqrt(F.col("tail") * F.col("tail") + squares))
-        .withColumn("lead", (F.row_number().over(heavy_first) <= LEAD_INGREDIENTS)
-                    | (F.row_number().over(common_first) == 1))
+        .withColumn("after", F.coalesce(F.sum(guarded).over(common_first), F.lit(0.0)))
+        .select(
+            "side", "profile", "lead_brand", "ingredient", "postings", "u",
+            F.sqrt(F.col("after") + squares).alias("head"),
+            F.sqrt("after").alias("tail"),
+            ((squares >= LEAD_SHARE) | (F.col("after") == 0)).alias("lead"),
+        )
     )
     return Vectors(materialise(features, "features"), materialise(members, "members"))
 
@@ -206,9 +216,10 @@ def _band(norm: Column) -> Column:
     return F.floor(norm * BANDS).cast("int")
 
 
-def similar_pairs(features: DataFrame, floors: DataFrame | None = None,
-                  floor: float | None = None) -> DataFrame:
-    """a, b, floor, similarity of every profile pair that reaches its floor.
+def met_pairs(features: DataFrame, floors: DataFrame | None = None,
+              floor: float | None = None) -> DataFrame:
+    """a, b, floor, similarity so far, and the most that ``rest`` can still add, for
+    every profile pair that may reach its floor.
 
     ``floors`` holds a floor per query profile (missing = 0); ``floor`` is one for
     all. Long posting lists are split into bands of the remaining norm, and a query
@@ -221,45 +232,55 @@ def similar_pairs(features: DataFrame, floors: DataFrame | None = None,
         probes = fa.withColumn("floor", F.lit(float(floor)))
     else:
         probes = fa.join(floors, "a", "left").withColumn("floor", F.coalesce("floor", F.lit(0.0)))
-    long_list = F.col("postings") > BANDED_LENGTH
-    lowest = _band(F.greatest(F.lit(0.0), F.col("floor") / F.col("head_a") - SLACK))
+    short = F.col("postings") <= SHORT_LIST
+    banded = F.col("postings") > BANDED_LENGTH
+    needed = F.greatest(F.lit(0.0), F.col("floor") / F.col("head_a") - SLACK)
     probes = (
-        probes.filter(F.col("head_a") * (1 + SLACK) >= F.col("floor") - SLACK)
+        probes.filter(short | (F.col("head_a") * (1 + SLACK) >= F.col("floor") - SLACK))
         .withColumn("band", F.explode(F.when(
-            long_list, F.sequence(F.least(lowest, F.lit(BANDS)), F.lit(BANDS)),
+            banded, F.sequence(F.least(_band(needed), F.lit(BANDS)), F.lit(BANDS)),
         ).otherwise(F.array(F.lit(0)))))
-        .select("a", "ingredient", "band", "ua", "head_a", "tail_a", "floor")
+        .select("a", "ingredient", "band", "ua", "head_a", "tail_a", "floor", short.alias("short"))
     )
     postings = fb.withColumn(
-        "band", F.when(long_list, F.least(_band(F.col("head_b") + SLACK), F.lit(BANDS)))
-        .otherwise(0)
+        "band", F.when(banded, F.least(_band(F.col("head_b") + SLACK), F.lit(BANDS))).otherwise(0)
     ).select("b", "ingredient", "band", "ub", "head_b", "tail_b")
     met = (
         probes.join(postings, ["ingredient", "band"])
-        .filter(F.col("head_a") * F.col("head_b") >= F.col("floor") - SLACK)
+        .filter(F.col("short") | (F.col("head_a") * F.col("head_b") >= F.col("floor") - SLACK))
         .groupBy("a", "b")
         .agg(F.sum(F.col("ua") * F.col("ub")).alias("similarity"),
              F.min(F.col("tail_a") * F.col("tail_b")).alias("rest"),
              F.first("floor").alias("floor"))
         .filter(F.col("similarity") + F.col("rest") >= F.col("floor") - SLACK)
     )
-    # Nothing was left unmet when no norm remains, or when the floor shut no list.
-    settled = (F.col("rest") <= 0) | (F.col("floor") <= 0)
-    columns = ["a", "b", "floor", "similarity"]
-    rescored = exact_scores(met.filter(~settled).select("a", "b", "floor"), features)
+    return materialise(met, "met")
+
+
+def settle(met: DataFrame, features: DataFrame) -> DataFrame:
+    """Exact a, b, similarity of the pairs in ``met`` that do reach their floor."""
+    done = _complete()
+    rescored = exact_scores(met.filter(~done).select("a", "b", "floor"), features)
     return (
-        met.filter(settled).select(*columns)
-        .unionByName(rescored.select(*columns))
+        met.filter(done).select("a", "b", "floor", "similarity")
+        .unionByName(rescored)
         .filter(F.col("similarity") >= F.col("floor") - SLACK)
+        .select("a", "b", "similarity")
     )
 
 
+def _complete() -> Column:
+    """No norm remains unmet, or the floor shut no list."""
+    return (F.col("rest") <= 0) | (F.col("floor") <= 0)
+
+
 def cosine_pairs(weighted: DataFrame, products: DataFrame, floor: float) -> DataFrame:
     """All cross-source product pairs whose cosine is at least ``floor`` (> 0)."""
     if floor <= 0:
         raise ValueError("a positive floor is required: zero would list every pair")
     vectors = build_vectors(weighted, products)
-    pairs = similar_pairs(vectors.features, floor=floor).filter(F.col("similarity") >= floor)
+    met = met_pairs(vectors.features, floor=floor)
+    pairs = settle(met, vectors.features).filter(F.col("similarity") >= floor)
     query = vectors.members.filter(F.col("side") == "query").select(
         F.col("profile").alias("a"), F.col("product_id").alias("query_id"))
     match = vectors.members.filter(F.col("side") == "match").select(
@@ -283,9 +304,8 @@ def rank_matches(weighted: DataFrame, products: DataFrame, n: int = TOP_N,
     """
     vectors = build_vectors(weighted, products)
     floors = query_floors(vectors, n, ceiling)
-    pairs = similar_pairs(vectors.features, floors)
-    if pad_zero:
-        pairs = materialise(pairs, "pairs")
+    met = met_pairs(vectors.features, floors)
+    pairs = settle(met, vectors.features)
     reps = representatives(vectors.members, n)
 
     per_brand, overall = _ranked(["a"], n)
@@ -307,10 +327,10 @@ def rank_matches(weighted: DataFrame, products: DataFrame, n: int = TOP_N,
     if not pad_zero:
         return ranked
     ranked = materialise(ranked, "ranked")
-    return ranked.unionByName(_zero_padding(ranked, pairs, reps, vectors, products, n))
+    return ranked.unionByName(_zero_padding(ranked, met, reps, vectors, products, n))
 
 
-def _zero_padding(ranked: DataFrame, pairs: DataFrame, reps: DataFrame, vectors: Vectors,
+def _zero_padding(ranked: DataFrame, met: DataFrame, reps: DataFrame, vectors: Vectors,
                   products: DataFrame, n: int) -> DataFrame:
     """Rows of similarity 0 for products with fewer than n positive matches.
 
@@ -320,17 +340,17 @@ def _zero_padding(ranked: DataFrame, pairs: DataFrame, reps: DataFrame, vectors:
     each class reads one small table of exactly that length.
     """
     keyed = products.select("product_id", "side", brand_key("brand").alias("brand"))
-    met = ranked.groupBy("query_id").agg(F.count(F.lit(1)).cast("int").alias("have"))
+    ranks = ranked.groupBy("query_id").agg(F.count(F.lit(1)).cast("int").alias("have"))
     profile_of = vectors.members.filter(F.col("side") == "query").select(
         F.col("product_id").alias("query_id"), F.col("profile").alias("a"))
     short = (
         keyed.filter(F.col("side") == "query").select(F.col("product_id").alias("query_id"), "brand")
-        .join(met, "query_id", "left").withColumn("have", F.coalesce("have", F.lit(0)))
+        .join(ranks, "query_id", "left").withColumn("have", F.coalesce("have", F.lit(0)))
         .filter(F.col("have") < n).join(profile_of, "query_id", "left")
     )
     kinds = short.filter(F.col("a").isNotNull()).select("a", "brand").distinct()
     excluded = (
-        pairs.select("a", "b").join(kinds, "a").join(reps, "b")
+        met.filter("floor <= 0").select("a", "b").join(kinds, "a").join(reps, "b")
         .filter(F.col("match_brand") != F.col("brand"))
         .select("a", "brand", "b").distinct()
     )
