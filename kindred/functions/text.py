@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 # --- Fixed values: they decide which ingredients exist -----------------------
 
 #: What counts as white space (the Unicode set, spelled out for any regex dialect).
-SPACE = (r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+SPACE = (r"[ \t\n\x0b\f\r\x1c\x1d\x1e\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
          r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]")
+LINE_SPACE = SPACE.replace("[ ", "[")
 DIGIT = r"\p{Nd}"
 BLANK = "[ ]"
 
@@ -124,8 +125,9 @@ def strip(text: Column) -> Column:
 def collapse_space(text: Column) -> Column:
     """Every run of white space, line breaks included, becomes one blank.
     Null or blank text becomes empty."""
-    return F.when(F.coalesce(strip(text), F.lit("")) == "", F.lit("")).otherwise(
-        _replace(text, rf"{SPACE}+", " "))
+    # A lone blank, the usual case, matches nothing and is not rewritten.
+    collapsed = _replace(text, rf" *{LINE_SPACE}{SPACE}*| {{2,}}", " ")
+    return F.coalesce(F.nullif(collapsed, F.lit(" ")), F.lit(""))
 
 
 def flatten_lines(text: Column) -> Column:
@@ -170,29 +172,41 @@ def prepare_list(raw: Column) -> Column:
 
 
 def _tidy(text: Column) -> Column:
-    return F.trim(_replace(text, " *, *", ","))
+    return F.trim(_replace(text, " +, *|, +", ","))
 
 
 def clean_tokens(text: Column) -> Column:
     r"""The per-token steps on a whole comma-separated string: keep what stands before
-    the first ``/``, then ``\``; drop ``(...)``; drop `` n%``."""
-    text = _tidy(_replace(_tidy(text), "/[^,]*"))
-    text = _tidy(_replace(text, r"\\[^,]*"))
-    text = _tidy(_replace(text, r" *\([^),]*\)"))
-    return _tidy(_replace(text, rf" +{DIGIT}+\.?{DIGIT}* *%"))
+    the first ``/`` or ``\``; drop ``(...)``; drop `` n%`` after the token's start."""
+    text = _replace(text, r" *[/\\][^,]*")
+    text = _replace(text, r" *\([^),]*\)")
+    return _tidy(_replace(text, rf"(?<=[^, ]) +{DIGIT}+\.?{DIGIT}* *%"))
 
 
-def apply_synonyms(text: Column, synonyms: Mapping[str, str] = SYNONYMS) -> Column:
-    """Exact-match replacement of tokens in a comma-separated string."""
+def apply_synonyms(token: Column, synonyms: Mapping[str, str] = SYNONYMS) -> Column:
+    """Exact-match replacement of one token. A dictionary is code, hence small; one
+    that is data belongs in a table and a join."""
+    renamed = token
     for target in dict.fromkeys(synonyms.values()):
-        names = "|".join(_quote(k) for k, v in synonyms.items() if v == target)
-        text = _replace(text, rf"(?<=\A|,)(?:{names})(?=,|\z)", target.replace("$", r"\$"))
-    return text
+        names = [k for k, v in synonyms.items() if v == target]
+        renamed = F.when(token.isin(*names), F.lit(target)).otherwise(renamed)
+    return renamed
 
 
 def is_footnote(token: Column, patterns: Iterable[str] = FOOTNOTES) -> Column:
-    joined = "|".join(f"(?:{unicode_classes(p, BLANK)})" for p in patterns)
-    return token.rlike("(?iu)" + joined)
+    """Any pattern fits, in either case. Patterns tied to the start are tried once per
+    token; the others only where one of their first letters stands."""
+    wide = [unicode_classes(p, BLANK) for p in patterns]
+    tied = [f"(?:{p[1:]})" for p in wide if p.startswith("^")]
+    free = [f"(?:{p})" for p in wide if not p.startswith("^")]
+    found = F.lit(False)
+    if tied:
+        found = found | token.rlike(r"(?iu)\A(?:" + "|".join(tied) + ")")
+    if free:
+        firsts = {p[3] for p in free}
+        ahead = f"(?=[{''.join(sorted(firsts))}])" if all(f.isalpha() for f in firsts) else ""
+        found = found | token.rlike("(?iu)" + ahead + "(?:" + "|".join(free) + ")")
+    return found
 
 
 def is_too_short(token: Column) -> Column:
@@ -205,6 +219,7 @@ def split_list(text: Column) -> Column:
 
 def ingredient_array(raw: Column, synonyms: Mapping[str, str] = SYNONYMS) -> Column:
     """Distinct ingredients of a raw list in order of first appearance."""
-    text = apply_synonyms(clean_tokens(prepare_list(raw)), synonyms)
-    kept = F.filter(split_list(text), lambda t: ~is_too_short(t) & ~is_footnote(t))
-    return F.transform(F.array_distinct(kept), release_commas)
+    tokens = split_list(clean_tokens(prepare_list(raw)))
+    real = F.filter(tokens, lambda t: ~is_footnote(t))
+    named = F.transform(real, lambda t: apply_synonyms(release_commas(t), synonyms))
+    return F.array_distinct(F.filter(named, lambda t: ~is_too_short(t)))

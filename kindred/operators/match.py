@@ -37,9 +37,9 @@ NORM_EPSILON = 1e-10
 
 #: Slack that keeps rounding in the bounds from dropping a pair exactly at them.
 SLACK = 1e-9
-#: Share of the squared norm that makes an ingredient one of the (at most ten)
+#: Share of the squared norm that makes an ingredient one of the (at most five)
 #: looked up for the floor.
-LEAD_SHARE = 0.1
+LEAD_SHARE = 0.2
 #: Posting lists up to this length are opened by every query; longer ones only by
 #: the queries whose bound asks for it.
 SHORT_LIST = 32
@@ -124,21 +124,23 @@ def build_vectors(weighted: DataFrame, products: DataFrame) -> Vectors:
         F.count_if(F.col("side") == "match").alias("postings"),
         F.count_if(F.col("side") == "query").alias("probes"),
     ).filter("postings > 0 AND probes > 0").drop("probes")
-    common_first = (W.partitionBy("profile").orderBy(F.desc("postings"), F.desc("ingredient"))
-                    .rowsBetween(W.unboundedPreceding, -1))
+    common_first = W.partitionBy("profile").orderBy(F.desc("postings"), F.desc("ingredient"))
+    before = common_first.rowsBetween(W.unboundedPreceding, -1)
     squares = F.col("u") * F.col("u")
     guarded = F.when(F.col("postings") > SHORT_LIST, squares).otherwise(0.0)
     features = (
         rows.join(postings, "ingredient")
-        .withColumn("after", F.coalesce(F.sum(guarded).over(common_first), F.lit(0.0)))
+        .withColumn("after", F.coalesce(F.sum(guarded).over(before), F.lit(0.0)))
+        .withColumn("place", F.row_number().over(common_first))
         .select(
             "side", "profile", "lead_brand", "ingredient", "postings", "u",
             F.sqrt(F.col("after") + squares).alias("head"),
             F.sqrt("after").alias("tail"),
-            ((squares >= LEAD_SHARE) | (F.col("after") == 0)).alias("lead"),
+            ((squares >= LEAD_SHARE) | (F.col("place") == 1)).alias("lead"),
         )
     )
-    return Vectors(materialise(features, "features"), materialise(members, "members"))
+    return Vectors(materialise(features, "features", by="side"),
+                   materialise(members, "members", by="side"))
 
 
 def representatives(members: DataFrame, n: int) -> DataFrame:
@@ -193,7 +195,7 @@ def query_floors(vectors: Vectors, n: int, ceiling: float) -> DataFrame:
         fa.filter("lead").join(strongest, "ingredient")
         .groupBy("a", "b").agg(F.sum(F.col("ua") * F.col("ub")).alias("met"))
         .withColumn("r", F.row_number().over(W.partitionBy("a").orderBy(F.desc("met"), "b")))
-        .filter(F.col("r") <= 4 * n).select("a", "b")
+        .filter(F.col("r") <= 2 * n).select("a", "b")
     )
     brands = vectors.members.filter(F.col("side") == "query").select(
         F.col("profile").alias("a"), "brand").distinct()
@@ -302,6 +304,7 @@ def rank_matches(weighted: DataFrame, products: DataFrame, n: int = TOP_N,
     rank. With ``pad_zero`` a product with fewer than n positive matches is filled
     up with the lowest-id products it has nothing in common with.
     """
+    products = materialise(products.select("product_id", "side", "brand"), "products", by="side")
     vectors = build_vectors(weighted, products)
     floors = query_floors(vectors, n, ceiling)
     met = met_pairs(vectors.features, floors)

@@ -94,12 +94,14 @@ def _on_label(step):
     return run
 
 
-def _token_counts(step, keep=None):
+def _token_counts(step, keep=None, rename=None):
     def run(spark, sf_dir):
         rows = listings(spark, sf_dir).select("doc_id", text.prepare_list(F.col("label")).alias("t"))
         rows = rows.filter("t <> ''").select(
             "doc_id", F.explode(text.split_list(step(F.col("t")))).alias("token"))
         rows = rows.withColumn("token", text.release_commas(F.col("token")))
+        if rename is not None:
+            rows = rows.withColumn("token", rename(F.col("token")))
         if keep is not None:
             rows = rows.filter(keep(F.col("token")))
         return rows.groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("uses"))
@@ -145,11 +147,10 @@ query("clean_token", _tokens("clean"))(_token_counts(text.clean_tokens))
 query("reject_footnotes", _tokens("real"))(
     _token_counts(text.clean_tokens, lambda t: ~text.is_footnote(t)))
 query("synonyms", _tokens("named"))(
-    _token_counts(lambda t: text.apply_synonyms(text.clean_tokens(t)),
-                  lambda t: ~text.is_footnote(t)))
+    _token_counts(text.clean_tokens, lambda t: ~text.is_footnote(t), text.apply_synonyms))
 query("reject_short", _tokens("kept"))(
-    _token_counts(lambda t: text.apply_synonyms(text.clean_tokens(t)),
-                  lambda t: ~text.is_footnote(t) & ~text.is_too_short(t)))
+    _token_counts(text.clean_tokens, lambda t: ~text.is_footnote(t) & ~text.is_too_short(t),
+                  text.apply_synonyms))
 
 
 @query("distinct_tokens", STAGES_SQL + """
