@@ -14,7 +14,8 @@ Bayardo et al., WWW 2007, and Anastasiu & Karypis, ICDE 2014):
    product of the two remaining norms, so a pair is formed there only if that
    product reaches the query's floor. Common ingredients carry little of most
    vectors' norm, hence their long posting lists are hardly ever opened.
-4. Surviving pairs get their exact score; the top n are ranked per product.
+4. The best pairs met so far are scored exactly, which raises the floors; what
+   still can reach them gets its exact score, and the top n are ranked per product.
 
 No candidate is sampled or capped: a pair is left out only when its bound proves
 that it cannot be part of the result.
@@ -197,6 +198,11 @@ def query_floors(vectors: Vectors, n: int, ceiling: float) -> DataFrame:
         .withColumn("r", F.row_number().over(W.partitionBy("a").orderBy(F.desc("met"), "b")))
         .filter(F.col("r") <= 2 * n).select("a", "b")
     )
+    return exact_floors(seeds, vectors, n, ceiling)
+
+
+def exact_floors(seeds: DataFrame, vectors: Vectors, n: int, ceiling: float) -> DataFrame:
+    """The floor that the exact scores of the given distinct (a, b) pairs prove."""
     brands = vectors.members.filter(F.col("side") == "query").select(
         F.col("profile").alias("a"), "brand").distinct()
     return (
@@ -259,6 +265,22 @@ def met_pairs(features: DataFrame, floors: DataFrame | None = None,
     return materialise(met, "met")
 
 
+def raise_floors(met: DataFrame, vectors: Vectors, n: int, ceiling: float) -> DataFrame:
+    """Drop pairs that cannot reach the n-th best exact score among the pairs that
+    already score most. Worth its small cost only where scores are still open."""
+    if met.filter(~_complete()).isEmpty():
+        return met
+    best = W.partitionBy("a").orderBy(F.desc("similarity"), "b")
+    seeds = met.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= 4 * n)
+    higher = materialise(exact_floors(seeds.select("a", "b"), vectors, n, ceiling), "floors")
+    return (
+        met.join(higher.withColumnRenamed("floor", "higher"), "a", "left")
+        .withColumn("floor", F.greatest("floor", F.coalesce("higher", F.lit(0.0))))
+        .drop("higher")
+        .filter(F.col("similarity") + F.col("rest") >= F.col("floor") - SLACK)
+    )
+
+
 def settle(met: DataFrame, features: DataFrame) -> DataFrame:
     """Exact a, b, similarity of the pairs in ``met`` that do reach their floor."""
     done = _complete()
@@ -308,7 +330,7 @@ def rank_matches(weighted: DataFrame, products: DataFrame, n: int = TOP_N,
     vectors = build_vectors(weighted, products)
     floors = query_floors(vectors, n, ceiling)
     met = met_pairs(vectors.features, floors)
-    pairs = settle(met, vectors.features)
+    pairs = settle(raise_floors(met, vectors, n, ceiling), vectors.features)
     reps = representatives(vectors.members, n)
 
     per_brand, overall = _ranked(["a"], n)
