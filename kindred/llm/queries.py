@@ -4,8 +4,9 @@ production parameters, to the whole of its table."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from kindred.llm import quality_rules, shards
+from kindred.llm import decontaminate, licences, near_dedup, quality_rules, shards
 from kindred.llm.registry import query, table
 
 #: The same measures, quartiles and fences in DuckDB. Up to SKETCH_K documents per
@@ -76,6 +77,28 @@ FROM chosen
 """
 
 
+@query("op2_decontamination")
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                               table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("hit_items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("hit_items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"), "spans")
+
+
+@query("op4_licence_scan")
+def op4_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "spans")
+
+
+@query("op6_circulant_minhash")
+def op6_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.group(table(spark, sf_dir, "documents"), width=2, percent=80).select(
+        "doc_id", "n_shingles", "component_id", "kept")
+
+
 @query("op7_quality_rules", QUALITY_SQL)
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
