@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm import decontaminate, licences, near_dedup, quality_rules, shards
+from kindred.llm import decontaminate, licences, near_dedup, quality_rules, shards, substring
 from kindred.llm.registry import query, table
 
 #: The same measures, quartiles and fences in DuckDB. Up to SKETCH_K documents per
@@ -109,3 +109,9 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_jump_hash_shards")
 def op8_jump_hash_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.assign(table(spark, sf_dir, "documents"), shards=40)
+
+
+@query("op10_fm_index_dedup")
+def op10_fm_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.cut(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
