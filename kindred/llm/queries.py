@@ -3,10 +3,11 @@ production parameters, to the whole of its table."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm import decontaminate, licences, near_dedup, quality_rules, shards, substring
+from kindred.llm import decontaminate, licences, near_dedup, quality_rules, shards, substring, token_files
 from kindred.llm.registry import query, table
 
 #: The same measures, quartiles and fences in DuckDB. Up to SKETCH_K documents per
@@ -77,6 +78,11 @@ FROM chosen
 """
 
 
+@query("op1_wavelet_token_files")
+def op1_wavelet_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 @query("op2_decontamination")
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find(table(spark, sf_dir, "documents").select("doc_id", "text"),
