@@ -1,13 +1,20 @@
-"""The training-text pipeline: documents through the stages below, in their order."""
+"""The training-text pipeline: documents through the stages below, in their order.
+
+Every stage reads what its predecessor wrote and works on all of it. Stages but the
+last return rows with the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from kindred.llm import quality_rules
+from kindred.llm import decontaminate, near_dedup, pieces, quality_rules, substring
 from kindred.llm.registry import query, table
 from kindred.session import fresh_path
 
+#: Automata, FM-indexes and piece splits are beyond SQL; tests compare with brute force.
 ORACLE_SQL = None
 
 
@@ -16,7 +23,36 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep_good(docs)
 
 
-STAGES = [("quality rules", quality)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: that of the smallest id."""
+    return near_dedup.keep_one(docs)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that an earlier place holds too. Their words
+    stand between single blanks then; n_chars is counted anew. Texts without such a
+    passage stay as they are, documents that lose all words go."""
+    cut = substring.without_repeats(docs)
+    return cut.filter(~F.col("text").eqNullSafe("")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no window of a benchmark item."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def piece_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_words, n_pieces, pieces and whether they spell the text again."""
+    return pieces.round_trip(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
+STAGES = [
+    ("quality rules", quality),
+    ("MinHash near-dedup", near_duplicates),
+    ("substring dedup", repeated_passages),
+    ("benchmark decontamination", benchmark_leaks),
+    ("SentencePiece encoding and decoding", piece_ids),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

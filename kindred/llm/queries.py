@@ -7,7 +7,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm import decontaminate, licences, near_dedup, quality_rules, shards, substring, token_files
+from kindred.llm import (
+    decontaminate,
+    licences,
+    near_dedup,
+    pieces,
+    quality_rules,
+    shards,
+    substring,
+    token_files,
+)
 from kindred.llm.registry import query, table
 
 #: The same measures, quartiles and fences in DuckDB. Up to SKETCH_K documents per
@@ -117,6 +126,13 @@ def op8_jump_hash_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.assign(table(spark, sf_dir, "documents"), shards=40)
 
 
+@query("op9_shared_prefix_viterbi")
+def op9_shared_prefix_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")).select(
+        "doc_id", "n_words", "n_pieces", F.crc32(F.array_join("pieces", ",").cast("binary")).alias("pieces_crc32"),
+        "restored")
+
+
 @query("op10_fm_index_dedup")
 def op10_fm_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.cut(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
