@@ -12,10 +12,12 @@ from kindred.llm import (
     licences,
     near_dedup,
     pieces,
+    quality_knn,
     quality_rules,
     shards,
     substring,
     token_files,
+    toxicity,
 )
 from kindred.llm.registry import query, table
 
@@ -102,12 +104,26 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("n_hit") > 0).alias("contaminated"), "spans")
 
 
+@query("op3_neighbour_quality")
+def op3_neighbour_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    space = quality_knn.fit(docs, table(spark, sf_dir, "labels"))
+    return quality_knn.score(docs, space).select("doc_id", "held_out", "score", "predicted")
+
+
 @query("op4_licence_scan")
 def op4_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "spans")
 
 
+@query("op5_factorization_toxicity")
+def op5_factorization_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    machine = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, machine).select("doc_id", "held_out", "score", "predicted")
+
+
 @query("op6_circulant_minhash")
 def op6_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.group(table(spark, sf_dir, "documents"), width=2, percent=80).select(
