@@ -8,11 +8,12 @@ link is missed by all bands with probability (1 - 0.8^5)^40 < 2e-7.
 
 Equal sets are one *class* and meet the rest once. Inside a bucket not all pairs are
 formed: every class is first compared with the bucket's pivot; links found join
-classes to components, and what is left in a bucket of one component needs no further
-comparison. Further rounds take other pivots, for the buckets that still hold several
-components; when few pairs are left, all of them are compared. A pair is left out only
-where both ends are already connected by confirmed links, so the components are those
-of all links. Work on a bucket is joins and sums, never one task per bucket.
+classes to components, and a bucket of one component needs no further comparison. In
+the buckets that still hold several, the class that shares most with others is the
+next pivot, and then all pairs between components are compared. A pair is left out
+only where both ends are already connected by confirmed links, or where the shingles
+that each shares with anything open are too few for the threshold, or where parity
+bits prove that too many are not shared; so the components are those of all links. Work on a bucket is joins and sums, never one task per bucket.
 
 Defined results: a text without words (or null) has an empty set and links with
 nothing; one with fewer words than a shingle has its whole word sequence as its only
@@ -38,8 +39,8 @@ PERCENT = 80
 ROWS, BANDS = 5, 40
 #: Shingles hashed at once against all coordinates.
 CHUNK = 2048
-#: All open pairs are compared once there are at most this many for each class, or after these rounds.
-PAIRS_PER_CLASS, PIVOT_ROUNDS = 2.0, 8
+#: Words of 64 parity bits of a set.
+PARITY_WORDS = 16
 
 _U32 = np.uint32
 
@@ -130,9 +131,23 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.select("a", "b").join(side["a"], "a").join(side["b"], "b").mapInArrow(run, "a long, b long")
 
 
-def _sized(left: str, right: str, percent: int):
-    """Sets whose sizes alone do not rule out the similarity."""
-    return (F.least(left, right) * 100 >= F.greatest(left, right) * percent)
+def _similar_sizes(m: Column, n: Column, percent: int) -> Column:
+    return F.least(m, n) * 100 >= F.greatest(m, n) * percent
+
+
+def _may_link(x: str, y: str, percent: int) -> Column:
+    """Neither the common shingles nor the parities of two sets (columns of the prefixes
+    ``x`` and ``y``) rule out the similarity.
+
+    Each shingle in just one of them flips one parity bit, so at least as many shingles
+    are not shared as there are bits that differ.
+    """
+    apart = F.lit(0)
+    for i in range(PARITY_WORDS):
+        apart = apart + F.bit_count(F.col(f"{x}.b{i}").bitwiseXOR(F.col(f"{y}.b{i}")))
+    total = F.col(f"{x}.n") + F.col(f"{y}.n")
+    most = F.least(f"{x}.common", f"{y}.common")
+    return (most * 100 >= (total - most) * percent) & ((total - apart) * 100 >= (total + apart) * percent)
 
 
 def row_key(doc_id: str, text: str) -> tuple[Column, Column]:
@@ -179,58 +194,85 @@ def _roots(classes: DataFrame, keyed: DataFrame, width: int, percent: int) -> Da
     open_rows = materialise(banded.join(shared, "band"), "open")
     sets = _candidate_sets(open_rows, classes, keyed, width)
 
-    links, mapping, number = None, None, 0
-    pairs = open_rows.select(F.col("pivot.cid").alias("a"), F.col("pivot.n").alias("na"),
-                             F.col("cid").alias("b"), F.col("n").alias("nb"))
+    pairs = open_rows.filter("cid <> pivot.cid").filter(_similar_sizes(F.col("n"), F.col("pivot.n"), percent)).select(
+        F.col("pivot.cid").alias("a"), F.col("cid").alias("b"))
+    links = confirm(pairs.distinct(), sets, percent)
     open_rows = open_rows.filter("m > 2").select("band", "cid", "n")
-    while True:
-        pairs = pairs.filter("a <> b").filter(_sized("na", "nb", percent)).select("a", "b").distinct()
-        fresh = materialise(confirm(pairs, sets, percent), "links")
-        links = fresh if links is None else materialise(links.unionByName(fresh), "links")
+    for central in (True, False):
+        links = materialise(links, "links")
         mapping = components(links)
-        number += 1
-        if number > PIVOT_ROUNDS:
-            return mapping
-        placed = open_rows.select("band", "cid", "n")
-        if mapping is None:
-            placed = placed.withColumn("root", F.col("cid"))
-        else:
-            placed = placed.join(mapping.withColumnRenamed("node", "cid"), "cid", "left").withColumn(
-                "root", F.coalesce("root", "cid"))
-        placed = materialise(placed, "placed")
-        order = F.xxhash64("cid", F.lit(number))
-        mixed = placed.groupBy("band", "root").agg(
-            F.count(F.lit(1)).alias("c"), F.min(F.struct(order.alias("o"), "cid", "n", "root")).alias("pivot")
-        ).groupBy("band").agg(
-            F.count(F.lit(1)).alias("roots"), F.sum("c").alias("m"),
-            F.sum(F.col("c").cast("double") * F.col("c")).alias("squares"), F.min("pivot").alias("pivot"),
-        ).filter("roots > 1")
-        mixed = materialise(mixed, "mixed")
-        left = mixed.agg(F.sum((F.col("m").cast("double") * F.col("m") - F.col("squares")) / 2)).first()[0]
-        if not left:
+        open_rows = _still_open(open_rows, mapping, sets, percent)
+        if open_rows is None:
             return mapping
-        open_rows = materialise(placed.join(mixed.select("band", "pivot"), "band"), "open")
-        if left <= PAIRS_PER_CLASS * classes.count() or number == PIVOT_ROUNDS:
-            number = PIVOT_ROUNDS  # the last round: all pairs that are left
-            x, y = open_rows.alias("x"), open_rows.alias("y")
-            pairs = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.cid") < F.col("y.cid"))
-                           & (F.col("x.root") != F.col("y.root")) & _sized("x.n", "y.n", percent)).select(
-                F.col("x.cid").alias("a"), F.col("x.n").alias("na"), F.col("y.cid").alias("b"), F.col("y.n").alias("nb"))
-        else:
-            pairs = open_rows.filter("root <> pivot.root").select(
-                F.col("pivot.cid").alias("a"), F.col("pivot.n").alias("na"), F.col("cid").alias("b"), F.col("n").alias("nb"))
+        links = links.unionByName(confirm(_pairs(open_rows, central, percent).distinct(), sets, percent))
+    return components(links)
+
+
+def _still_open(rows: DataFrame, mapping: DataFrame | None, sets: DataFrame, percent: int) -> DataFrame | None:
+    """band, cid, n, common, root, bands, parities of the classes that may still link to another component
+    within their bucket; None if there is none.
+
+    ``common`` counts the shingles that another open class has too. Two sets share at
+    most the smaller of their common counts, so a class with too few links to nothing.
+    Buckets of the same classes are alike; one of them is enough.
+    """
+    if mapping is None:
+        placed = rows.select("band", "cid", "n", F.col("cid").alias("root"))
+    else:
+        placed = rows.select("band", "cid", "n").join(mapping.withColumnRenamed("node", "cid"), "cid", "left").withColumn(
+            "root", F.coalesce("root", "cid"))
+    placed = materialise(placed, "placed")
+    mixed = placed.groupBy("band").agg(
+        F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("m"),
+        F.bit_xor(F.xxhash64("cid")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "cid")).alias("y"),
+    ).filter("low <> high").groupBy("m", "x", "y").agg(F.min("band").alias("band"))
+    mixed = materialise(placed.join(mixed.select("band"), "band"), "mixed")
+    if mixed.isEmpty():
+        return None
+    mine = mixed.groupBy("cid").agg(F.collect_list("band").alias("bands"))  # at most BANDS
+    mine = materialise(mine.join(sets, "cid"), "open_sets")
+    shingles = mine.select("cid", F.explode("held").alias("shingle"))
+    alone = shingles.groupBy("shingle").agg(F.min("cid").alias("cid"), F.count(F.lit(1)).alias("c")).filter("c = 1")
+    private = materialise(alone.groupBy("cid").agg(F.count(F.lit(1)).alias("private")), "private")
+    return materialise(
+        mixed.join(mine.drop("held"), "cid").join(private, "cid", "left")
+        .withColumn("common", F.col("n") - F.coalesce("private", F.lit(0)))
+        .filter(F.col("common") * 100 >= F.col("n") * percent).drop("private"), "open")
+
+
+def _pairs(rows: DataFrame, central: bool, percent: int) -> DataFrame:
+    """a, b of open pairs: each class with its bucket's most central one (of the least
+    share of shingles to itself), or all of them."""
+    if central:
+        parity = [f"b{i}" for i in range(PARITY_WORDS)]
+        pivots = rows.groupBy("band").agg(F.min(F.struct(
+            (1 - F.col("common") / F.col("n")).alias("apart"), "cid", "n", "common", "root", *parity)).alias("p"))
+        both = rows.alias("x").join(pivots, "band").filter((F.col("root") != F.col("p.root")) & _may_link("x", "p", percent))
+        return both.select(F.col("p.cid").alias("a"), F.col("x.cid").alias("b"))
+    x, y = rows.alias("x"), rows.alias("y")
+    # A pair is formed in the first bucket that both have open.
+    return x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.cid") < F.col("y.cid"))
+                  & (F.col("x.root") != F.col("y.root")) & _may_link("x", "y", percent)
+                  & (F.array_min(F.array_intersect("x.bands", "y.bands")) == F.col("x.band"))).select(
+        F.col("x.cid").alias("a"), F.col("y.cid").alias("b"))
 
 
 def _candidate_sets(open_rows: DataFrame, classes: DataFrame, keyed: DataFrame, width: int) -> DataFrame:
-    """cid, held: full sets of the classes that share a band, from one text of each."""
+    """cid, held, b0 ...: full sets of the classes that share a band, from one text of each."""
     wanted = open_rows.select("cid").distinct().join(classes.select("cid", "sample.*"), "cid")
     texts = keyed.select("row_1", "row_2", "text").join(wanted, ["row_1", "row_2"])
 
     def of(part: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray) -> list[pa.Array]:
-        return [_list(list(shingle_sets(data, offsets, width)))]
-
-    held = blocks.add_columns(texts.dropDuplicates(["row_1", "row_2"]).select("cid", "text"), "held array<bigint>", of)
-    return materialise(held.select("cid", "held"), "sets")
+        held = list(shingle_sets(data, offsets, width))
+        bits = np.stack([np.bincount((x >> np.uint64(20)).astype(np.int64) % (64 * PARITY_WORDS),
+                                     minlength=64 * PARITY_WORDS) & 1 for x in held]).astype(np.uint8)
+        words = np.packbits(bits, axis=1, bitorder="little").view(np.int64)
+        return [_list(held), *(pa.array(words[:, i].copy()) for i in range(PARITY_WORDS))]
+
+    parities = "".join(f", b{i} long" for i in range(PARITY_WORDS))
+    found = blocks.add_columns(texts.dropDuplicates(["row_1", "row_2"]).select("cid", "text"),
+                               "held array<bigint>" + parities, of)
+    return materialise(found.drop("text"), "sets")
 
 
 def keep_one(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
