@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from kindred.functions.text import DIGIT, SPACE, strip, unicode_classes
+from kindred.functions.text import DIGIT, SPACE, SPACE_CHARACTERS, strip, unicode_classes
 
 # The shapes of price, rating and review texts.
 PRICE = r"(\d+[,.]\d+)"
@@ -15,7 +15,9 @@ GROUPED_PRICE = r"(\d{1,3}(?:\.\d{3})+,\d+|\d+[,.]\d+)"
 PRICE_WITH_CURRENCY = r"(\d+[.,]\d+\s*€)"
 RATING = r"(\d[.,]\d)\s*von\s*5"
 REVIEWS = r"bei\s*(\d+)\s*Bewertung"
-TRAILING_REVIEWS = r"\s*\n\s*\(\d+[^)]*\)\s*\z"
+#: White space with a line break in it, then a bracket that begins with a number. Tried
+#: only where white space begins.
+REVIEWS_BEGIN = rf"(?<!{SPACE})(?={SPACE.replace(chr(92) + 'n', '')}*+\n){SPACE}++\(\d[\s\S]*\z"
 SKIPPED_LINKS = ("cart", "wishlist", "shoppinglist")
 
 
@@ -55,8 +57,20 @@ def clean_name(raw: Column, brand: Column) -> Column:
     named = F.coalesce(brand, F.lit("")) != ""
     bare = F.when(named & F.startswith(raw, brand),
                   strip(F.substring(raw, F.length(brand) + 1, F.length(raw)))).otherwise(raw)
-    cleaned = strip(F.regexp_replace(bare, unicode_classes(TRAILING_REVIEWS), ""))
-    return F.nullif(cleaned, F.lit(""))
+    return F.nullif(strip(_without_reviews(F.rtrim(bare, F.lit(SPACE_CHARACTERS)))), F.lit(""))
+
+
+def _without_reviews(text: Column) -> Column:
+    """Cut a review count in brackets on a line of its own from the end of ``text``.
+
+    It can only begin after the last bracket that closes before the one at the end, so
+    one pass over what stands there finds it.
+    """
+    body = F.left(text, F.length(text) - 1)
+    last = F.substring_index(body, ")", -1)
+    before = F.left(body, F.length(body) - F.length(last))
+    cut = F.regexp_replace(last, REVIEWS_BEGIN.replace(r"\d", DIGIT).replace(r"[\s\S]", "(?s:.)"), "")
+    return F.when(F.endswith(text, F.lit(")")) & (F.length(cut) < F.length(last)), F.concat(before, cut)).otherwise(text)
 
 
 def absolute_url(href: Column, root: Column | str) -> Column:

@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 SPACE = (r"[ \t\n\x0b\f\r\x1c\x1d\x1e\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
          r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]")
 LINE_SPACE = SPACE.replace("[ ", "[")
+#: The same characters one by one.
+SPACE_CHARACTERS = (" \t\n\x0b\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200b)))
+                    + "\u2028\u2029\u202f\u205f\u3000")
 DIGIT = r"\p{Nd}"
 BLANK = "[ ]"
 
@@ -119,7 +122,7 @@ def _quote(literal: str) -> str:
 
 def strip(text: Column) -> Column:
     """Remove white space of any kind from both ends (``trim`` knows only U+0020)."""
-    return _replace(text, rf"\A{SPACE}+|{SPACE}+\z")
+    return F.btrim(text, F.lit(SPACE_CHARACTERS))
 
 
 def collapse_space(text: Column) -> Column:
@@ -146,8 +149,9 @@ def strip_heading(text: Column) -> Column:
 
 
 def drop_water_brackets(text: Column) -> Column:
+    # The second choice keeps a bracket that is never closed and steps over it at once.
     for word in WATER_WORDS:
-        text = _replace(text, rf"(?iu)\({word}[^)]*\)")
+        text = _replace(text, rf"(?iu)\({word}[^)]*+\)|(\({word}[^)]*+)", "$1")
     return text
 
 
@@ -179,7 +183,7 @@ def clean_tokens(text: Column) -> Column:
     r"""The per-token steps on a whole comma-separated string: keep what stands before
     the first ``/`` or ``\``; drop ``(...)``; drop `` n%`` after the token's start."""
     text = _replace(text, r" *[/\\][^,]*")
-    text = _replace(text, r" *\([^),]*\)")
+    text = _replace(text, r" *\([^),]*+\)|(\([^),]*+)", "$1")
     return _tidy(_replace(text, rf"(?<=[^, ]) +{DIGIT}+\.?{DIGIT}* *%"))
 
 

@@ -1,3 +1,7 @@
+import random
+import re
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -68,3 +72,25 @@ def test_scraped_fields(spark):
         fields.match_percent(F.lit(0.999)).alias("percent")).first()
     assert tuple(row) == ("4.7", "480", "Day Cream", None, "https://shop.example/p/2", "d.png",
                           "—", "€3.46", 99)
+
+
+@pytest.mark.parametrize("value", [
+    "a" + " " * 1_000_000 + "b", "a" + "\n" * 1_000_000 + "b", "(" * 1_000_000, "(aqua" * 200_000,
+    "x\n(1" * 250_000, "a\n(1)" * 200_000, " \n" * 500_000 + "(1"])
+def test_long_runs_take_linear_time(spark, value):
+    rows = spark.createDataFrame([(value,)], "v string").cache()
+    rows.count()
+    for step in (text.strip, text.flatten_lines, text.prepare_list, lambda v: text.clean_tokens(text.collapse_space(v)),
+                 lambda v: fields.clean_name(v, F.lit("Acme"))):
+        start = time.time()
+        rows.select(F.length(step(F.col("v")))).collect()
+        assert time.time() - start < 2
+
+
+def test_names_lose_what_the_plain_pattern_cuts(spark):
+    pick = random.Random(4)
+    names = ["".join(pick.choice("\n ()1a\xa0") for _ in range(pick.randint(0, 12))) for _ in range(1500)]
+    got = spark.createDataFrame([(n,) for n in names], "n string").select(
+        "n", fields.clean_name(F.col("n"), F.lit(None)).alias("c")).collect()
+    for row in got:
+        assert (row.c or "") == re.sub(r"\s*\n\s*\(\d+[^)]*\)\s*\Z", "", row.n, count=1).strip(), repr(row.n)
