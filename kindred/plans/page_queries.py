@@ -81,27 +81,41 @@ def page_tiles(spark, sf_dir):
 
 @query("page_first_link", f"""
 SELECT page_id, CASE WHEN href LIKE 'http%' THEN href ELSE '{ROOT}' || href END AS link FROM (
-  SELECT page_id, list_filter(regexp_extract_all(html, '\\bhref=["'']([^"'']+)["'']', 1),
+  SELECT page_id, list_filter(list_transform(regexp_extract_all(html, '<a href="([^"]*)"', 1), lambda x: {_decoded("x")}),
     lambda x: x <> '' AND NOT regexp_matches(x, 'cart|wishlist|shoppinglist'))[1] AS href FROM pages)""")
 def page_first_link(spark, sf_dir):
-    hrefs = pages.attribute_values(F.col("html"), "href")
+    hrefs = pages.attribute_values(F.col("html"), "href", tag="a")
     return table(spark, sf_dir, "pages").select(
         "page_id", fields.first_link(hrefs, ROOT).alias("link"))
 
 
+def _image_markup(page):
+    """Four ways in which an image stands before the rest of a page."""
+    number = page.cast("string")
+    forms = (
+        ('<!-- <img src="old.jpg"> --><img data-src="lazy.jpg" src="real-', '.jpg">'),
+        ("<img src='' data-src='lazy-", ".jpg'>"),
+        ("<img alt='src=\"no.jpg\"' src=plain-", ".jpg>"),
+        ("<script>var x = '<img src=\"no.jpg\">';</script><IMG SRC = \"a.jpg?x=1&amp;y=", '">'))
+    return F.element_at(F.array(*[F.concat(F.lit(x), number, F.lit(y)) for x, y in forms]), (page % 4 + 1).cast("int"))
+
+
 @query("page_image", """
-SELECT page_id, coalesce(nullif(regexp_extract(html, '\\bsrc="([^"]+)"', 1), ''),
-                         nullif(regexp_extract(html, '\\bhref="([^"]+)"', 1), '')) AS image FROM pages""")
+SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'real-' || page_id || '.jpg' WHEN 1 THEN 'lazy-' || page_id || '.jpg'
+  WHEN 2 THEN 'plain-' || page_id || '.jpg' ELSE 'a.jpg?x=1&y=' || page_id END AS image
+FROM pages WHERE html IS NOT NULL""")
 def page_image(spark, sf_dir):
+    rows = table(spark, sf_dir, "pages").filter("html IS NOT NULL")
+    rows = rows.withColumn("html", F.concat(_image_markup(F.col("page_id")), "html"))
+
     def first(attr):
-        return F.get(pages.attribute_values(F.col("html"), attr), 0)
-    return table(spark, sf_dir, "pages").select(
-        "page_id", fields.first_filled(first("src"), first("href")).alias("image"))
+        return F.get(pages.attribute_values(F.col("html"), attr, tag="img"), 0)
+    return rows.select("page_id", fields.first_filled(first("src"), first("data-src")).alias("image"))
 
 
-@query("attr_inventory", """
+@query("attr_inventory", f"""
 SELECT value, count(*) AS uses FROM (
-  SELECT unnest(regexp_extract_all(html, '\\bclass=["'']([^"'']+)["'']', 1)) AS value FROM pages)
+  SELECT unnest(regexp_extract_all(html, '<[a-z0-9]+ (?:[a-z-]+="[^"]*" )*class="([^"]+)"', 1)) AS value FROM pages)
 GROUP BY 1""")
 def attr_inventory(spark, sf_dir):
     return pages.attribute_inventory(table(spark, sf_dir, "pages"), "class")
@@ -119,16 +133,22 @@ def url_worklist(spark, sf_dir):
     return pages.work_list(raw, "url")
 
 
+#: Markup that the parser refuses.
+REFUSED = "<![odd]>"
+
+
 @query("extract_outcome", f"""
-SELECT ok, count(*) AS rows FROM (
-  SELECT (regexp_extract(html, 'class="ad">([^<]*)<', 1) <> '' AND page_id % 2 = 0)
-         OR (page_id % 3 = 0 AND {HEAD_SQL} <> '') AS ok FROM pages) GROUP BY 1""")
+SELECT ok, failed, count(*) AS rows FROM (
+  SELECT page_id % 7 = 0 AS failed, page_id % 7 <> 0 AND (
+         (regexp_extract(html, 'class="ad">([^<]*)<', 1) <> '' AND page_id % 2 = 0)
+         OR (page_id % 3 = 0 AND {HEAD_SQL} <> '')) AS ok FROM pages) GROUP BY 1, 2""")
 def extract_outcome(spark, sf_dir):
     page = F.col("page_id")
-    raw = pages.extract(table(spark, sf_dir, "pages").select("page_id", "html"), (
+    html = F.when(page % 7 == 0, F.concat(F.lit(REFUSED), "html")).otherwise(F.col("html"))
+    raw = pages.extract(table(spark, sf_dir, "pages").select("page_id", html.alias("html")), (
         Field("ad", (Find(tag="div", attr="class", value="ad", how="word"),)), HEAD))
     records = raw.select(
         F.when(page % 2 == 0, F.col("ad")).otherwise("").alias("brand"),
         F.when(page % 3 == 0, F.col("heading")).otherwise("").alias("product_name"),
-        F.lit("").alias("ingredients"))
-    return pages.outcome(records).groupBy("ok").agg(F.count(F.lit(1)).alias("rows"))
+        F.lit("").alias("ingredients"), "page_error")
+    return pages.outcome(records).groupBy("ok", "failed").agg(F.count(F.lit(1)).alias("rows"))

@@ -9,6 +9,7 @@ attribute (``attribute_values``, ``link_targets``) never leave the JVM.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from html.parser import HTMLParser
@@ -24,6 +25,8 @@ from kindred.sources.tables import require_columns
 # Fixed values of HTML: elements without content, and those whose text is not shown.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 UNSEEN = frozenset(("script", "style", "template"))
+#: Rows handed back at once.
+ROWS_OUT = 1000
 
 
 @dataclass(frozen=True)
@@ -79,6 +82,7 @@ class _Page(HTMLParser):
         self.texts: list[str] = []
         self.elements: list[list] = [["", {}, 0, None, None]]
         self._open = [0]
+        self._open_tags: Counter[str] = Counter()
         self._joined = False
         self.feed(html)
         self.close()
@@ -88,12 +92,14 @@ class _Page(HTMLParser):
     def _shut(self) -> None:
         element = self.elements[self._open.pop()]
         element[3], element[4] = len(self.texts), len(self.elements)
+        self._open_tags[element[0]] -= 1
 
     def handle_starttag(self, tag, attrs):
         self._joined = False
         named = {name: value or "" for name, value in attrs}
         self.elements.append([tag, named, len(self.texts), None, None])
         self._open.append(len(self.elements) - 1)
+        self._open_tags[tag] += 1
         if tag in VOID:
             self._shut()
 
@@ -104,7 +110,7 @@ class _Page(HTMLParser):
 
     def handle_endtag(self, tag):
         self._joined = False
-        if any(self.elements[i][0] == tag for i in self._open[1:]):
+        if self._open_tags[tag] > 0:
             while self.elements[self._open[-1]][0] != tag:
                 self._shut()
             self._shut()
@@ -182,8 +188,8 @@ def extract(pages: DataFrame, fields: Sequence[Field], html: str = "html",
     """One row per page, or with ``each`` one per matching element (in ``within`` if
     given), holding the other columns of ``pages`` and the fields.
 
-    A page that cannot be read yields empty fields and a ``page_error``, never a
-    failed job; with ``each`` it yields no row.
+    A page that cannot be read yields one row of empty fields with a ``page_error``
+    (and, with ``each``, no item number), never a failed job.
     """
     keys = T.StructType([f for f in pages.schema if f.name != html])
     names = [f.name for f in keys]
@@ -203,21 +209,51 @@ def extract(pages: DataFrame, fields: Sequence[Field], html: str = "html",
             return [[page.read(f, at) for f in fields] + [no, None]
                     for no, at in enumerate(page.all(each, root), 1)]
         except Exception as error:  # a broken page must not stop the others
-            return [] if each else [empty + [f"{type(error).__name__}: {error}"]]
+            return [[*empty, *([None] if each else []), f"{type(error).__name__}: {error}"]]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
             for values in zip(batch[html], *[batch[n] for n in names]):
                 out += [[*values[1:], *row] for row in rows_of(values[0])]
+                if len(out) >= ROWS_OUT:
+                    yield pd.DataFrame(out, columns=schema.fieldNames(), dtype=object)
+                    out = []
             yield pd.DataFrame(out, columns=schema.fieldNames(), dtype=object)
 
     return pages.select(*names, html).mapInPandas(run, schema)
 
 
-def attribute_values(html: Column, attr: str) -> Column:
-    """All values of one attribute in document order, read inside the JVM."""
-    return F.regexp_extract_all(html, F.lit(rf"""\b{attr}=["']([^"']+)["']"""), F.lit(1))
+#: Comments, scripts and styles (also unclosed ones), an opening tag, one attribute of it.
+UNREAD = r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b.*?(?:</\1\s*>|\z)"
+OPENING_TAG = r"""<%s(?=[\s/>])(?:[^<>"']++|"[^"]*+"|'[^']*+')*+>"""
+ATTRIBUTE = r"""[^\s"'<>/=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'<>]++))?"""
+#: Named character references that attributes commonly hold; the last one
+#: must come last.
+ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#34;", '"'), ("&#39;", "'"), ("&apos;", "'"),
+            ("&nbsp;", "\xa0"), ("&amp;", "&"))
+
+
+def attribute_values(html: Column, attr: str, tag: str | None = None) -> Column:
+    """All non-empty values of one attribute in document order, read inside the JVM.
+
+    Only attributes of opening tags (of ``tag``, if given) count, whatever way they are
+    quoted; comments, scripts, other attributes' names and values do not.
+    """
+    opening = r"(?i)" + OPENING_TAG % (tag or "[a-z][^\\s/<>]*+")
+    tags = F.regexp_extract_all(F.regexp_replace(html, UNREAD, ""), F.lit(opening), F.lit(0))
+    named = F.flatten(F.transform(tags, lambda t: F.regexp_extract_all(
+        F.regexp_replace(t, r"\A<[^\s/>]*+", ""), F.lit(ATTRIBUTE), F.lit(0))))
+    own = F.filter(named, lambda a: a.rlike(rf"(?i)\A{attr}\s*="))
+    values = F.transform(own, lambda a: _decoded(F.regexp_replace(
+        F.regexp_replace(a, r"\A[^=]*+=\s*", ""), r"""\A"|\A'|"\z|'\z""", "")))
+    return F.filter(values, lambda v: v != "")
+
+
+def _decoded(value: Column) -> Column:
+    for entity, character in ENTITIES:
+        value = F.replace(value, F.lit(entity), F.lit(character))
+    return value
 
 
 def attribute_inventory(pages: DataFrame, attr: str) -> DataFrame:
@@ -233,8 +269,10 @@ def work_list(df: DataFrame, column: str) -> DataFrame:
 
 
 def outcome(extracted: DataFrame) -> DataFrame:
-    """``ok``: whether any of brand, name and ingredients was found."""
+    """``ok``: whether any of brand, name and ingredients was found; ``failed``: whether
+    the page could not be read at all."""
     found = F.lit(False)
     for name in ("brand", "product_name", "ingredients"):
         found = found | (F.coalesce(F.col(name), F.lit("")) != "")
-    return extracted.withColumn("ok", found)
+    failed = F.col("page_error").isNotNull() if "page_error" in extracted.columns else F.lit(False)
+    return extracted.withColumns({"ok": found & ~failed, "failed": failed})

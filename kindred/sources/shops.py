@@ -23,24 +23,27 @@ def detail_b(pages: DataFrame) -> DataFrame:
         "url", "brand", "product_name",
         fn.fallback_price(F.col("price_text"), F.col("box_text")).alias("price"), "base_price",
         F.coalesce(fn.rating(source), F.lit("")).alias("rating"),
-        F.coalesce(fn.review_count(source), F.lit("")).alias("review_count"), "ingredients",
+        F.coalesce(fn.review_count(source), F.lit("")).alias("review_count"), "ingredients", "page_error",
     )
 
 
 def detail_a(pages: DataFrame) -> DataFrame:
-    return extract(pages, specs.DETAIL_A).select("url", "brand", "product_name", "ingredients")
+    return extract(pages, specs.DETAIL_A).select("url", "brand", "product_name", "ingredients", "page_error")
 
 
 def cards_a(pages: DataFrame, root: str) -> DataFrame:
-    """url, html → one row per card of the product section, links made absolute."""
+    """url, html → one row per card of the product section, links made absolute. A page
+    that cannot be read is one row with ``page_error`` and no link."""
     cards = extract(pages.select("html"), specs.CARD_FIELDS_A, each=specs.CARD_A, within=specs.SECTION_A)
     return cards.select("brand", "series", "product_type", "price", "uvp_price", "base_price",
-                        F.concat(F.lit(root), F.coalesce("href", F.lit(""))).alias("url"))
+                        F.when(F.col("page_error").isNull(), F.concat(F.lit(root), F.coalesce("href", F.lit("")))).alias("url"),
+                        "page_error")
 
 
 def tiles_b(pages: DataFrame, root: str) -> DataFrame:
     """subcategory, html → one row per tile; a tile with neither number nor link is
-    dropped, missing values are null."""
+    dropped, missing values are null. A page that cannot be read is one row with
+    ``page_error``."""
     raw = extract(pages.select("subcategory", "html"), specs.TILE_FIELDS_B, each=specs.TILE_B)
     raw = _missing_to_null(raw, ["gtin", "dan", "brand", "price", "base_price", "availability"])
     source = F.col("rating_source")
@@ -49,5 +52,5 @@ def tiles_b(pages: DataFrame, root: str) -> DataFrame:
         "price", "base_price", fn.rating(source).alias("rating"),
         fn.review_count(source).alias("review_count"), "availability", "gtin", "dan",
         fn.first_link(F.col("hrefs"), root).alias("product_url"),
-        fn.first_filled(F.col("image_src"), F.col("image_data_src")).alias("image_url"),
-    ).filter(F.col("gtin").isNotNull() | F.col("product_url").isNotNull())
+        fn.first_filled(F.col("image_src"), F.col("image_data_src")).alias("image_url"), "page_error",
+    ).filter(F.col("gtin").isNotNull() | F.col("product_url").isNotNull() | F.col("page_error").isNotNull())
