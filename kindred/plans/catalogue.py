@@ -6,11 +6,13 @@ serving table are written; counts and checks ride on those writes.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from kindred.operators import bronze, match, nest, quality, weigh
+from kindred.session import scratch
 from kindred.sources import tables
 
 SOURCE_A, SOURCE_B = "a", "b"
@@ -28,12 +30,17 @@ class Layout:
     serving: str
 
 
-def silver_rows(spark: SparkSession, at: Layout, stable_ids: bool = True) -> DataFrame:
-    listing = tables.read_bronze(spark, at.listing_a, sep=";",
-                                 columns=("url", "brand", "series", "price"))
-    texts = tables.read_bronze(spark, at.ingredients_a, columns=("url", "ingredients"))
-    merged = tables.read_bronze(spark, at.merged_b, columns=(
-        "product_url", "brand", "product_name", "price", "ingredients"))
+def silver_rows(spark: SparkSession, at: Layout, stable_ids: bool = True, **given: DataFrame) -> DataFrame:
+    """Silver of the three inputs: the CSV tables of the layout, or what is ``given`` for
+    ``listing_a``, ``ingredients_a`` or ``merged_b`` (stored arrivals)."""
+    def read(name: str, columns: tuple[str, ...], sep: str = ",") -> DataFrame:
+        if name in given:
+            return tables.require_columns(given[name], columns)
+        return tables.read_bronze(spark, getattr(at, name), sep=sep, columns=columns)
+
+    listing = read("listing_a", ("url", "brand", "series", "price"), ";")
+    texts = read("ingredients_a", ("url", "ingredients"))
+    merged = read("merged_b", ("product_url", "brand", "product_name", "price", "ingredients"))
     return bronze.union_sources(
         bronze.to_silver(bronze.listings_a(listing, texts), SOURCE_A, stable_ids),
         bronze.to_silver(bronze.listings_b(merged), SOURCE_B, stable_ids))
@@ -50,12 +57,11 @@ def gold_rows(silver: DataFrame, query_source: str = SOURCE_A, match_source: str
 
 
 def refresh_gold(spark: SparkSession, at: Layout, **options) -> DataFrame:
-    """Gold from the silver table; an empty result fails before anything is replaced."""
-    gold = gold_rows(tables.read_silver(spark, at.silver), **options)
-    staged = f"{at.gold}.next"
-    tables.write_gold(gold, staged)
-    rows = quality.require_rows(tables.read_gold(spark, staged), "gold")
-    tables.write_gold(rows, at.gold)
+    """Gold from the silver table; an empty result fails before anything is replaced.
+    The matching's intermediate tables go when gold is stored."""
+    with scratch(spark):
+        gold = gold_rows(tables.read_silver(spark, at.silver), **options)
+        tables.write_gold(gold, at.gold, check=lambda rows: quality.require_rows(rows, "gold"))
     return tables.read_gold(spark, at.gold)
 
 
@@ -66,8 +72,16 @@ def refresh_serving(spark: SparkSession, at: Layout) -> int:
     return quality.verify_count(tables.read_serving(spark, at.serving), seen.get["rows"])
 
 
-def run(spark: SparkSession, at: Layout, **options) -> int:
+def run(spark: SparkSession, at: Layout, given: dict[str, DataFrame] | None = None, **options) -> int:
     """All stages; returns the number of serving items."""
-    tables.write_silver(silver_rows(spark, at), at.silver)
+    tables.write_silver(silver_rows(spark, at, **(given or {})), at.silver)
     refresh_gold(spark, at, **options)
     return refresh_serving(spark, at)
+
+
+def on_arrival(at: Layout, name: str, **options) -> Callable[[DataFrame, int], None]:
+    """What ``arrivals.store_arrivals`` calls after each batch of the input ``name``: the
+    whole job over everything that has arrived."""
+    def refresh(rows: DataFrame, batch_id: int) -> None:
+        run(rows.sparkSession, at, {name: rows.drop("batch_id")}, **options)
+    return refresh

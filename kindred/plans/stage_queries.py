@@ -141,12 +141,22 @@ def decimal_cast(spark, sf_dir):
 
 @query("stream_arrival", "SELECT lang, count(*) AS rows, sum(n_chars) AS n_chars FROM documents GROUP BY 1")
 def stream_arrival(spark, sf_dir):
-    schema = table(spark, sf_dir, "documents").schema
-    landing = arrivals.watch(spark, sf_dir, schema, "parquet", pathGlobFilter="documents.parquet")
-    stored = fresh_path(spark, "arrivals")
-    arrivals.store_arrivals(landing, stored, fresh_path(spark, "progress")).awaitTermination()
-    return arrivals.read_arrivals(spark, stored, schema).groupBy("lang").agg(
-        F.count(F.lit(1)).alias("rows"), F.sum("n_chars").alias("n_chars"))
+    """Files arrive one after the other; every batch refreshes the published counts."""
+    documents = table(spark, sf_dir, "documents")
+    landing_dir, stored, counts = (fresh_path(spark, x) for x in ("landing", "arrivals", "counts"))
+    documents.repartition(3, "doc_id").write.parquet(landing_dir)
+
+    def refresh(rows, batch_id):
+        tables.publish(rows.groupBy("lang").agg(
+            F.count(F.lit(1)).alias("rows"), F.sum("n_chars").alias("n_chars"),
+            F.count_distinct("batch_id").alias("batches")), counts)
+
+    landing = arrivals.watch(spark, landing_dir, documents.schema, "parquet", files_per_batch=1)
+    arrivals.store_arrivals(landing, stored, fresh_path(spark, "progress"), refresh).awaitTermination()
+    last = spark.read.parquet(tables.current(spark, counts))
+    if last.agg(F.max("batches")).first()[0] == 1:
+        raise AssertionError("the files came in one batch")
+    return last.drop("batches")
 
 
 # --- bronze steps ------------------------------------------------------------

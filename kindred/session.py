@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,7 +41,7 @@ def shared_dir(spark: SparkSession) -> str:
     """
     base = spark.conf.get(CHECKPOINT_KEY, None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError(f"set {CHECKPOINT_KEY} to a folder all executors share")
         base = tempfile.mkdtemp(prefix="kindred-")
         spark.conf.set(CHECKPOINT_KEY, base)
@@ -58,6 +61,48 @@ def materialise(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
     keeps the rows apart by a column of few values, so readers skip the other files.
     """
     path = fresh_path(df.sparkSession, label)
+    for held in _scratch:
+        held.append(path)
     writer = df.write.mode("overwrite")
     (writer.partitionBy(by) if by else writer).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_scratch: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end what ``materialise`` writes within: for jobs that store their
+    result before they leave. Results read later must not be built in it."""
+    paths: list[str] = []
+    _scratch.append(paths)
+    try:
+        yield
+    finally:
+        _scratch.remove(paths)
+        for path in paths:
+            remove(spark, path)
+
+
+def _at(spark: SparkSession, path: str):
+    """The file system of a path, and the path, as Hadoop has them."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    system, where = _at(spark, path)
+    system.delete(where, True)
+
+
+def rename(spark: SparkSession, old: str, new: str) -> None:
+    system, where = _at(spark, old)
+    if not system.rename(where, spark._jvm.org.apache.hadoop.fs.Path(new)):
+        raise OSError(f"{old} could not become {new}")
+
+
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that fit a glob pattern, sorted."""
+    system, where = _at(spark, pattern)
+    return sorted(str(s.getPath().toString()) for s in system.globStatus(where) or ())

@@ -2,13 +2,46 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import time
+import uuid
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kindred import schemas
+from kindred import schemas, session
+
+#: Published versions that stay, for readers that began with the one before.
+KEPT_VERSIONS = 2
+
+
+def publish(df: DataFrame, path: str, check: Callable[[DataFrame], object] | None = None,
+            by: str | None = None) -> None:
+    """Store ``df`` as the new version of the table at ``path``.
+
+    The version is written aside, checked and then renamed, which readers see at once or
+    not at all; a failed write or check leaves the version before in place.
+    """
+    spark, trial = df.sparkSession, f"{path}/trial-{uuid.uuid4().hex}"
+    try:
+        (df.write.partitionBy(by) if by else df.write).parquet(trial)
+        if check is not None:
+            check(spark.read.schema(df.schema).parquet(trial))
+        session.rename(spark, trial, f"{path}/v-{time.time_ns():020d}")
+    except BaseException:
+        session.remove(spark, trial)
+        raise
+    for old in session.matching(spark, f"{path}/v-*")[:-KEPT_VERSIONS]:
+        session.remove(spark, old)
+
+
+def current(spark: SparkSession, path: str) -> str:
+    """Folder of the version that was published last."""
+    found = session.matching(spark, f"{path}/v-*")
+    if not found:
+        raise FileNotFoundError(f"no table was published at {path}")
+    return found[-1]
 
 
 def read_bronze(spark: SparkSession, path: str, sep: str = ",", columns: Iterable[str] = (),
@@ -37,7 +70,7 @@ def write_bronze(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrit
 
 def write_silver(silver: DataFrame, path: str) -> None:
     """Parquet per source. Types survive, files stay as parallel as the job."""
-    silver.write.mode("overwrite").partitionBy("source").parquet(path)
+    publish(silver, path, by="source")
 
 
 def export_csv(df: DataFrame, path: str) -> None:
@@ -48,7 +81,7 @@ def export_csv(df: DataFrame, path: str) -> None:
 def read_silver(spark: SparkSession, path: str) -> DataFrame:
     """All parts of the silver table; a missing table is an error of the reader."""
     names = schemas.SILVER.fieldNames()
-    return spark.read.schema(schemas.SILVER).parquet(path).select(*names)
+    return spark.read.schema(schemas.SILVER).parquet(current(spark, path)).select(*names)
 
 
 def read_silver_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -75,15 +108,16 @@ def _typed(col: Column, to: T.DataType) -> Column:
     return col if isinstance(to, T.StringType) else col.try_cast(to)
 
 
-def write_gold(gold: DataFrame, path: str, fmt: str = "parquet") -> None:
+def write_gold(gold: DataFrame, path: str, fmt: str = "parquet",
+               check: Callable[[DataFrame], object] | None = None) -> None:
     if fmt == "csv":
         export_csv(gold, path)
     else:
-        gold.write.mode("overwrite").format(fmt).save(path)
+        publish(gold, path, check)
 
 
 def read_gold(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.GOLD).parquet(path)
+    return spark.read.schema(schemas.GOLD).parquet(current(spark, path))
 
 
 def read_gold_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -99,9 +133,9 @@ def coerce_gold(df: DataFrame) -> DataFrame:
 
 
 def write_serving(items: DataFrame, path: str) -> None:
-    """Full refresh: the new items replace all old ones as one committed job."""
-    items.write.mode("overwrite").parquet(path)
+    """Full refresh: the new items replace all old ones at once, or none of them."""
+    publish(items, path)
 
 
 def read_serving(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.SERVING).parquet(path)
+    return spark.read.schema(schemas.SERVING).parquet(current(spark, path))

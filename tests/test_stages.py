@@ -1,8 +1,10 @@
+import dataclasses
+
 import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from kindred import schemas
+from kindred import schemas, session
 from kindred.operators import bronze, nest, profile, quality, view, weigh
 from kindred.plans import catalogue
 from kindred.sources import tables
@@ -170,3 +172,43 @@ def test_arrivals_are_stored_once_and_refresh_over_everything(spark, tmp_path):
     assert seen == [1, 2]
     back = arrivals.read_arrivals(spark, stored, schemas.INGREDIENTS_A)
     assert {r.batch_id: r.rows for r in arrivals.count_arrivals(back).collect()} == {0: 1, 1: 1}
+
+
+def test_arrivals_start_the_job(spark, layout, tmp_path):
+    """Two files in two batches end in the gold of one run over everything."""
+    catalogue.run(spark, layout)
+    at = dataclasses.replace(layout, **{n: str(tmp_path / n) for n in ("silver", "gold", "serving")})
+    rows = tables.read_bronze(spark, layout.listing_a, sep=";", columns=schemas.LISTING_A.fieldNames())
+    landing = str(tmp_path / "landing")
+    for part in (rows.filter("brand = 'Luxe'"), rows.filter("brand <> 'Luxe'")):
+        tables.write_bronze(part.coalesce(1), landing, sep=";", mode="append")
+    source = arrivals.watch(spark, landing, schemas.LISTING_A, header=True, sep=";", files_per_batch=1)
+    arrivals.store_arrivals(source, str(tmp_path / "stored"), str(tmp_path / "progress"),
+                            catalogue.on_arrival(at, "listing_a")).awaitTermination()
+    stored = arrivals.read_arrivals(spark, str(tmp_path / "stored"), schemas.LISTING_A)
+    assert arrivals.count_arrivals(stored).count() == 2
+    columns = ("query_url", "rank", "match_url", "cosine_similarity")
+    want, got = ({tuple(r) for r in tables.read_gold(spark, p).select(*columns).collect()} for p in (layout.gold, at.gold))
+    assert got == want
+
+
+def test_publishing_is_all_or_nothing(spark, tmp_path):
+    path = str(tmp_path / "table")
+    with pytest.raises(FileNotFoundError):
+        tables.current(spark, path)
+    for n in (1, 2, 3):
+        tables.publish(spark.range(n), path)
+    def refuse(rows):
+        raise ValueError(rows.count())
+    with pytest.raises(ValueError):
+        tables.publish(spark.range(9), path, check=refuse)
+    assert spark.read.parquet(tables.current(spark, path)).count() == 3
+    assert len(session.matching(spark, f"{path}/*")) == tables.KEPT_VERSIONS
+
+
+def test_scratch_tables_go(spark):
+    with session.scratch(spark):
+        kept = session.materialise(spark.range(5), "trial")
+        where = kept.inputFiles()[0].rsplit("/", 1)[0]
+        assert session.matching(spark, where)
+    assert not session.matching(spark, where)
