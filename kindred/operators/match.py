@@ -63,7 +63,7 @@ def tie_key(similarity: Column | str) -> Column:
 
 @dataclass(frozen=True)
 class Vectors:
-    """``features``: side, profile, lead_brand, ingredient, postings, u, head, tail, lead.
+    """``features``: side, profile, lead_brand, only_brand, ingredient, postings, u, head, tail, lead.
     ``members``: side, profile, product_id, brand.
 
     ``u`` is the unit-normalised weight, ``postings`` the number of match profiles
@@ -71,7 +71,8 @@ class Vectors:
     is the norm after this ingredient, counting long lists only, and ``head`` the same
     with this ingredient. ``lead`` marks the ingredients looked up for the floor: the
     heaviest and the most common one, so that a floor is found wherever any list holds
-    enough answers.
+    enough answers. ``only_brand`` is the brand of a profile whose members have no other:
+    two profiles of one such brand never answer each other.
     """
 
     features: DataFrame
@@ -94,10 +95,13 @@ def profile_keys(weighted: DataFrame) -> DataFrame:
     )
 
 
-def build_vectors(weighted: DataFrame, products: DataFrame) -> Vectors:
+def build_vectors(weighted: DataFrame, products: DataFrame, same_brand: bool = True) -> Vectors:
     """``products``: product_id, side ('query' or 'match'), brand.
 
     Rows of weight zero (an ingredient of every product) add nothing and go first.
+    Without ``same_brand``, an ingredient that the other side has in one brand only goes
+    from the profiles of that brand: it counts in their norm but in no answer. So the
+    lines of a brand neither open lists nor loosen bounds.
     """
     live = materialise(
         weighted.filter(F.col("tfidf") > 0).select("product_id", "ingredient", "tfidf"), "weights")
@@ -109,6 +113,7 @@ def build_vectors(weighted: DataFrame, products: DataFrame) -> Vectors:
         F.min("product_id").alias("profile"),
         F.min("norm").alias("norm"),
         F.min_by("brand", "product_id").alias("lead_brand"),
+        F.when(F.min("brand") == F.max("brand"), F.min("brand")).alias("only_brand"),
     )
     members = keyed.join(
         profiles.select("side", "fingerprint", "profile"), ["side", "fingerprint"]
@@ -116,25 +121,32 @@ def build_vectors(weighted: DataFrame, products: DataFrame) -> Vectors:
 
     rows = (
         live.select(F.col("product_id").alias("profile"), "ingredient", "tfidf")
-        .join(profiles.select("side", "profile", "norm", "lead_brand"), "profile")
-        .select("side", "profile", "lead_brand", "ingredient",
+        .join(profiles.select("side", "profile", "norm", "lead_brand", "only_brand"), "profile")
+        .select("side", "profile", "lead_brand", "only_brand", "ingredient",
                 (F.col("tfidf") / F.col("norm")).alias("u"))
     )
     # An ingredient that only one source uses counts in the norm but in no score.
+    def line_of(side: str) -> Column:
+        brand = F.when(F.col("side") == side, F.coalesce("only_brand", F.lit("\0")))
+        return F.when(F.min(brand) == F.max(brand), F.min(brand))
+
     postings = rows.groupBy("ingredient").agg(
         F.count_if(F.col("side") == "match").alias("postings"),
         F.count_if(F.col("side") == "query").alias("probes"),
+        line_of("match").alias("match_line"), line_of("query").alias("query_line"),
     ).filter("postings > 0 AND probes > 0").drop("probes")
+    line = F.when(F.col("side") == "query", F.col("match_line")).otherwise(F.col("query_line"))
+    answers = F.lit(same_brand) | F.coalesce(line != F.col("only_brand"), F.lit(True))
     common_first = W.partitionBy("profile").orderBy(F.desc("postings"), F.desc("ingredient"))
     before = common_first.rowsBetween(W.unboundedPreceding, -1)
     squares = F.col("u") * F.col("u")
     guarded = F.when(F.col("postings") > SHORT_LIST, squares).otherwise(0.0)
     features = (
-        rows.join(postings, "ingredient")
+        rows.join(postings, "ingredient").filter(answers)
         .withColumn("after", F.coalesce(F.sum(guarded).over(before), F.lit(0.0)))
         .withColumn("place", F.row_number().over(common_first))
         .select(
-            "side", "profile", "lead_brand", "ingredient", "postings", "u",
+            "side", "profile", "lead_brand", "only_brand", "ingredient", "postings", "u",
             F.sqrt(F.col("after") + squares).alias("head"),
             F.sqrt("after").alias("tail"),
             ((squares >= LEAD_SHARE) | (F.col("place") == 1)).alias("lead"),
@@ -161,14 +173,19 @@ def representatives(members: DataFrame, n: int) -> DataFrame:
 
 def _sides(features: DataFrame) -> tuple[DataFrame, DataFrame]:
     fa = features.filter(F.col("side") == "query").select(
-        F.col("profile").alias("a"), "ingredient", F.col("u").alias("ua"),
-        F.col("head").alias("head_a"), F.col("tail").alias("tail_a"), "postings", "lead")
+        F.col("profile").alias("a"), "ingredient", F.col("u").alias("ua"), F.col("head").alias("head_a"),
+        F.col("tail").alias("tail_a"), "postings", "lead", F.col("only_brand").alias("brand_a"))
     fb = features.filter(F.col("side") == "match").select(
-        F.col("profile").alias("b"), "ingredient", F.col("u").alias("ub"),
-        F.col("head").alias("head_b"), F.col("tail").alias("tail_b"), "postings", "lead_brand")
+        F.col("profile").alias("b"), "ingredient", F.col("u").alias("ub"), F.col("head").alias("head_b"),
+        F.col("tail").alias("tail_b"), "postings", "lead_brand", F.col("only_brand").alias("brand_b"))
     return fa, fb
 
 
+def _may_answer() -> Column:
+    """Not two profiles of one and the same brand."""
+    return F.coalesce(F.col("brand_a") != F.col("brand_b"), F.lit(True))
+
+
 def exact_scores(pairs: DataFrame, features: DataFrame) -> DataFrame:
     """Cosine of given distinct (a, b) pairs; keeps the other columns of ``pairs``."""
     fa, fb = _sides(features)
@@ -181,7 +198,7 @@ def exact_scores(pairs: DataFrame, features: DataFrame) -> DataFrame:
     )
 
 
-def query_floors(vectors: Vectors, n: int, ceiling: float) -> DataFrame:
+def query_floors(vectors: Vectors, reps: DataFrame, n: int, ceiling: float) -> DataFrame:
     """a, floor: a score that the n-th answer of every product of profile ``a``
     reaches for certain; 0 where fewer than n answers were met."""
     fa, fb = _sides(vectors.features)
@@ -190,25 +207,26 @@ def query_floors(vectors: Vectors, n: int, ceiling: float) -> DataFrame:
     strongest = (
         fb.withColumn("r", F.row_number().over(by_brand)).filter(F.col("r") <= n)
         .withColumn("r", F.row_number().over(overall)).filter(F.col("r") <= 2 * n)
-        .select("ingredient", "b", "ub")
+        .select("ingredient", "b", "ub", "brand_b")
     )
+    # Of the 2n, n per brand, n at least are of another brand than the query's.
     seeds = (
-        fa.filter("lead").join(strongest, "ingredient")
+        fa.filter("lead").join(strongest, "ingredient").filter(_may_answer())
         .groupBy("a", "b").agg(F.sum(F.col("ua") * F.col("ub")).alias("met"))
         .withColumn("r", F.row_number().over(W.partitionBy("a").orderBy(F.desc("met"), "b")))
         .filter(F.col("r") <= 2 * n).select("a", "b")
     )
-    return exact_floors(seeds, vectors, n, ceiling)
+    return exact_floors(seeds, vectors, reps, n, ceiling)
 
 
-def exact_floors(seeds: DataFrame, vectors: Vectors, n: int, ceiling: float) -> DataFrame:
+def exact_floors(seeds: DataFrame, vectors: Vectors, reps: DataFrame, n: int, ceiling: float) -> DataFrame:
     """The floor that the exact scores of the given distinct (a, b) pairs prove."""
     brands = vectors.members.filter(F.col("side") == "query").select(
         F.col("profile").alias("a"), "brand").distinct()
     return (
         exact_scores(seeds, vectors.features)
         .filter(F.col("similarity") < ceiling - SLACK)
-        .join(representatives(vectors.members, n), "b")
+        .join(reps, "b")
         .join(brands, "a")
         .withColumn("met", F.col("match_brand") != F.col("brand"))
         .withColumn("r", F.row_number().over(
@@ -225,12 +243,13 @@ def _band(norm: Column) -> Column:
 
 
 def met_pairs(features: DataFrame, floors: DataFrame | None = None,
-              floor: float | None = None) -> DataFrame:
+              floor: float | None = None, same_brand: bool = True) -> DataFrame:
     """a, b, floor, similarity so far, and the most that ``rest`` can still add, for
     every profile pair that may reach its floor.
 
     ``floors`` holds a floor per query profile (missing = 0); ``floor`` is one for
-    all. Long posting lists are split into bands of the remaining norm, and a query
+    all. Without ``same_brand`` two profiles of one brand form no pair. Long posting
+    lists are split into bands of the remaining norm, and a query
     opens only the bands that can reach its floor, so the equality join itself
     skips the rest of the list. Hot (ingredient, band) keys are left to the
     skew-join rule, which splits both sides without replicating writes.
@@ -248,13 +267,13 @@ def met_pairs(features: DataFrame, floors: DataFrame | None = None,
         .withColumn("band", F.explode(F.when(
             banded, F.sequence(F.least(_band(needed), F.lit(BANDS)), F.lit(BANDS)),
         ).otherwise(F.array(F.lit(0)))))
-        .select("a", "ingredient", "band", "ua", "head_a", "tail_a", "floor", short.alias("short"))
+        .select("a", "brand_a", "ingredient", "band", "ua", "head_a", "tail_a", "floor", short.alias("short"))
     )
     postings = fb.withColumn(
         "band", F.when(banded, F.least(_band(F.col("head_b") + SLACK), F.lit(BANDS))).otherwise(0)
-    ).select("b", "ingredient", "band", "ub", "head_b", "tail_b")
+    ).select("b", "brand_b", "ingredient", "band", "ub", "head_b", "tail_b")
     met = (
-        probes.join(postings, ["ingredient", "band"])
+        probes.join(postings, ["ingredient", "band"]).filter(F.lit(same_brand) | _may_answer())
         .filter(F.col("short") | (F.col("head_a") * F.col("head_b") >= F.col("floor") - SLACK))
         .groupBy("a", "b")
         .agg(F.sum(F.col("ua") * F.col("ub")).alias("similarity"),
@@ -265,14 +284,14 @@ def met_pairs(features: DataFrame, floors: DataFrame | None = None,
     return materialise(met, "met")
 
 
-def raise_floors(met: DataFrame, vectors: Vectors, n: int, ceiling: float) -> DataFrame:
+def raise_floors(met: DataFrame, vectors: Vectors, reps: DataFrame, n: int, ceiling: float) -> DataFrame:
     """Drop pairs that cannot reach the n-th best exact score among the pairs that
     already score most. Worth its small cost only where scores are still open."""
     if met.filter(~_complete()).isEmpty():
         return met
     best = W.partitionBy("a").orderBy(F.desc("similarity"), "b")
     seeds = met.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= 4 * n)
-    higher = materialise(exact_floors(seeds.select("a", "b"), vectors, n, ceiling), "floors")
+    higher = materialise(exact_floors(seeds.select("a", "b"), vectors, reps, n, ceiling), "floors")
     return (
         met.join(higher.withColumnRenamed("floor", "higher"), "a", "left")
         .withColumn("floor", F.greatest("floor", F.coalesce("higher", F.lit(0.0))))
@@ -327,11 +346,11 @@ def rank_matches(weighted: DataFrame, products: DataFrame, n: int = TOP_N,
     up with the lowest-id products it has nothing in common with.
     """
     products = materialise(products.select("product_id", "side", "brand"), "products", by="side")
-    vectors = build_vectors(weighted, products)
-    floors = query_floors(vectors, n, ceiling)
-    met = met_pairs(vectors.features, floors)
-    pairs = settle(raise_floors(met, vectors, n, ceiling), vectors.features)
-    reps = representatives(vectors.members, n)
+    vectors = build_vectors(weighted, products, same_brand=False)
+    reps = materialise(representatives(vectors.members, n), "representatives")
+    floors = query_floors(vectors, reps, n, ceiling)
+    met = met_pairs(vectors.features, floors, same_brand=False)
+    pairs = settle(raise_floors(met, vectors, reps, n, ceiling), vectors.features)
 
     per_brand, overall = _ranked(["a"], n)
     shortlist = (
@@ -374,6 +393,7 @@ def _zero_padding(ranked: DataFrame, met: DataFrame, reps: DataFrame, vectors: V
         .filter(F.col("have") < n).join(profile_of, "query_id", "left")
     )
     kinds = short.filter(F.col("a").isNotNull()).select("a", "brand").distinct()
+    # Pairs of one brand are not in ``met`` and need no exclusion: the brand excludes them.
     excluded = (
         met.filter("floor <= 0").select("a", "b").join(kinds, "a").join(reps, "b")
         .filter(F.col("match_brand") != F.col("brand"))

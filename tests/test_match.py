@@ -144,11 +144,35 @@ def test_copies_cost_one_vector_and_common_words_few_pairs(spark):
     vectors = match.build_vectors(weigh.weigh(silver), sides)
     profiles = vectors.features.select("side", "profile").distinct().count()
     assert profiles < 2100  # 1000 copies fell into two profiles
-    floors = match.query_floors(vectors, 3, 0.9999)
+    floors = match.query_floors(vectors, match.representatives(vectors.members, 3), 3, 0.9999)
     pairs = match.met_pairs(vectors.features, floors).count()
     assert pairs < 1500 * 1500 / 40
 
 
+def test_brand_lines_form_few_pairs(spark):
+    """Products of a brand share their leading ingredients, so the nearest ones are all
+    of the own brand. Pairs must stay few and grow with the products, not their square."""
+    kept = []
+    for count in (1000, 2000):
+        rng = random.Random(7)
+        rows, products = [], []
+        for k in range(count):
+            brand = k % 20
+            words = [f"line{brand}-{i}" for i in range(6)] + [f"common{i}" for i in range(3)]
+            words += [f"r{rng.randrange(count // 4)}" for _ in range(6)]
+            rng.shuffle(words)
+            rows += [(f"p{k:05d}", w, i + 1) for i, w in enumerate(dict.fromkeys(words))]
+            products.append((f"p{k:05d}", "query" if (k // 20) % 2 else "match", f"brand{brand}"))
+        silver = spark.createDataFrame(rows, SCHEMA)
+        sides = spark.createDataFrame(products, "product_id string, side string, brand string")
+        vectors = match.build_vectors(weigh.weigh(silver), sides, same_brand=False)
+        floors = match.query_floors(vectors, match.representatives(vectors.members, 3), 3, 0.9999)
+        assert floors.filter("floor > 0").count() > 0.95 * count / 2
+        kept.append(match.met_pairs(vectors.features, floors, same_brand=False).count())
+    assert kept[0] < 0.1 * 500 ** 2 and kept[1] < 0.05 * 1000 ** 2
+    assert kept[1] < 3 * kept[0]
+
+
 def test_pairs_above_a_floor(spark, monkeypatch):
     monkeypatch.setattr(match, "SHORT_LIST", 3)
     monkeypatch.setattr(match, "BANDED_LENGTH", 6)
