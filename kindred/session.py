@@ -72,17 +72,26 @@ _scratch: list[list[str]] = []
 
 
 @contextlib.contextmanager
-def scratch(spark: SparkSession) -> Iterator[None]:
-    """Delete at the end what ``materialise`` writes within: for jobs that store their
-    result before they leave. Results read later must not be built in it."""
+def recorded() -> Iterator[list[str]]:
+    """The paths that ``materialise`` writes within."""
     paths: list[str] = []
     _scratch.append(paths)
     try:
-        yield
+        yield paths
     finally:
-        _scratch.remove(paths)
-        for path in paths:
-            remove(spark, path)
+        _scratch[:] = [p for p in _scratch if p is not paths]
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end what ``materialise`` writes within: for jobs that store their
+    result before they leave. Results read later must not be built in it."""
+    with recorded() as paths:
+        try:
+            yield
+        finally:
+            for path in paths:
+                remove(spark, path)
 
 
 def _at(spark: SparkSession, path: str):
