@@ -1,18 +1,22 @@
 """The training-text pipeline: documents through the stages below, in their order.
 
 Every stage reads what its predecessor wrote and works on all of it. Stages but the
-last return rows with the columns of ``documents``.
+last return rows with the columns of ``documents``. A stage's result is to be stored
+before the next stage is called, which deletes the tables its predecessor needed.
 """
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kindred.llm import decontaminate, near_dedup, pieces, quality_rules, substring
 from kindred.llm.registry import query, table
-from kindred.session import fresh_path
+from kindred.session import fresh_path, recorded, remove
 
 #: Automata, FM-indexes and piece splits are beyond SQL; tests compare with brute force.
 ORACLE_SQL = None
@@ -46,13 +50,32 @@ def piece_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pieces.round_trip(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
-STAGES = [
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+#: Application and tables of the stage called last.
+_used: list[tuple[str, str]] = []
+
+
+def _tidy(stage: Stage) -> Stage:
+    @functools.wraps(stage)
+    def tidied(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        for application, path in _used:
+            if application == spark.sparkContext.applicationId:
+                remove(spark, path)
+        with recorded() as paths:
+            result = stage(spark, docs, sf_dir)
+        _used[:] = [(spark.sparkContext.applicationId, path) for path in paths]
+        return result
+    return tidied
+
+
+STAGES = [(name, _tidy(stage)) for name, stage in (
     ("quality rules", quality),
     ("MinHash near-dedup", near_duplicates),
     ("substring dedup", repeated_passages),
     ("benchmark decontamination", benchmark_leaks),
     ("SentencePiece encoding and decoding", piece_ids),
-]
+)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

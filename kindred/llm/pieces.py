@@ -156,15 +156,21 @@ class Codec:
         return b"".join([texts[i] for i in pieces.tolist()])[1:].decode("utf-8", "replace")
 
 
+#: The codec of a worker; it serves one task after the other, with the words it keeps.
+_codecs: dict[str, Codec] = {}
+
+
+def codec_of(path: str) -> Codec:
+    if path not in _codecs:
+        _codecs[path] = Codec(path)
+    return _codecs[path]
+
+
 def encode(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
     """``docs`` with pieces (ids) and n_words (marked words)."""
-    held: list[Codec] = []
-
     def of(part: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray) -> list[pa.Array]:
-        if not held:
-            held.append(Codec(model))
         parts = [marked_words(t) for t in part.column(text).fill_null("").to_pylist()]
-        found = held[0].encode_marked(parts)
+        found = codec_of(model).encode_marked(parts)
         ends = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
         flat = np.concatenate(found) if found else np.zeros(0, np.int32)
         return [pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32())),
@@ -175,15 +181,12 @@ def encode(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
 
 def decode(encoded: DataFrame, model: str) -> DataFrame:
     """``encoded`` (pieces) with decoded, the text that its pieces spell."""
-    held: list[Codec] = []
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not held:
-                held.append(Codec(model))
+            codec = codec_of(model)
             lists = batch.column("pieces")
             ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
-            texts = [held[0].decode(flat[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+            texts = [codec.decode(flat[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())],
                                              names=[*batch.schema.names, "decoded"])
 

@@ -37,6 +37,9 @@ MAX_TERMS = 4096
 FACTORS = 8
 #: A term must stand in this many learned rows.
 LEAST_ROWS = 5
+#: Standard errors by which its shares in the two labels must differ; keeps chance out
+#: where rows are few.
+LEAST_Z = 4.5
 EPOCHS, BATCH, RATE, DECAY = 30, 256, 0.1, 2e-4
 THRESHOLD = 0.5
 
@@ -137,8 +140,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = MA
     # Difference of the shares over its standard error under one common share.
     p, q = F.col("yes") / yes, F.col("no") / no
     both = (F.col("yes") + F.col("no")) / (yes + no)
-    z = F.abs(p - q) / F.sqrt(both * (1 - both) + 1e-9)
-    best = [r.term for r in counts.orderBy(F.desc(z), "term").limit(MAX_TERMS).select("term").collect()]
+    z = F.abs(p - q) / F.sqrt(both * (1 - both) * (1 / yes + 1 / no) + 1e-12)
+    telling = counts.withColumn("z", z).filter(F.col("z") >= LEAST_Z)
+    best = [r.term for r in telling.orderBy(F.desc("z"), "term").limit(MAX_TERMS).select("term").collect()]
     slot = np.full(BUCKETS, -1, np.int32)
     slot[best] = np.arange(len(best), dtype=np.int32)
 
