@@ -94,7 +94,7 @@ def train(slot: np.ndarray, terms: list[np.ndarray], labels: np.ndarray, seed: i
     share = float(np.clip(labels.mean() if len(labels) else 0.0, 1e-6, 1 - 1e-6))
     machine = Machine(slot, float(np.log(share / (1 - share))), np.zeros(count),
                       random.normal(0, 0.05, (count, FACTORS)))
-    if labels.min(initial=1) == labels.max(initial=0):
+    if not count or len(set(labels.tolist())) < 2:
         machine.factors[:] = 0
         return machine
     size = np.array([len(t) for t in terms])
