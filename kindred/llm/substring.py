@@ -29,10 +29,13 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,9 +44,14 @@ from kindred.llm.wavelet import FMIndex
 from kindred.session import materialise
 
 WIDTH, GRAM = 20, 6
-HOT = 2000
+#: Places of an anchor that one shard may hold (up to 300 bytes each).
+HOT = 50_000
+#: Repeated anchors that are sent to the tasks as they are (8 bytes each).
+FILTER_ANCHORS = 2_000_000
+#: Bytes of a word's hash in a segment.
+WORD_BYTES = 6
 #: Segments in a shard, on average.
-SHARD_SEGMENTS = 12_000
+SHARD_SEGMENTS = 20_000
 
 _LAST = (1 << 63) - 1
 
@@ -121,37 +129,63 @@ def _repeated(places: DataFrame) -> DataFrame:
     ).filter("x <> y").select("anchor", (F.col("n") > HOT).alias("hot"))
 
 
-def _with_text(marks: DataFrame, firsts: DataFrame, docs: DataFrame) -> DataFrame:
-    """id, k1, k2, text, marks: the first document of each text that has marks (k1, k2, mark)."""
-    grouped = marks.groupBy("k1", "k2").agg(F.collect_set("mark").alias("marks"))
-    wanted = grouped.join(firsts, ["k1", "k2"])
-    return docs.join(wanted, ["id", "k1", "k2"]).dropDuplicates(["id", "k1", "k2"]).select(
-        "id", "k1", "k2", "text", "marks")
+@dataclass
+class Marks:
+    """Texts (id, k1, k2, text) and where their wanted anchors are: given by ``marks``, or
+    to be found among the sorted hashes of ``only``."""
+
+    texts: DataFrame
+    only: Broadcast | None
+
+    @classmethod
+    def of(cls, wanted: DataFrame, docs: DataFrame, firsts: DataFrame, width: int, gram: int) -> Marks:
+        """Up to ``FILTER_ANCHORS`` the anchors are sent to the tasks, which find them in
+        their texts; beyond that their places are joined, and the places with the texts."""
+        if wanted.count() <= FILTER_ANCHORS:
+            held = np.sort(np.array([r.anchor for r in wanted.select("anchor").toLocalIterator()], np.int64).view(np.uint64))
+            return cls(docs, docs.sparkSession.sparkContext.broadcast(held))
+        marks = _places(docs, width, gram).join(wanted.select("anchor"), "anchor")
+        grouped = marks.groupBy("k1", "k2").agg(F.collect_set("at").alias("marks")).join(firsts, ["k1", "k2"])
+        return cls(docs.join(grouped, ["id", "k1", "k2"]).dropDuplicates(["id", "k1", "k2"]), None)
+
+    def documents(self, batches: Iterator[pa.RecordBatch], width: int, gram: int
+                  ) -> Iterator[tuple[pa.RecordBatch, int, np.ndarray, np.ndarray]]:
+        """Rows with their words and the places of the wanted anchors."""
+        for part, row, words in _documents(batches):
+            if self.only is None:
+                at = np.sort(np.array(part.column("marks")[row].as_py(), np.int64))
+            else:
+                at, found = anchors(words, width, gram)
+                near = np.searchsorted(self.only.value, found)
+                near[near == len(self.only.value)] = 0
+                at = at[self.only.value[near] == found] if len(self.only.value) else at[:0]
+            if len(at):
+                yield part, row, words, at
 
 
 _SEGMENTS = ("id long, k1 long, k2 long, start int, anchor long, c1 long, c2 long, words binary")
 
 
-def _segments(texts: DataFrame, width: int, gram: int) -> DataFrame:
+def _segments(marks: Marks, width: int, gram: int) -> DataFrame:
     """The words of all windows around each mark (a gram's place), one row for each.
 
-    ``words`` (64-bit hashes) is given once for equal segments of a slice of rows.
+    ``words`` (six bytes of hash each) is given once for equal segments of a task.
     """
-    reach = width - gram
+    reach, only = width - gram, marks.only
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
         out: list[list] = [[] for _ in range(8)]
-        for part, row, words in _documents(batches):
+        for part, row, words, places in Marks(None, only).documents(batches, width, gram):
             key = [part.column(k)[row].as_py() for k in ("id", "k1", "k2")]
-            grams = blocks.window_hashes(words, gram)
-            for at in sorted(part.column("marks")[row].as_py()):
+            grams = blocks.window_hashes(words, gram)[places].view(np.int64).tolist()
+            short = np.ascontiguousarray(words.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :WORD_BYTES]).tobytes()
+            for at, anchor in zip(places.tolist(), grams, strict=True):
                 start = max(0, at - reach)
-                held = words[start:at + width].tobytes()
+                held = short[WORD_BYTES * start:WORD_BYTES * (at + width)]
                 digest = hashlib.blake2b(held, digest_size=16).digest()
                 c = int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)
-                for column, value in zip(out, (*key, start, grams[at].view(np.int64), *c,
-                                               None if c in seen else held), strict=True):
+                for column, value in zip(out, (*key, start, anchor, *c, None if c in seen else held), strict=True):
                     column.append(value)
                 seen.add(c)
             if len(out[0]) >= 8192:
@@ -162,7 +196,7 @@ def _segments(texts: DataFrame, width: int, gram: int) -> DataFrame:
         if out[0]:
             yield _segment_batch(out)
 
-    return texts.mapInArrow(run, _SEGMENTS)
+    return marks.texts.mapInArrow(run, _SEGMENTS)
 
 
 def _segment_batch(out: list[list]) -> pa.RecordBatch:
@@ -174,12 +208,14 @@ def _segment_batch(out: list[list]) -> pa.RecordBatch:
 def earlier_windows(segments: pa.Table, width: int) -> np.ndarray:
     """For each segment (id, k1, k2, start, words) a bit for each of its windows: set if
     the same words also stand at an earlier place in some segment."""
-    words = [np.frombuffer(w.as_py(), np.uint64) for w in segments.column("words")]
-    lengths = np.array([len(w) for w in words])
-    symbols = np.unique(np.concatenate(words), return_inverse=True)[1] + 1
+    raw = [w.as_py() for w in segments.column("words")]
+    lengths = np.array([len(w) // WORD_BYTES for w in raw])
+    padded = np.zeros((int(lengths.sum()), 8), np.uint8)
+    padded[:, :WORD_BYTES] = np.frombuffer(b"".join(raw), np.uint8).reshape(-1, WORD_BYTES)
+    symbols = np.unique(padded.view("<u8").ravel(), return_inverse=True)[1] + 1
     begins = np.concatenate([[0], np.cumsum(lengths + 1)])[:-1]
     within = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    owner = np.repeat(np.arange(len(words)), lengths)
+    owner = np.repeat(np.arange(len(raw)), lengths)
     text = np.zeros(int((lengths + 1).sum()), np.int64)  # 0 parts the segments
     text[begins[owner] + within] = symbols
     index = FMIndex(text, width)
@@ -195,12 +231,13 @@ def earlier_windows(segments: pa.Table, width: int) -> np.ndarray:
     place[(begins[owner] + within)[order]] = np.cumsum(changed)
     # Backward search of all windows at once; what has one occurrence left is settled.
     first = (begins[owner] + within)[within + width <= lengths[owner]]
-    low, high = np.zeros(len(first), np.int64), np.full(len(first), len(text), np.int64)
-    live = np.arange(len(first))
-    for step in range(width - 1, -1, -1):
+    last = text[first + width - 1]
+    low, high = index.first[last], index.first[last + 1]
+    live = np.flatnonzero(high - low > 1)
+    for step in range(width - 2, -1, -1):
         low[live], high[live] = index.extend(text[first[live] + step], low[live], high[live])
         live = live[high[live] - low[live] > 1]
-    masks = np.zeros(len(words), np.int64)
+    masks = np.zeros(len(raw), np.int64)
     if len(live):
         lows, back = np.unique(low[live], return_inverse=True)
         highs = np.zeros(len(lows), np.int64)
@@ -213,22 +250,55 @@ def earlier_windows(segments: pa.Table, width: int) -> np.ndarray:
     return masks
 
 
+def _whole(segments: pa.Table, width: int) -> pa.ChunkedArray:
+    """A bit for every window of each segment."""
+    windows = pc.add(pc.divide(pc.binary_length(segments.column("words")), WORD_BYTES), 1 - width).cast(pa.int64())
+    return pc.subtract(pc.shift_left(pa.scalar(1, pa.int64()), windows), 1)
+
+
 def _search(segments: DataFrame, width: int) -> DataFrame:
-    """k1, k2, start, mask: the places of all windows that also stand earlier."""
+    """id, k1, k2, start, mask: the places of all windows that also stand earlier.
+
+    For anchors of at most ``HOT`` places: all places of a segment meet in its shard.
+    """
+    shards = max(1, segments.count() // SHARD_SEGMENTS)
+
+    def search(shard: pa.Table) -> pa.Table:
+        keys = [shard.column(c).to_numpy() for c in ("start", "k2", "k1", "id", "c2", "c1")]
+        order = np.lexsort(keys)  # equal segments together, the earliest place first
+        c1, c2 = keys[5][order], keys[4][order]
+        fresh = np.ones(len(order), bool)
+        fresh[1:] = (c1[1:] != c1[:-1]) | (c2[1:] != c2[:-1])
+        group = np.cumsum(fresh) - 1
+        given = shard.column("words").is_valid().to_numpy()[order]
+        holder = np.zeros(int(group[-1]) + 1, np.int64)
+        holder[group[given]] = order[given]  # any row with the words
+        first = order[fresh]
+        index = shard.select(["id", "k1", "k2", "start"]).take(first).append_column(
+            "words", shard.column("words").take(holder))
+        mask, whole = earlier_windows(index, width), _whole(index, width).to_numpy()
+        same = np.ones(len(order), bool)  # the first place, or that place in a repeated row
+        for key in keys[:4]:
+            same &= key[order] == key[first][group]
+        out = shard.select(["id", "k1", "k2", "start"]).take(order)
+        return out.append_column("mask", pa.array(np.where(same, mask[group], whole[group])))
+
+    return segments.withColumn("shard", F.pmod("anchor", F.lit(shards))).groupBy("shard").applyInArrow(
+        search, "id long, k1 long, k2 long, start int, mask long").filter("mask <> 0")
+
+
+def _search_hot(segments: DataFrame, width: int) -> DataFrame:
+    """As ``_search``, for segments with any number of places: a shard holds each once,
+    with its first place, and the places are joined with what was found."""
     place = F.struct("id", "k1", "k2", "start")
-    classes = materialise(
-        segments.filter("words IS NOT NULL").groupBy("anchor", "c1", "c2")
-        .agg(F.first("words").alias("words")), "classes")
-    firsts = segments.groupBy("anchor", "c1", "c2").agg(F.min(place).alias("first"))
-    shards = max(1, classes.count() // SHARD_SEGMENTS)
-    indexed = classes.join(firsts, ["anchor", "c1", "c2"]).select(
+    shards = max(1, segments.filter("words IS NOT NULL").count() // SHARD_SEGMENTS)
+    indexed = segments.groupBy("anchor", "c1", "c2").agg(
+        F.first("words", ignorenulls=True).alias("words"), F.min(place).alias("first")).select(
         "anchor", "c1", "c2", "words", "first.*", F.pmod("anchor", F.lit(shards)).alias("shard"))
 
     def search(shard: pa.Table) -> pa.Table:
-        windows = pc.add(pc.divide(pc.binary_length(shard.column("words")), 8), 1 - width).cast(pa.int64())
         return shard.select(["anchor", "c1", "c2", "id", "k1", "k2", "start"]).append_column(
-            "mask", pa.array(earlier_windows(shard, width))).append_column(
-            "whole", pc.subtract(pc.shift_left(pa.scalar(1, pa.int64()), windows), 1))
+            "mask", pa.array(earlier_windows(shard, width))).append_column("whole", _whole(shard, width))
 
     found = indexed.groupBy("shard").applyInArrow(
         search, "anchor long, c1 long, c2 long, id long, k1 long, k2 long, start int, mask long, whole long")
@@ -236,7 +306,7 @@ def _search(segments: DataFrame, width: int) -> DataFrame:
     return (
         segments.select("anchor", "c1", "c2", "id", "k1", "k2", "start")
         .join(first, ["anchor", "c1", "c2"])
-        .select("k1", "k2", "start", F.when(place != F.col("first"), F.col("whole")).otherwise(F.col("mask")).alias("mask"))
+        .select("id", "k1", "k2", "start", F.when(place != F.col("first"), F.col("whole")).otherwise(F.col("mask")).alias("mask"))
         .filter("mask <> 0")
     )
 
@@ -246,41 +316,37 @@ def find(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
     row's text) and _marks: [start, mask] of segments with windows to remove."""
     keyed = docs.select(_id(F.col("doc_id")).alias("id"), *_text_key(), "text")
     firsts = materialise(keyed.groupBy("k1", "k2").agg(F.min("id").alias("id")), "texts")
-    places = _places(keyed, width, gram)
-    repeated = materialise(_repeated(places), "repeated")
-    marked = materialise(places.join(repeated, "anchor").select("k1", "k2", F.col("at").alias("mark"), "hot"), "marked")
-    texts = _with_text(marked.filter("NOT hot"), firsts, keyed)
-    spans = _search(materialise(_segments(texts, width, gram), "segments"), width)
-
-    if not marked.filter("hot").isEmpty():
-        hot_texts = materialise(_with_text(marked.filter("hot"), firsts, keyed), "hot_texts")
-        windows = _windows(hot_texts, width, gram)
-        again = windows.join(_repeated(windows).select("anchor"), "anchor").select(
-            "k1", "k2", F.col("at").alias("mark"))
-        whole = _segments(_with_text(again, firsts, hot_texts.drop("marks")), width, width)
-        spans = spans.unionByName(_search(materialise(whole, "windows"), width))
-
-    per_text = spans.groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "mask")).alias("marks"))
-    known = firsts.join(per_text, ["k1", "k2"], "left").select(
+    repeated = materialise(_repeated(_places(keyed, width, gram)), "repeated")
+    plain = Marks.of(repeated.filter("NOT hot"), keyed, firsts, width, gram)
+    spans = _search(materialise(_segments(plain, width, gram), "segments"), width)
+
+    if not repeated.filter("hot").isEmpty():
+        windows = _windows(Marks.of(repeated.filter("hot"), keyed, firsts, width, gram), width, gram)
+        again = Marks.of(materialise(_repeated(windows), "windows"), keyed, firsts, width, width)
+        spans = spans.unionByName(_search_hot(materialise(_segments(again, width, width), "hot_segments"), width))
+
+    per_text = spans.groupBy("id", "k1", "k2").agg(F.collect_set(F.struct("start", "mask")).alias("marks"))
+    known = firsts.join(per_text, ["id", "k1", "k2"], "left").select(
         F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), F.col("id").alias("_first_id"), F.col("marks").alias("_marks"))
     own = _text_key()
     return docs.withColumns({"_k1": own[0], "_k2": own[1]}).join(known, ["_k1", "_k2"]).drop("_k1", "_k2")
 
 
-def _windows(texts: DataFrame, width: int, gram: int) -> DataFrame:
+def _windows(marks: Marks, width: int, gram: int) -> DataFrame:
     """anchor (hash of a whole window), k1, k2, at of the windows around the marks."""
+    only = marks.only
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[list[np.ndarray]]:
-            for part, row, words in _documents(batches):
+            for part, row, words, places in Marks(None, only).documents(batches, width, gram):
                 hashes = blocks.window_hashes(words, width)
-                marks = np.array(part.column("marks")[row].as_py())
-                at = np.unique((marks[:, None] - np.arange(width - gram + 1)).ravel())
+                at = np.unique((places[:, None] - np.arange(width - gram + 1)).ravel())
                 at = at[(at >= 0) & (at < len(hashes))]
                 key = [np.full(len(at), part.column(k)[row].as_py()) for k in ("k1", "k2")]
                 yield [hashes[at], *key, at.astype(np.int32)]
         yield from _batches(rows(), _PLACES)
 
-    return texts.mapInArrow(run, "anchor long, k1 long, k2 long, at int")
+    return marks.texts.mapInArrow(run, "anchor long, k1 long, k2 long, at int")
 
 
 def _id(doc_id: Column) -> Column:
@@ -311,17 +377,15 @@ def cut(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
     found = find(docs, width, gram).withColumn("_copy", _id(F.col("doc_id")) != F.col("_first_id"))
 
     def of(part: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray) -> list[pa.Array]:
-        starts, ends, first = blocks.spans(data, offsets, blocks.UNSPACED)
         raw, copies, marks = data.tobytes(), part.column("_copy"), part.column("_marks")
-        words, gone, kept = [], [], []
+        count, gone, kept = [], [], []
         for row in range(part.num_rows):
-            a, b = int(first[row]), int(first[row + 1])
-            out = removed_words(b - a, copies[row].as_py(), marks[row].as_py(), width)
-            stay = np.flatnonzero(~out) + a
-            words.append(b - a)
+            words = raw[offsets[row]:offsets[row + 1]].split()  # at exactly the blanks of the words' definition
+            out = removed_words(len(words), copies[row].as_py(), marks[row].as_py(), width)
+            count.append(len(words))
             gone.append(int(out.sum()))
-            kept.append(b" ".join([raw[s:e] for s, e in zip(starts[stay].tolist(), ends[stay].tolist(), strict=True)]))
-        return [pa.array(words, pa.int64()), pa.array(gone, pa.int64()),
+            kept.append(b" ".join(compress(words, ~out) if gone[-1] else words))
+        return [pa.array(count, pa.int64()), pa.array(gone, pa.int64()),
                 pa.array(kept, pa.binary()).cast(pa.string())]
 
     return blocks.add_columns(found, "n_words long, n_removed long, kept_text string", of).drop(
