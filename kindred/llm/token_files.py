@@ -43,11 +43,10 @@ SHARD_TOKENS = 1 << 21
 BLOCK_BITS = 1 << 15
 MAGIC = b"WVMTOK01"
 #: Words whose ids a worker keeps (about 200 bytes each).
-KEPT_WORDS = 400_000
+KEPT_WORDS = 700_000
 NO_ID = -(1 << 63)
 
-#: A blank beside other white space or at an end: such texts are not cut at every blank.
-_odd_blank = re.compile(r"\s | \s|^ | $")
+#: A blank that always begins a word of the tokenizer.
 _inner_blank = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -64,45 +63,73 @@ class Encoder:
         # One character of a byte-level token stands for one byte.
         self.sizes = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)], np.int64)
         self.kept: dict[str, bytes] = {}
+        self.marks = {m: np.array(self.tokenizer.encode("a" + m).ids[1:], np.uint32).tobytes() for m in ".,"}
 
     def _words(self, words: list[str]) -> dict[str, bytes]:
         """Ids of words that follow a blank."""
         if not words:
             return {}
-        ids = np.array(self.tokenizer.encode(" " + " ".join(words), add_special_tokens=False).ids, np.uint32)
+        ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(words)], add_special_tokens=False)[0].ids, np.uint32)
         ends = np.cumsum([1 + len(w.encode()) for w in words])
         cuts = np.concatenate([[0], np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 1]) * 4
         raw = ids.tobytes()
         return {w: raw[a:b] for w, a, b in zip(words, cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)}
 
+    def _learn(self, wanted: set[str]) -> dict[str, bytes]:
+        """Ids of words that are not kept; kept from now on as far as there is room."""
+        # The tokenizer always cuts between letters and the mark after them.
+        marked = {w for w in wanted if w[-1] in ".," and w[:-1].isalpha()}
+        plain = sorted((wanted - marked | {w[:-1] for w in marked}).difference(self.kept))
+        fresh: dict[str, bytes] = {}
+        # In chunks, since the library takes several times a text's size while it encodes it.
+        for i in range(0, len(plain), 20_000):
+            fresh.update(self._words(plain[i:i + 20_000]))
+        kept = self.kept
+        fresh.update({w: (kept.get(w[:-1]) or fresh[w[:-1]]) + self.marks[w[-1]] for w in marked})
+        if len(kept) + len(fresh) <= KEPT_WORDS:
+            kept.update(fresh)
+        return fresh
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        parts = [_inner_blank.split(t) if _odd_blank.search(t) else t.split(" ") for t in texts]
+        parts, kept = [t.split(" ") for t in texts], self.kept
+        wanted = set().union(*parts).difference(kept)
+        # A blank beside other white space is no cut; kept words have none at their ends.
+        odd = {w for w in wanted if not w or w[0].isspace() or w[-1].isspace()}
+        if odd:
+            parts = [p if odd.isdisjoint(p) else _inner_blank.split(t) for t, p in zip(texts, parts, strict=True)]
+            wanted = set().union(*parts).difference(kept)
+        wanted.difference_update([p[0] for p in parts if len(p) == 1])
+        wanted = {w for w in wanted if w and not w[0].isspace()} if odd else wanted
         firsts = self.tokenizer.encode_batch_fast([p[0] for p in parts], add_special_tokens=False)
-        wanted = set()
-        for p in parts:
-            wanted.update(p[1:])
-        wanted.difference_update(self.kept)
-        # In chunks, since the library takes several times a text's size while it encodes it.
-        missing, fresh = sorted(wanted), {}
-        for i in range(0, len(missing), 20_000):
-            fresh.update(self._words(missing[i:i + 20_000]))
-        if len(self.kept) + len(fresh) <= KEPT_WORDS:
-            self.kept.update(fresh)
-            fresh = {}
-        known = self.kept
-        if not fresh:
-            return [np.array(f.ids, np.uint32).tobytes() + b"".join([known[w] for w in p[1:]])
-                    for f, p in zip(firsts, parts, strict=True)]
-        return [np.array(f.ids, np.uint32).tobytes() + b"".join([known.get(w) or fresh[w] for w in p[1:]])
-                for f, p in zip(firsts, parts, strict=True)]
+        fresh, out = self._learn(wanted), []
+        for first, p in zip(firsts, parts, strict=True):
+            found = list(map(kept.get, p[1:]))
+            if None in found:
+                found = [x if x is not None else fresh[w] for x, w in zip(found, p[1:], strict=True)]
+            out.append(np.array(first.ids, np.uint32).tobytes() + b"".join(found))
+        return out
+
+
+#: The encoder of a worker; it serves one task after the other, with the words it keeps.
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder_of(path: str) -> Encoder:
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
 
 
 def pack(ids: np.ndarray, doc_ids: np.ndarray, ends: np.ndarray) -> bytes:
     """A file of ``ids``; ``ends``: where each document ends in them."""
     out, press = io.BytesIO(), zstandard.ZstdCompressor(level=3)
-    levels = max(1, int(ids.max(initial=0)).bit_length())
+    # Codes number the ids that occur, in their order, which saves planes.
+    occurs = np.bincount(ids) > 0 if len(ids) else np.zeros(0, bool)
+    book = np.flatnonzero(occurs)
+    levels = max(1, (len(book) - 1).bit_length() if len(book) else 1)
+    codes = (np.cumsum(occurs) - 1).astype(np.uint16 if levels <= 16 else np.uint32)[ids]
     offsets, before, zeros = [], [], []
-    for bits in wavelet.planes(ids, levels):
+    for bits in wavelet.planes(codes, levels):
         ones = 0
         for i in range(0, len(bits), BLOCK_BITS):
             block = bits[i:i + BLOCK_BITS]
@@ -112,7 +139,8 @@ def pack(ids: np.ndarray, doc_ids: np.ndarray, ends: np.ndarray) -> bytes:
             out.write(press.compress(np.packbits(block, bitorder="little").tobytes()))
         zeros.append(len(bits) - ones)
     offsets.append(out.tell())
-    arrays = [np.array(offsets, np.int64), np.array(before, np.int64), doc_ids.astype(np.int64), ends.astype(np.int64)]
+    arrays = [np.array(offsets, np.int64), np.array(before, np.int64), doc_ids.astype(np.int64), ends.astype(np.int64),
+              book.astype(np.int64)]
     head = json.dumps({"tokens": len(ids), "levels": levels, "zeros": zeros, "docs": len(doc_ids)}).encode()
     directory = press.compress(len(head).to_bytes(8, "little") + head + b"".join(a.tobytes() for a in arrays))
     at = out.tell()
@@ -139,7 +167,7 @@ class TokenFile:
         blocks_, docs = self.per_plane * self.levels, head["docs"]
         values = np.frombuffer(raw[end:], np.int64)
         self.offsets, self.before = values[:blocks_ + 1], values[blocks_ + 1:2 * blocks_ + 1]
-        self.doc_ids, self.ends = values[2 * blocks_ + 1:][:docs], values[2 * blocks_ + 1 + docs:]
+        self.doc_ids, self.ends, self.book = np.split(values[2 * blocks_ + 1:], [docs, 2 * docs])
         self.open: dict[int, np.ndarray] = {}
 
     def _block(self, level: int, number: int) -> np.ndarray:
@@ -174,15 +202,20 @@ class TokenFile:
             ones = self._ones(level, at)
             value = value * 2 + bit
             at = self.zeros[level] + ones if bit else at - ones
-        return value
+        return int(self.book[value])
+
+    def _code(self, token: int) -> int:
+        """Number of a token in the file, -1 if it does not occur."""
+        at = int(np.searchsorted(self.book, token))
+        return at if at < len(self.book) and self.book[at] == token else -1
 
-    def _range(self, token: int, end: int) -> tuple[int, int]:
+    def _range(self, code: int, end: int) -> tuple[int, int]:
         low, high = 0, end
-        if token >> self.levels:
+        if code < 0:
             return 0, 0
         for level in range(self.levels):
             a, b = self._ones(level, low), self._ones(level, high)
-            if token >> (self.levels - 1 - level) & 1:
+            if code >> (self.levels - 1 - level) & 1:
                 low, high = self.zeros[level] + a, self.zeros[level] + b
             else:
                 low, high = low - a, high - b
@@ -190,7 +223,7 @@ class TokenFile:
 
     def rank(self, token: int, end: int) -> int:
         """Occurrences of ``token`` before ``end``."""
-        low, high = self._range(token, end)
+        low, high = self._range(self._code(token), end)
         return high - low
 
     def count(self, token: int) -> int:
@@ -198,13 +231,14 @@ class TokenFile:
 
     def occurrences(self, token: int) -> np.ndarray:
         """Places of ``token``, ascending."""
-        low, high = self._range(token, self.tokens)
+        code = self._code(token)
+        low, high = self._range(code, self.tokens)
         at = np.arange(low, high)
         for level in range(self.levels - 1, -1, -1):
             if not len(at):
                 break
             bits = self._plane(level)
-            up = token >> (self.levels - 1 - level) & 1
+            up = code >> (self.levels - 1 - level) & 1
             at = np.flatnonzero(bits)[at - self.zeros[level]] if up else np.flatnonzero(~bits)[at]
         return at
 
@@ -216,7 +250,7 @@ class TokenFile:
         """All ids; every plane is read once."""
         held = [self._plane(level) for level in range(self.levels)]
         self.open.clear()
-        return wavelet.restore(held, self.tokens, np.uint32)
+        return self.book.astype(np.uint32)[wavelet.restore(held, self.tokens, np.uint16 if self.levels <= 16 else np.uint32)]
 
 
 def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0,
@@ -231,7 +265,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, root = pyarrow.fs.FileSystem.from_uri(folder)
-        encoder, held, ids, size, number, where = None, [], [], 0, 0, 0
+        held, ids, size, number, where = [], [], 0, 0, 0
 
         def flush() -> pa.RecordBatch:
             name = f"{where:07d}-{number:05d}.wvm"
@@ -244,10 +278,9 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0,
             return pa.RecordBatch.from_pydict({"file": [name], "n_docs": [len(held)], "n_tokens": [int(ends[-1])]})
 
         for part, _, _ in blocks.slices(batches):
-            encoder = encoder or Encoder(tokenizer)
             where = part.column("_range")[0].as_py()
             texts = part.column("text").fill_null("").to_pylist()
-            for doc_id, raw in zip(part.column("doc_id").fill_null(NO_ID).to_pylist(), encoder.encode(texts), strict=True):
+            for doc_id, raw in zip(part.column("doc_id").fill_null(NO_ID).to_pylist(), encoder_of(tokenizer).encode(texts), strict=True):
                 held.append(raw + end)
                 ids.append(doc_id)
                 size += len(raw) // 4 + 1

@@ -31,9 +31,10 @@ class Bits:
 def planes(sequence: np.ndarray, levels: int):
     """Bits of each level, top first, after the stable partitions of the levels above."""
     for level in range(levels - 1, -1, -1):
-        bits = ((sequence >> level) & 1).astype(bool)
+        bits = (sequence & sequence.dtype.type(1 << level)) != 0
         yield bits
-        sequence = np.concatenate([sequence[~bits], sequence[bits]])
+        if level:
+            sequence = np.concatenate([sequence[~bits], sequence[bits]])
 
 
 def restore(bits_top_first: list[np.ndarray], n: int, kind: type = np.uint32) -> np.ndarray:
@@ -67,7 +68,7 @@ class FMIndex:
     """Backward search over the Burrows-Wheeler transform of a text of numbers.
 
     Suffixes are sorted by their first ``depth`` symbols, which is all that patterns
-    of up to ``depth`` symbols need.
+    of up to ``depth`` symbols need. The text ends with a 0, which no pattern holds.
     """
 
     def __init__(self, text: np.ndarray, depth: int):
