@@ -1,10 +1,11 @@
 """Licence scans with a generalised suffix automaton over the words of templates.
 
 The automaton of all templates is walked with the words of a file; at every word it
-gives the longest run ending there that any template contains (matching statistics).
-Runs of ``MIN_RUN`` words or more are chained per template, in the order of both
-texts, into spans; a template whose words a chain covers to ``MIN_COVER`` adds its
-label. Short base phrases are templates too: each place where one stands is found as
+gives the longest run ending there that any template contains (matching statistics),
+and its suffix links give the longest run of every other template place. Runs of
+``MIN_RUN`` words or more that cannot be longer in their own template are chained per
+template, in the order of both texts, into spans; a template whose words a chain covers
+to ``MIN_COVER`` adds its label. Short base phrases are templates too: each place where one stands is found as
 a suffix of the current run.
 
 Only words that stand beside each other in some template can lie in a run of two, so
@@ -19,7 +20,7 @@ repeated rows are scanned alike; an empty table gives no rows.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -95,7 +96,7 @@ class Automaton:
             self.states[s].bases.append((number, len(words)))
         for s in by_length:
             self.states[s].bases += self.states[self.states[s].link].bases
-        ids = [[self.words[w] for w in words] for words in lists]
+        ids = self.ids = [[self.words[w] for w in words] for words in lists]
         self.beside = np.zeros((len(self.words), len(self.words)), bool)
         for words in ids:
             self.beside[words[:-1], words[1:]] = True
@@ -152,6 +153,22 @@ class Automaton:
             out.append((state, length))
         return out
 
+    def runs(self, words: Sequence[int], found: Sequence[tuple[int, int]], least: int
+             ) -> Iterator[tuple[int, int, int, int]]:
+        """Template, start in ``words``, start in the template and length of every run of
+        ``least`` words or more that is longer on neither side; ``found``: statistics of ``words``."""
+        for i, (state, length) in enumerate(found):
+            following, seen = words[i + 1] if i + 1 < len(words) else -1, set()
+            while length >= least:  # shorter suffixes stand at more places
+                for number, end in self.states[state].ends:
+                    if (number, end) not in seen:
+                        seen.add((number, end))
+                        own = self.ids[number]
+                        if end == len(own) or own[end] != following:
+                            yield number, i + 1 - length, end - length, length
+                state = self.states[state].link
+                length = self.states[state].length
+
 
 def chain(runs: list[tuple[int, int, int]], words: int, max_gap: int = MAX_GAP) -> tuple[int, int, int]:
     """Most template words that runs (file start, template start, length) cover in a
@@ -193,17 +210,15 @@ def scan(docs: DataFrame, base: Sequence[tuple[str, str]] = BASE, templates: Seq
         places: dict[int, list[tuple[int, int]]] = {}
         runs: dict[int, dict[int, list[tuple[int, int, int]]]] = {}
         for a, b, row in zip(rise.tolist(), fall.tolist(), owner.tolist(), strict=True):
-            at, found = a - int(first[row]), auto.statistics(words[a:b].tolist())
+            stretch = words[a:b].tolist()
+            at, found = a - int(first[row]), auto.statistics(stretch)
             for i, (state, length) in enumerate(found):
                 for number, size in auto.states[state].bases:
                     if size <= length:
                         places.setdefault(row, []).append((at + i + 1 - size, number))
-                longest = i + 1 == len(found) or found[i + 1][1] <= length
-                if longest and length >= MIN_RUN:
-                    for number, end in auto.states[state].ends:
-                        if number >= len(base):
-                            runs.setdefault(row, {}).setdefault(number, []).append(
-                                (at + i + 1 - length, end - length, length))
+            for number, start, place, size in auto.runs(stretch, found, MIN_RUN):
+                if number >= len(base):
+                    runs.setdefault(row, {}).setdefault(number, []).append((at + start, place, size))
         table = []
         for row in range(part.num_rows):
             held = places.get(row, [])

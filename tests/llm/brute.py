@@ -88,3 +88,30 @@ def phrases(text, base):
     starts = [i for i, _ in found]
     return (len(words), len(found), min(starts, default=None), max(starts, default=None),
             ",".join(sorted({label for _, label in found})))
+
+
+def template_runs(words, own, least):
+    """Start, start in the template and length of every common run that is longer on neither side."""
+    found = []
+    for i in range(len(words)):
+        for j in range(len(own)):
+            if words[i] == own[j] and not (i and j and words[i - 1] == own[j - 1]):
+                size = 1
+                while i + size < len(words) and j + size < len(own) and words[i + size] == own[j + size]:
+                    size += 1
+                if size >= least:
+                    found.append((i, j, size))
+    return found
+
+
+def template_cover(words, own, least, gap):
+    """Largest share of a template that runs in the order of both texts cover."""
+    best = []
+    for at, place, size in sorted(template_runs(words, own, least)):
+        top = size
+        for covered, upto, used in best:
+            skip = max(0, used - place, upto - at)
+            if skip < size and at - upto <= gap and place + size > used:
+                top = max(top, covered + size - skip)
+        best.append((top, at + size, place + size))
+    return max((b[0] for b in best), default=0) / len(own)

@@ -135,3 +135,41 @@ def test_matching_statistics_are_the_longest_runs():
     for i, (_, length) in enumerate(found):
         runs = [n for n in range(i + 2) for t in lists for j in range(len(t) - n + 1) if t[j:j + n] == words[i + 1 - n:i + 1]]
         assert length == max(runs)
+
+
+def test_licences_keep_the_runs_of_every_template(spark):
+    texts = ["This work is licensed under the Creative Commons Attribution 4.0 International License",
+             "This work is licensed under the terms of the GNU General Public License",
+             "this work is licensed under the terms of the gnu general public license version 3"]
+    pick = random.Random(17)
+    for _ in range(80):  # stretches of templates, cut at random places and joined
+        parts = [brute.normal_words(pick.choice(licences.TEMPLATES)[0]) for _ in range(4)]
+        cuts = [sorted(pick.choices(range(len(p) + 1), k=2)) for p in parts]
+        texts.append(" ".join(w for p, (a, b) in zip(parts, cuts, strict=True) for w in p[a:b] + ["other"] * pick.randint(0, 1)))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in licences.scan(docs).collect():
+        words = brute.normal_words(r.text)
+        covers = {}
+        for text, label in licences.TEMPLATES:
+            cover = brute.template_cover(words, brute.normal_words(text), licences.MIN_RUN, licences.MAX_GAP)
+            covers[label] = max(cover, covers.get(label, 0))
+        want = {label: c for label, c in covers.items() if c >= licences.MIN_COVER}
+        base = brute.phrases(r.text, licences.BASE)
+        assert r.labels == ",".join(sorted(set(want) | set(base[4].split(",")) - {""}))
+        got = {label: max(s.cover for s in r.spans if s.label == label) for label in {s.label for s in r.spans}}
+        assert got == pytest.approx(want)
+        assert r.score == pytest.approx(1.0 if base[1] else max(want.values(), default=0))
+        if r.doc_id == 0:
+            assert r.labels == "cc-by-4.0" and r.score == pytest.approx(12 / 13)
+
+
+def test_runs_of_each_template_are_maximal():
+    pick = random.Random(12)
+    for _ in range(20):
+        lists = [[pick.choice([b"a", b"b", b"c"]) for _ in range(pick.randint(2, 12))] for _ in range(6)]
+        auto = licences.Automaton(lists, 0)
+        words = [pick.choice([b"a", b"b", b"c"]) for _ in range(100)]
+        if set(words) <= set(auto.words):
+            ids = [auto.words[w] for w in words]
+            got = sorted(auto.runs(ids, auto.statistics(ids), 3))
+            assert got == sorted((n, *run) for n, own in enumerate(lists) for run in brute.template_runs(words, own, 3))
