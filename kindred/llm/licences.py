@@ -5,7 +5,7 @@ gives the longest run ending there that any template contains (matching statisti
 and its suffix links give the longest run of every other template place. Runs of
 ``MIN_RUN`` words or more that cannot be longer in their own template are chained per
 template, in the order of both texts, into spans; a template whose words a chain covers
-to ``MIN_COVER`` adds its label. Short base phrases are templates too: each place where one stands is found as
+to ``MIN_COVER`` adds its label and a span for each place where one does. Short base phrases are templates too: each place where one stands is found as
 a suffix of the current run.
 
 Only words that stand beside each other in some template can lie in a run of two, so
@@ -20,6 +20,7 @@ repeated rows are scanned alike; an empty table gives no rows.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
@@ -170,20 +171,58 @@ class Automaton:
                 length = self.states[state].length
 
 
-def chain(runs: list[tuple[int, int, int]], words: int, max_gap: int = MAX_GAP) -> tuple[int, int, int]:
-    """Most template words that runs (file start, template start, length) cover in a
-    row, with the file span of that chain. ``words``: length of the template."""
-    best: list[tuple[int, int, int, int]] = []  # covered, file start, file end, template end
-    top = (0, 0, 0)
-    for at, place, size in sorted(runs):
-        end = (size, at, at + size, place + size)
-        for covered, begin, upto, used in best[-64:]:
+def _best(runs: list[tuple[int, int, int]], max_gap: int) -> list[tuple[int, int, int]]:
+    """Template words covered, file start and file end of the best chain that ends with
+    each of the sorted ``runs`` (file start, template start, length)."""
+    found: list[tuple[int, int, int]] = []
+    near: list[tuple[int, int, int, int]] = []  # file end, covered, file start, template end
+    for at, place, size in runs:
+        end = (size, at)
+        for upto, covered, begin, used in near[-64:]:
             skip = max(0, used - place, upto - at)  # overlap counts once
-            if skip < size and at - upto <= max_gap and place + size > used and place >= used - skip:
-                end = max(end, (covered + size - skip, begin, at + size, place + size))
-        best.append(end)
-        top = max(top, (min(end[0], words), end[1], end[2]))
-    return top
+            if skip < size and at - upto <= max_gap and place + size > used:
+                end = max(end, (covered + size - skip, begin))
+        near.append((at + size, *end, place + size))
+        found.append((*end, at + size))
+    return found
+
+
+def _outside(runs: list[tuple[int, int, int]], spans: list[tuple[int, int]]) -> list[list[tuple[int, int, int]]]:
+    """What ascending, disjoint ``spans`` of the file leave of ``runs``: before, between and after them."""
+    starts = [a for a, _ in spans]
+    left: list[list[tuple[int, int, int]]] = [[] for _ in range(len(spans) + 1)]
+    for at, place, size in runs:
+        k, end = bisect_right(starts, at), at + size
+        begin = max(at, spans[k - 1][1]) if k else at
+        while begin < end:
+            upto = min(end, spans[k][0]) if k < len(spans) else end
+            if upto - begin >= MIN_RUN:
+                left[k].append((begin, place + begin - at, upto - begin))
+            if k == len(spans):
+                break
+            begin, k = spans[k][1], k + 1
+    return left
+
+
+def chains(runs: list[tuple[int, int, int]], least: float, max_gap: int = MAX_GAP) -> list[tuple[int, int, int]]:
+    """Template words covered, file start and file end of disjoint chains that cover
+    ``least`` words or more, in the order of the file. The best one is taken, then the
+    best of what lies outside it, and so on; chains never reach across a taken one."""
+    found: list[tuple[int, int, int]] = []
+    pieces = [sorted(runs)]
+    while pieces:
+        piece = pieces.pop()
+        ends = _best(piece, max_gap)
+        top = max((covered for covered, _, _ in ends), default=0)
+        if top < least:
+            continue
+        taken: list[tuple[int, int]] = []  # equally good ones at once, the last first
+        for begin, upto in sorted(((b, u) for covered, b, u in ends if covered == top), reverse=True):
+            if not taken or upto <= taken[-1][0]:
+                taken.append((begin, upto))
+        found += [(top, *span) for span in taken]
+        pieces += [sorted(rest) for rest in _outside(piece, taken[::-1]) if rest]
+    return sorted(found, key=lambda c: c[1])
 
 
 def scan(docs: DataFrame, base: Sequence[tuple[str, str]] = BASE, templates: Sequence[tuple[str, str]] = TEMPLATES,
@@ -225,10 +264,9 @@ def scan(docs: DataFrame, base: Sequence[tuple[str, str]] = BASE, templates: Seq
             own = {names[n] for _, n in held}
             spans = []
             for number, some in runs.get(row, {}).items():
-                covered, begin, upto = chain(some, auto.lengths[number])
-                cover = covered / auto.lengths[number]
-                if cover >= MIN_COVER:
-                    spans.append({"label": names[number], "start": begin, "end": upto, "cover": cover})
+                for covered, begin, upto in chains(some, MIN_COVER * auto.lengths[number]):
+                    spans.append({"label": names[number], "start": begin, "end": upto,
+                                  "cover": covered / auto.lengths[number]})
             score = 1.0 if held else max((s["cover"] for s in spans), default=0.0)
             table.append((int(first[row + 1] - first[row]), len(held), min((p for p, _ in held), default=None),
                           max((p for p, _ in held), default=None), ",".join(sorted(own)),

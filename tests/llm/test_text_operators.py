@@ -173,3 +173,14 @@ def test_runs_of_each_template_are_maximal():
             ids = [auto.words[w] for w in words]
             got = sorted(auto.runs(ids, auto.statistics(ids), 3))
             assert got == sorted((n, *run) for n, own in enumerate(lists) for run in brute.template_runs(words, own, 3))
+
+
+def test_licences_report_every_place(spark):
+    notice, other = "Licensed under the Apache License, Version 2.0.", "Released under the MIT License"
+    apart = " ".join([notice, prose(1, 50), notice, other, prose(2, 5), notice])
+    docs = spark.createDataFrame([(1, apart), (2, " ".join([other] * 2000)), (3, notice)], "doc_id long, text string")
+    got = {r.doc_id: r for r in licences.scan(docs).collect()}
+    spans = [(s.label, s.start, s.end, s.cover) for s in got[1].spans]
+    assert sorted(spans) == [("apache-2.0", a, a + 8, 1.0) for a in (0, 58, 76)] + [("mit", 66, 71, 1.0)]
+    assert [(s.start, s.end) for s in got[2].spans] == [(5 * i, 5 * i + 5) for i in range(2000)]
+    assert len(got[3].spans) == 1 and got[1].score == 1.0
