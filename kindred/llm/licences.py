@@ -23,6 +23,7 @@ from __future__ import annotations
 from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -175,14 +176,16 @@ def _best(runs: list[tuple[int, int, int]], max_gap: int) -> list[tuple[int, int
     """Template words covered, file start and file end of the best chain that ends with
     each of the sorted ``runs`` (file start, template start, length)."""
     found: list[tuple[int, int, int]] = []
-    near: list[tuple[int, int, int, int]] = []  # file end, covered, file start, template end
+    near: list[tuple[int, int, int, int]] = []  # heap: file end, covered, file start, template end
     for at, place, size in runs:
+        while near and near[0][0] < at - max_gap:  # no later run can join
+            heappop(near)
         end = (size, at)
-        for upto, covered, begin, used in near[-64:]:
+        for upto, covered, begin, used in near:
             skip = max(0, used - place, upto - at)  # overlap counts once
-            if skip < size and at - upto <= max_gap and place + size > used:
+            if skip < size and place + size > used:
                 end = max(end, (covered + size - skip, begin))
-        near.append((at + size, *end, place + size))
+        heappush(near, (at + size, *end, place + size))
         found.append((*end, at + size))
     return found
 

@@ -184,3 +184,8 @@ def test_licences_report_every_place(spark):
     assert sorted(spans) == [("apache-2.0", a, a + 8, 1.0) for a in (0, 58, 76)] + [("mit", 66, 71, 1.0)]
     assert [(s.start, s.end) for s in got[2].spans] == [(5 * i, 5 * i + 5) for i in range(2000)]
     assert len(got[3].spans) == 1 and got[1].score == 1.0
+
+
+def test_chains_look_back_as_far_as_runs_can_join():
+    runs = [(0, 0, 10), *((4, 300 + 7 * i, 6) for i in range(100)), (10, 10, 10)]
+    assert licences.chains(runs, 15)[0] == (20, 0, 20)
