@@ -4,12 +4,15 @@ Terms of a text are its lower-cased words and their beginnings of four to six by
 hashed into 2^20 buckets; each counts once. Besides a weight, each bucket has a short
 vector, and two buckets that meet in a text add the product of theirs (Rendle, 2010):
 an insult beside the mention of a group weighs more than both alone, which no sum of
-weights can express.
+weights can express. Products count by ``PAIR_SCALE`` over the number of the text's terms,
+so that long texts are not carried away by them.
 
-Learned on at most ``MAX_ROWS`` labelled rows (the documented bound); the buckets are
-those that part the labels best, counted on Spark over these rows. The model is a
-table of ``MAX_TERMS`` rows of ``FACTORS`` + 1 numbers and is broadcast; every text is
-then scored whole, in one pass, without a shuffle.
+Learned on at most ``MAX_ROWS`` labelled rows (the documented bound). Every bucket met in
+them has a weight and a vector, for a term that tells nothing alone may tell beside
+another; instead of a choice of terms, weights are drawn to zero by as much as chance
+moves them and vectors decay. The model is a table of at most ``BUCKETS`` rows of
+``FACTORS`` + 1 numbers (38 MB) and is broadcast; every text is then scored whole, in one
+pass, without a shuffle.
 
 Defined results: an empty or null text has no terms and gets the base score; without
 usable labels of both kinds every text gets the share of toxic rows (0 if there is no
@@ -18,7 +21,6 @@ row); repeated rows score alike; an empty table gives no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,19 +30,17 @@ from pyspark.sql import functions as F
 
 from kindred.llm import blocks
 from kindred.llm.labelled import held_out, training_rows
-from kindred.session import materialise
 
 BUCKETS = 1 << 20
 BEGINNINGS = (4, 5, 6)
 MAX_ROWS = 20_000
-MAX_TERMS = 4096
 FACTORS = 8
-#: A term must stand in this many learned rows.
-LEAST_ROWS = 5
-#: Standard errors by which its shares in the two labels must differ; keeps chance out
-#: where rows are few.
-LEAST_Z = 4.5
 EPOCHS, BATCH, RATE, DECAY = 30, 256, 0.1, 2e-4
+PAIR_SCALE = 9.0
+#: Decay of the vectors: what the product of two terms must come to before they grow.
+FACTOR_DECAY = 1e-2
+#: Standard errors of its gradient that a weight is drawn towards zero by.
+SHRINK = 1.0
 THRESHOLD = 0.5
 
 
@@ -71,17 +71,22 @@ class Machine:
         row, bucket = term_buckets(data, offsets)
         slot = self.slot[bucket]
         known = slot >= 0
-        pairs = np.unique(row[known] * MAX_TERMS + slot[known])
-        return pairs // MAX_TERMS, pairs % MAX_TERMS
+        pairs = np.unique(row[known] * BUCKETS + slot[known])
+        return pairs // BUCKETS, pairs % BUCKETS
 
     def margins(self, row: np.ndarray, slot: np.ndarray, rows: int) -> np.ndarray:
-        total, inner = self._sums(row, slot, rows)
-        return self.bias + np.bincount(row, self.weights[slot], rows) + 0.5 * ((total ** 2).sum(1) - inner)
+        total, inner, scale = self._sums(row, slot, rows)
+        return self.bias + np.bincount(row, self.weights[slot], rows) + 0.5 * scale * ((total ** 2).sum(1) - inner)
 
-    def _sums(self, row: np.ndarray, slot: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
-        held = self.factors[slot]
-        total = np.stack([np.bincount(row, held[:, f], rows) for f in range(FACTORS)], 1)
-        return total, np.bincount(row, (held ** 2).sum(1), rows)
+    def _sums(self, row: np.ndarray, slot: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Sum of the vectors of each row, of their squares, and the scale of its pairs; ``row`` ascends."""
+        size = np.bincount(row, minlength=rows)
+        total, inner, filled = np.zeros((rows, FACTORS), np.float32), np.zeros(rows, np.float32), size > 0
+        if len(row):
+            held, first = self.factors[slot], (np.cumsum(size) - size)[filled]
+            total[filled] = np.add.reduceat(held, first)
+            inner[filled] = np.add.reduceat(np.einsum("ij,ij->i", held, held), first)
+        return total, inner, PAIR_SCALE / np.maximum(1, size)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -92,32 +97,45 @@ def train(slot: np.ndarray, terms: list[np.ndarray], labels: np.ndarray, seed: i
     """Adaptive gradient descent on the logistic loss; ``terms``: slots of each row."""
     random, count = np.random.default_rng(seed), int(slot.max(initial=-1)) + 1
     share = float(np.clip(labels.mean() if len(labels) else 0.0, 1e-6, 1 - 1e-6))
-    machine = Machine(slot, float(np.log(share / (1 - share))), np.zeros(count),
-                      random.normal(0, 0.05, (count, FACTORS)))
+    machine = Machine(slot, float(np.log(share / (1 - share))), np.zeros(count, np.float32),
+                      random.normal(0, 0.05, (count, FACTORS)).astype(np.float32))
     if not count or len(set(labels.tolist())) < 2:
         machine.factors[:] = 0
         return machine
-    size = np.array([len(t) for t in terms])
+    size = np.array([len(t) for t in terms], np.int64)
     flat, begin = np.concatenate(terms), np.cumsum(size) - size
-    seen_w, seen_f, seen_b = np.full(count, 1e-2), np.full((count, FACTORS), 1e-2), 1e-2
+    # Standard error of each weight's mean gradient, for the batches that hold the term.
+    held = np.bincount(flat, minlength=count) / len(labels)
+    chance = SHRINK * np.sqrt(held * share * (1 - share) / len(labels)) / np.maximum(
+        1e-9, 1 - (1 - held) ** min(BATCH, len(labels)))
+    seen_w, seen_f, seen_b = np.full(count, 1e-2, np.float32), np.full((count, FACTORS), 1e-2, np.float32), 1e-2
+    met, place = np.zeros(count, bool), np.zeros(count, np.int32)
     for _ in range(EPOCHS):
         order = random.permutation(len(labels))
         for i in range(0, len(order), BATCH):
             part = order[i:i + BATCH]
             row = np.repeat(np.arange(len(part)), size[part])
             here = flat[np.repeat(begin[part] - np.cumsum(size[part]) + size[part], size[part]) + np.arange(len(row))]
-            total, inner = machine._sums(row, here, len(part))
-            margin = machine.bias + np.bincount(row, machine.weights[here], len(part)) + 0.5 * ((total ** 2).sum(1) - inner)
+            total, inner, scale = machine._sums(row, here, len(part))
+            margin = (machine.bias + np.bincount(row, machine.weights[here], len(part))
+                      + 0.5 * scale * ((total ** 2).sum(1) - inner))
             error = (_sigmoid(margin) - labels[part]) / len(part)
-            used, at = np.unique(here, return_inverse=True)
+            met[here] = True
+            used = np.flatnonzero(met)
+            met[used] = False
+            place[used] = np.arange(len(used), dtype=np.int32)
+            at = place[here]
             grad_w = np.bincount(at, error[row], len(used)) + DECAY * machine.weights[used]
-            pull = error[row, None] * (total[row] - machine.factors[here])
-            grad_f = np.stack([np.bincount(at, pull[:, f], len(used)) for f in range(FACTORS)], 1)
-            grad_f += DECAY * machine.factors[used]
+            drawn = (error * scale)[:, None] * total
+            own = FACTOR_DECAY - np.bincount(at, (error * scale)[row], len(used))
+            grad_f = np.stack([np.bincount(at, drawn[:, f][row], len(used)) for f in range(FACTORS)], 1)
+            grad_f += own[:, None] * machine.factors[used]
             seen_w[used] += grad_w ** 2
             seen_f[used] += grad_f ** 2
             seen_b += error.sum() ** 2
-            machine.weights[used] -= RATE * grad_w / np.sqrt(seen_w[used])
+            rate = RATE / np.sqrt(seen_w[used])
+            moved = machine.weights[used] - rate * grad_w
+            machine.weights[used] = np.sign(moved) * np.maximum(0, np.abs(moved) - rate * chance[used])
             machine.factors[used] -= RATE * grad_f / np.sqrt(seen_f[used])
             machine.bias -= RATE * error.sum() / np.sqrt(seen_b)
     return machine
@@ -129,32 +147,17 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = MA
         row, bucket = term_buckets(data, offsets)
         pairs = np.unique(row * BUCKETS + bucket)
         ends = np.searchsorted(pairs // BUCKETS, np.arange(part.num_rows + 1))
-        return [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(pairs % BUCKETS, pa.int32()))]
-
-    rows = materialise(blocks.add_columns(training_rows(docs, labels, label, most), "terms array<int>", of)
-                       .select("label", "terms"), "learned")
-    totals = {r.label: r.n for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    counts = rows.select("label", F.explode("terms").alias("term")).groupBy("term").agg(
-        F.sum("label").alias("yes"), F.count_if(F.col("label") == 0).alias("no")).filter(F.col("yes") + F.col("no") >= LEAST_ROWS)
-    yes, no = max(1, totals.get(1, 0)), max(1, totals.get(0, 0))
-    # Difference of the shares over its standard error under one common share.
-    p, q = F.col("yes") / yes, F.col("no") / no
-    both = (F.col("yes") + F.col("no")) / (yes + no)
-    z = F.abs(p - q) / F.sqrt(both * (1 - both) * (1 / yes + 1 / no) + 1e-12)
-    telling = counts.withColumn("z", z).filter(F.col("z") >= LEAST_Z)
-    best = [r.term for r in telling.orderBy(F.desc("z"), "term").limit(MAX_TERMS).select("term").collect()]
-    slot = np.full(BUCKETS, -1, np.int32)
-    slot[best] = np.arange(len(best), dtype=np.int32)
-
-    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column("terms")
-            ends, flat = lists.offsets.to_numpy(), slot[lists.values.to_numpy(zero_copy_only=False)]
-            keep = [flat[a:b][flat[a:b] >= 0].astype(np.int32).tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(keep, pa.binary())], names=["label", "slots"])
-
-    found = rows.mapInArrow(reduce, "label int, slots binary").collect()  # at most ``most`` short rows
-    return train(slot, [np.frombuffer(r.slots, np.int32) for r in found], np.array([r.label for r in found], float))
+        flat = (pairs % BUCKETS).astype(np.int32)
+        return [pa.array([flat[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.binary())]
+
+    rows = blocks.add_columns(training_rows(docs, labels, label, most), "terms binary", of).select("label", "terms")
+    found = rows.collect()  # at most ``most`` rows, four bytes for each distinct term
+    terms = [np.frombuffer(r.terms, np.int32) for r in found]
+    met = np.zeros(BUCKETS, bool)
+    for t in terms:
+        met[t] = True
+    slot = np.where(met, np.cumsum(met) - 1, -1).astype(np.int32)
+    return train(slot, [slot[t] for t in terms], np.array([r.label for r in found], float))
 
 
 def score(docs: DataFrame, machine: Machine) -> DataFrame:

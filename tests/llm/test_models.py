@@ -53,6 +53,32 @@ def test_factors_learn_what_no_sum_can():
     assert margin[2] > 0 > max(margin[0], margin[1], margin[3])
 
 
+def test_pairs_are_learned_of_terms_that_tell_nothing_alone(spark):
+    """Each of two terms stands in half of the toxic and half of the clean rows; toxic are
+    those that hold both or none. Fitted and scored from tables."""
+    pick, rows = np.random.default_rng(5), []
+    for i in range(3000):
+        a, b = i & 1, i >> 1 & 1
+        words = [f"w{w}" for w in pick.integers(0, 120, 12)] + ["abcd"] * a + ["efgh"] * b
+        rows.append((i, " ".join(words), int(a == b)))
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(4)
+    machine = toxicity.fit(table.select("doc_id", "text"), table.select("doc_id", "toxic"))
+    held = [r for r in toxicity.score(table, machine).collect() if r.held_out]
+    assert len(held) > 400
+    assert np.mean([r.predicted == r.toxic for r in held]) > 0.9
+
+
+def test_every_learned_term_has_a_factor(spark):
+    docs = spark.createDataFrame([(i, f"word{i} common") for i in range(1, 60)], "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 2 AS int) AS toxic")
+    machine = toxicity.fit(docs, labels)
+    learned = [i for i in range(1, 60) if zlib.crc32(str(i).encode()) % 5]
+    text = " ".join(f"word{i}" for i in learned).encode()
+    _, bucket = toxicity.term_buckets(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+    assert (machine.slot[bucket] >= 0).all()
+    assert len(machine.factors) == len(machine.weights) == machine.slot.max() + 1
+
+
 def jump(key, count):
     key, b, j = key % (1 << 64), -1, 0
     while j < count:
