@@ -189,3 +189,18 @@ def test_licences_report_every_place(spark):
 def test_chains_look_back_as_far_as_runs_can_join():
     runs = [(0, 0, 10), *((4, 300 + 7 * i, 6) for i in range(100)), (10, 10, 10)]
     assert licences.chains(runs, 15)[0] == (20, 0, 20)
+
+
+def test_quality_rejects_repetition_below_the_base_cutoff(spark):
+    texts = [(i, prose(i, 60), "en", "s") for i in range(80)]
+    again = prose(300, 8)
+    texts += [(100, " ".join([prose(301, 30), again, prose(302, 30), again]), "en", "s"),  # 16 of 76 words
+              (101, "\n".join(["a b c"] * 8 + prose(303, 40).split()[:3]), "en", "s"),  # base rule
+              (102, "\n".join([w for x in prose(304, 10, 400).split() for w in [f"{x} {x}{x}"]]
+                              + ["one", prose(305, 20), "one", prose(306, 20)] + ["one"] * 6), "en", "s")]
+    shares = {d: brute.quality(t) for d, t, *_ in texts}
+    assert 0.15 < shares[100][4] / shares[100][0] < 0.3 and not shares[100][5]
+    lines = texts[82][1].split("\n")
+    assert shares[102][3] / len(lines) > 0.3 and not shares[102][5] and shares[102][4] == 0
+    kept = {r.doc_id for r in quality_rules.keep_good(spark.createDataFrame(texts, SCHEMA)).collect()}
+    assert kept == set(range(80))
