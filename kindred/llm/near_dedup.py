@@ -156,7 +156,8 @@ def row_key(doc_id: str, text: str) -> tuple[Column, Column]:
 
 
 def group(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """doc_id, row_1 and row_2 (hashes of id and text), n_shingles, component_id, kept.
+    """doc_id, row_1 and row_2 (hashes of id and text), n_shingles, root (stands for the
+    component, also where ids repeat; null for an empty set), component_id, kept.
 
     ``docs``: doc_id, text. One row comes back for each row.
     """
@@ -177,11 +178,11 @@ def group(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> Data
         own = own.withColumn("root", F.col("cid"))
     own = materialise(own.select("set_key", "root", "lowest"), "rooted")
     lowest = own.groupBy("root").agg(F.min("lowest").alias("component"))
-    named = own.join(lowest, "root").select("set_key", "component")
+    named = own.join(lowest, "root").select("set_key", "root", "component")
     return (
         rows.join(named, "set_key", "left")
         .withColumn("component_id", F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("component")))
-        .select("doc_id", "row_1", "row_2", "n_shingles", "component_id",
+        .select("doc_id", "row_1", "row_2", "n_shingles", "root", "component_id",
                 F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
     )
 
@@ -276,10 +277,14 @@ def _candidate_sets(open_rows: DataFrame, classes: DataFrame, keyed: DataFrame,
 
 
 def keep_one(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """One row of each group (the first by doc_id), with the columns of ``docs``."""
-    chosen = group(docs.select("doc_id", "text"), width, percent).filter("kept").select(
-        "row_1", "row_2").distinct()
+    """One row of each group (the first by doc_id, null ids last, then by the row's
+    hashes), with the columns of ``docs``."""
+    # Rows of the component's id; several if texts share it or all ids are null.
+    flagged = group(docs.select("doc_id", "text"), width, percent).filter("kept")
+    alone = F.col("root").isNull()
+    chosen = flagged.groupBy("root", F.when(alone, F.col("row_1")).alias("x"), F.when(alone, F.col("row_2")).alias("y")).agg(
+        F.min(F.struct("row_1", "row_2")).alias("row"))
     first, second = row_key("doc_id", "text")
     return (docs.withColumns({"_row_1": first, "_row_2": second})
-            .join(chosen.select(F.col("row_1").alias("_row_1"), F.col("row_2").alias("_row_2")), ["_row_1", "_row_2"])
+            .join(chosen.select(F.col("row.row_1").alias("_row_1"), F.col("row.row_2").alias("_row_2")), ["_row_1", "_row_2"])
             .dropDuplicates(["_row_1", "_row_2"]).select(*docs.columns))

@@ -204,3 +204,14 @@ def test_quality_rejects_repetition_below_the_base_cutoff(spark):
     assert shares[102][3] / len(lines) > 0.3 and not shares[102][5] and shares[102][4] == 0
     kept = {r.doc_id for r in quality_rules.keep_good(spark.createDataFrame(texts, SCHEMA)).collect()}
     assert kept == set(range(80))
+
+
+def test_near_duplicates_keep_one_under_one_id_or_none(spark):
+    a, b, c, d = (prose(seed, 100) for seed in (401, 402, 403, 404))
+    table = [(1, a), (1, a + " tail"), (None, b), (None, b + " tail"), (None, c), (2, c + " tail"), (1, d),
+             (5, None), (5, ""), (6, None)]
+    for schema in ("doc_id long, text string", "doc_id long, text string, root long"):
+        rows = [(*r, 9) if "root" in schema else r for r in table]
+        kept = [tuple(r)[:2] for r in near_dedup.keep_one(spark.createDataFrame(rows, schema)).collect()]
+        assert [sum(t is not None and t.startswith(x) for _, t in kept) for x in (a, b, c, d)] == [1, 1, 1, 1]
+        assert (2, c + " tail") in kept and (1, d) in kept and len(kept) == 7
