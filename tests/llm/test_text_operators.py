@@ -215,3 +215,13 @@ def test_near_duplicates_keep_one_under_one_id_or_none(spark):
         kept = [tuple(r)[:2] for r in near_dedup.keep_one(spark.createDataFrame(rows, schema)).collect()]
         assert [sum(t is not None and t.startswith(x) for _, t in kept) for x in (a, b, c, d)] == [1, 1, 1, 1]
         assert (2, c + " tail") in kept and (1, d) in kept and len(kept) == 7
+
+
+def test_substring_joins_anchors_beyond_the_filter(spark, docs, rows, monkeypatch):
+    monkeypatch.setattr(substring, "FILTER_ANCHORS", 0)
+    want = {d: (n, gone, brute.sha(" ".join(kept)))
+            for d, (n, gone, kept) in brute.without_repeats([r[:2] for r in rows]).items()}
+    for hot in (2000, 2):
+        monkeypatch.setattr(substring, "HOT", hot)
+        got = {r.doc_id: (r.n_words, r.n_removed, brute.sha(r.kept_text)) for r in substring.cut(docs).collect()}
+        assert got == want
