@@ -12,6 +12,7 @@ from kindred.llm import (
     licences,
     near_dedup,
     pieces,
+    prefix_trie,
     quality_knn,
     quality_rules,
     shards,
@@ -153,3 +154,8 @@ def op9_shared_prefix_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_fm_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.cut(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query("op11_prefix_trie_contraction")
+def op11_prefix_trie_contraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.build(table(spark, sf_dir, "conversations"))
