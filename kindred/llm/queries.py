@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kindred.llm import (
+    chat_format,
     decontaminate,
     licences,
     near_dedup,
@@ -21,6 +22,7 @@ from kindred.llm import (
     toxicity,
 )
 from kindred.llm.registry import query, table
+from kindred.session import materialise
 
 #: The same measures, quartiles and fences in DuckDB. Up to SKETCH_K documents per
 #: merge the sketches are exact, so both sides see the same thresholds.
@@ -159,3 +161,14 @@ def op10_fm_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_prefix_trie_contraction")
 def op11_prefix_trie_contraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.build(table(spark, sf_dir, "conversations"))
+
+
+@query("op13_fingerprint_chat_format")
+def op13_fingerprint_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    stored = materialise(chat_format.format_records(chat_format.records_of(rows)), "chats")
+    return chat_format.digests(stored)
