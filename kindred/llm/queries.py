@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from kindred.llm import (
     chat_format,
     decontaminate,
+    hard_negatives,
     licences,
     near_dedup,
     pieces,
@@ -163,6 +164,11 @@ def op11_prefix_trie_contraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.build(table(spark, sf_dir, "conversations"))
 
 
+@query("op12_hilbert_hard_negatives")
+def op12_hilbert_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+
+
 @query("op13_fingerprint_chat_format")
 def op13_fingerprint_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = spark.range(2).select(
