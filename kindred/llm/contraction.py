@@ -20,6 +20,8 @@ both sides have one row per key.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,16 +52,16 @@ def subtree_totals(tree: DataFrame, values: list[str]) -> DataFrame:
     if not rounds:
         return tree.select("node", *values)
     done: DataFrame | None = None
-    for before, after in reversed(rounds):
-        raked = before.filter("kids = 0").select("node", *values)
-        cut = after.filter("cut")
-        parts = [raked]
-        if done is not None and not cut.isEmpty():
+    for number in range(len(rounds) - 1, -1, -1):
+        before, after = rounds[number]
+        parts = [before.filter("kids = 0").select("node", *values)]
+        if done is not None:
             totals = done.select(F.col("node").alias("kid"), *(F.col(v).alias(f"below_{v}") for v in values))
-            parts.append(materialise(cut.join(totals, "kid").select(
-                "node", *((F.col(v) + F.col(f"edge_{v}") + F.col(f"below_{v}")).alias(v) for v in values)), "expanded"))
-        for part in parts:
-            done = part if done is None else done.unionByName(part)
+            parts += [done, after.filter("cut").join(totals, "kid").select(
+                "node", *((F.col(v) + F.col(f"edge_{v}") + F.col(f"below_{v}")).alias(v) for v in values))]
+        done = functools.reduce(DataFrame.unionByName, parts)
+        if number:  # so that every plan reads three tables, however many rounds there were
+            done = materialise(done, "expanded")
     return done
 
 
