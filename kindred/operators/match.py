@@ -14,7 +14,9 @@ Bayardo et al., WWW 2007, and Anastasiu & Karypis, ICDE 2014):
    product of the two remaining norms, so a pair is formed there only if that
    product reaches the query's floor. Common ingredients carry little of most
    vectors' norm, hence their long posting lists are hardly ever opened.
-4. The best pairs met so far are scored exactly, which raises the floors; what
+4. Profiles that are nearly equal stand in clusters (``clusters``). Two clusters whose
+   members are all beyond the ceiling, or below the floors, form no pairs.
+5. The best pairs met so far are scored exactly, which raises the floors; what
    still can reach them gets its exact score, and the top n are ranked per product.
 
 No candidate is sampled or capped: a pair is left out only when its bound proves
@@ -29,6 +31,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from kindred.operators import clusters as tight
+from kindred.operators.places import add_places, free_places
 from kindred.session import materialise
 
 #: Fixed values of the ranking rule and of the norm.
@@ -63,7 +67,7 @@ def tie_key(similarity: Column | str) -> Column:
 
 @dataclass(frozen=True)
 class Vectors:
-    """``features``: side, profile, lead_brand, only_brand, ingredient, postings, u, head, tail, lead.
+    """``features``: side, profile, lead_brand, only_brand, ingredient, postings, u, head, tail, lead, cluster.
     ``members``: side, profile, product_id, brand.
 
     ``u`` is the unit-normalised weight, ``postings`` the number of match profiles
@@ -72,11 +76,13 @@ class Vectors:
     with this ingredient. ``lead`` marks the ingredients looked up for the floor: the
     heaviest and the most common one, so that a floor is found wherever any list holds
     enough answers. ``only_brand`` is the brand of a profile whose members have no other:
-    two profiles of one such brand never answer each other.
+    two profiles of one such brand never answer each other. ``cluster`` is null outside of
+    ``clusters``, which are None where nothing is nearly equal.
     """
 
     features: DataFrame
     members: DataFrame
+    clusters: tight.Clusters | None = None
 
 
 def profile_keys(weighted: DataFrame) -> DataFrame:
@@ -95,13 +101,15 @@ def profile_keys(weighted: DataFrame) -> DataFrame:
     )
 
 
-def build_vectors(weighted: DataFrame, products: DataFrame, same_brand: bool = True) -> Vectors:
+def build_vectors(weighted: DataFrame, products: DataFrame, same_brand: bool = True,
+                  ceiling: float | None = None) -> Vectors:
     """``products``: product_id, side ('query' or 'match'), brand.
 
     Rows of weight zero (an ingredient of every product) add nothing and go first.
     Without ``same_brand``, an ingredient that the other side has in one brand only goes
     from the profiles of that brand: it counts in their norm but in no answer. So the
-    lines of a brand neither open lists nor loosen bounds.
+    lines of a brand neither open lists nor loosen bounds. With a ``ceiling``, at which
+    pairs are of no use, nearly equal profiles are put in clusters.
     """
     live = materialise(
         weighted.filter(F.col("tfidf") > 0).select("product_id", "ingredient", "tfidf"), "weights")
@@ -125,24 +133,25 @@ def build_vectors(weighted: DataFrame, products: DataFrame, same_brand: bool = T
         .select("side", "profile", "lead_brand", "only_brand", "ingredient",
                 (F.col("tfidf") / F.col("norm")).alias("u"))
     )
+    clusters = None
+    if ceiling is not None:
+        rows = materialise(rows, "units")
+        clusters = tight.find_clusters(rows.select("side", "profile", "ingredient", "u"), ceiling)
     # An ingredient that only one source uses counts in the norm but in no score.
-    def line_of(side: str) -> Column:
-        brand = F.when(F.col("side") == side, F.coalesce("only_brand", F.lit("\0")))
-        return F.when(F.min(brand) == F.max(brand), F.min(brand))
-
-    postings = rows.groupBy("ingredient").agg(
-        F.count_if(F.col("side") == "match").alias("postings"),
-        F.count_if(F.col("side") == "query").alias("probes"),
-        line_of("match").alias("match_line"), line_of("query").alias("query_line"),
-    ).filter("postings > 0 AND probes > 0").drop("probes")
-    line = F.when(F.col("side") == "query", F.col("match_line")).otherwise(F.col("query_line"))
-    answers = F.lit(same_brand) | F.coalesce(line != F.col("only_brand"), F.lit(True))
+    counts = [F.count_if(F.col("side") == "match").alias("postings"), F.count_if(F.col("side") == "query").alias("probes")]
+    if not same_brand:
+        counts += [_line_of("match").alias("match_line"), _line_of("query").alias("query_line")]
+    postings = rows.groupBy("ingredient").agg(*counts).filter("postings > 0 AND probes > 0").drop("probes")
     common_first = W.partitionBy("profile").orderBy(F.desc("postings"), F.desc("ingredient"))
     before = common_first.rowsBetween(W.unboundedPreceding, -1)
     squares = F.col("u") * F.col("u")
     guarded = F.when(F.col("postings") > SHORT_LIST, squares).otherwise(0.0)
+    shared = rows.join(postings, "ingredient")
+    if not same_brand:
+        line = F.when(F.col("side") == "query", F.col("match_line")).otherwise(F.col("query_line"))
+        shared = shared.filter(F.coalesce(line != F.col("only_brand"), F.lit(True)))
     features = (
-        rows.join(postings, "ingredient").filter(answers)
+        shared
         .withColumn("after", F.coalesce(F.sum(guarded).over(before), F.lit(0.0)))
         .withColumn("place", F.row_number().over(common_first))
         .select(
@@ -152,8 +161,16 @@ def build_vectors(weighted: DataFrame, products: DataFrame, same_brand: bool = T
             ((squares >= LEAD_SHARE) | (F.col("place") == 1)).alias("lead"),
         )
     )
+    features = (features.withColumn("cluster", F.lit(None).cast("long")) if clusters is None
+                else features.join(clusters.members, ["side", "profile"], "left"))
     return Vectors(materialise(features, "features", by="side"),
-                   materialise(members, "members", by="side"))
+                   materialise(members, "members", by="side"), clusters)
+
+
+def _line_of(side: str) -> Column:
+    """The brand of all profiles of a side, if they have but one."""
+    brand = F.when(F.col("side") == side, F.coalesce("only_brand", F.lit("\0")))
+    return F.when(F.min(brand) == F.max(brand), F.min(brand))
 
 
 def representatives(members: DataFrame, n: int) -> DataFrame:
@@ -174,10 +191,12 @@ def representatives(members: DataFrame, n: int) -> DataFrame:
 def _sides(features: DataFrame) -> tuple[DataFrame, DataFrame]:
     fa = features.filter(F.col("side") == "query").select(
         F.col("profile").alias("a"), "ingredient", F.col("u").alias("ua"), F.col("head").alias("head_a"),
-        F.col("tail").alias("tail_a"), "postings", "lead", F.col("only_brand").alias("brand_a"))
+        F.col("tail").alias("tail_a"), "postings", "lead", F.col("only_brand").alias("brand_a"),
+        F.col("cluster").alias("cluster_a"))
     fb = features.filter(F.col("side") == "match").select(
         F.col("profile").alias("b"), "ingredient", F.col("u").alias("ub"), F.col("head").alias("head_b"),
-        F.col("tail").alias("tail_b"), "postings", "lead_brand", F.col("only_brand").alias("brand_b"))
+        F.col("tail").alias("tail_b"), "postings", "lead_brand", F.col("only_brand").alias("brand_b"),
+        F.col("cluster").alias("cluster_b"))
     return fa, fb
 
 
@@ -202,16 +221,24 @@ def query_floors(vectors: Vectors, reps: DataFrame, n: int, ceiling: float) -> D
     """a, floor: a score that the n-th answer of every product of profile ``a``
     reaches for certain; 0 where fewer than n answers were met."""
     fa, fb = _sides(vectors.features)
-    by_brand = W.partitionBy("ingredient", "lead_brand").orderBy(F.desc("ub"), "b")
-    overall = W.partitionBy("ingredient").orderBy(F.desc("ub"), "b")
+    strongest_first = [F.desc("ub"), "b"]
+    by_brand = W.partitionBy("ingredient", "lead_brand").orderBy(*strongest_first)
+    overall = W.partitionBy("ingredient").orderBy(*strongest_first)
+    strongest = fb.withColumn("r", F.row_number().over(by_brand)).filter(F.col("r") <= n)
+    if vectors.clusters is not None:  # then n of one cluster may be beyond the ceiling, too
+        one = F.coalesce(F.col("cluster_b").cast("string"), F.concat(F.lit("b"), F.col("b").cast("string")))
+        by_cluster = W.partitionBy("ingredient", one).orderBy(*strongest_first)
+        strongest = strongest.withColumn("r", F.row_number().over(by_cluster)).filter(F.col("r") <= n)
+    most = 2 * n if vectors.clusters is None else 3 * n
     strongest = (
-        fb.withColumn("r", F.row_number().over(by_brand)).filter(F.col("r") <= n)
-        .withColumn("r", F.row_number().over(overall)).filter(F.col("r") <= 2 * n)
-        .select("ingredient", "b", "ub", "brand_b")
+        strongest.withColumn("r", F.row_number().over(overall)).filter(F.col("r") <= most)
+        .select("ingredient", "b", "ub", "brand_b", "cluster_b")
     )
-    # Of the 2n, n per brand, n at least are of another brand than the query's.
+    # Of the 2n, n per brand, n at least are of another brand than the query's; of 3n, n
+    # per cluster as well, n at least are of another cluster, too.
     seeds = (
         fa.filter("lead").join(strongest, "ingredient").filter(_may_answer())
+        .filter(F.coalesce(F.col("cluster_a") != F.col("cluster_b"), F.lit(True)))
         .groupBy("a", "b").agg(F.sum(F.col("ua") * F.col("ub")).alias("met"))
         .withColumn("r", F.row_number().over(W.partitionBy("a").orderBy(F.desc("met"), "b")))
         .filter(F.col("r") <= 2 * n).select("a", "b")
@@ -242,8 +269,22 @@ def _band(norm: Column) -> Column:
     return F.floor(norm * BANDS).cast("int")
 
 
-def met_pairs(features: DataFrame, floors: DataFrame | None = None,
-              floor: float | None = None, same_brand: bool = True) -> DataFrame:
+def _probes(fa: DataFrame, floors: DataFrame | None, floor: float | None) -> DataFrame:
+    if floors is None:
+        return fa.withColumn("floor", F.lit(float(floor)))
+    return fa.join(floors, "a", "left").withColumn("floor", F.coalesce("floor", F.lit(0.0)))
+
+
+def compared_clusters(vectors: Vectors, floors: DataFrame, ceiling: float) -> DataFrame | None:
+    """State of the cluster pairs, see ``clusters.compare``."""
+    if vectors.clusters is None:
+        return None
+    fa, fb = _sides(vectors.features)
+    return tight.compare(_probes(fa, floors, None), fb, vectors.clusters, ceiling)
+
+
+def met_pairs(features: DataFrame, floors: DataFrame | None = None, floor: float | None = None,
+              same_brand: bool = True, compared: DataFrame | None = None) -> DataFrame:
     """a, b, floor, similarity so far, and the most that ``rest`` can still add, for
     every profile pair that may reach its floor.
 
@@ -252,28 +293,26 @@ def met_pairs(features: DataFrame, floors: DataFrame | None = None,
     lists are split into bands of the remaining norm, and a query
     opens only the bands that can reach its floor, so the equality join itself
     skips the rest of the list. Hot (ingredient, band) keys are left to the
-    skew-join rule, which splits both sides without replicating writes.
+    skew-join rule, which splits both sides without replicating writes. Members of two
+    clusters meet only if ``compared`` has the clusters as open.
     """
     fa, fb = _sides(features)
-    if floors is None:
-        probes = fa.withColumn("floor", F.lit(float(floor)))
-    else:
-        probes = fa.join(floors, "a", "left").withColumn("floor", F.coalesce("floor", F.lit(0.0)))
     short = F.col("postings") <= SHORT_LIST
     banded = F.col("postings") > BANDED_LENGTH
     needed = F.greatest(F.lit(0.0), F.col("floor") / F.col("head_a") - SLACK)
     probes = (
-        probes.filter(short | (F.col("head_a") * (1 + SLACK) >= F.col("floor") - SLACK))
+        _probes(fa, floors, floor).filter(short | (F.col("head_a") * (1 + SLACK) >= F.col("floor") - SLACK))
         .withColumn("band", F.explode(F.when(
             banded, F.sequence(F.least(_band(needed), F.lit(BANDS)), F.lit(BANDS)),
         ).otherwise(F.array(F.lit(0)))))
-        .select("a", "brand_a", "ingredient", "band", "ua", "head_a", "tail_a", "floor", short.alias("short"))
+        .select("a", "brand_a", "cluster_a", "ingredient", "band", "ua", "head_a", "tail_a", "floor",
+                short.alias("short"))
     )
     postings = fb.withColumn(
         "band", F.when(banded, F.least(_band(F.col("head_b") + SLACK), F.lit(BANDS))).otherwise(0)
-    ).select("b", "brand_b", "ingredient", "band", "ub", "head_b", "tail_b")
+    ).select("b", "brand_b", "cluster_b", "ingredient", "band", "ub", "head_b", "tail_b")
     met = (
-        probes.join(postings, ["ingredient", "band"]).filter(F.lit(same_brand) | _may_answer())
+        _meeting(probes, postings, compared).filter(F.lit(same_brand) | _may_answer())
         .filter(F.col("short") | (F.col("head_a") * F.col("head_b") >= F.col("floor") - SLACK))
         .groupBy("a", "b")
         .agg(F.sum(F.col("ua") * F.col("ub")).alias("similarity"),
@@ -284,6 +323,25 @@ def met_pairs(features: DataFrame, floors: DataFrame | None = None,
     return materialise(met, "met")
 
 
+def _meeting(probes: DataFrame, postings: DataFrame, compared: DataFrame | None) -> DataFrame:
+    """Probes joined with the postings they open. With clusters: the loose profiles with
+    everything, the clusters with loose profiles and with the clusters open to them."""
+    if compared is None:
+        return probes.join(postings, ["ingredient", "band"])
+    loose_a, loose_b = F.col("cluster_a").isNull(), F.col("cluster_b").isNull()
+    is_open = compared.filter("state = 'open'").select(F.col("ca").alias("cluster_a"), F.col("cb").alias("cluster_b"))
+    parts = (
+        probes.filter(loose_a).join(postings, ["ingredient", "band"]),
+        probes.filter(~loose_a).join(postings.filter(loose_b), ["ingredient", "band"]),
+        probes.filter(~loose_a).join(is_open, "cluster_a").join(
+            postings.filter(~loose_b), ["ingredient", "band", "cluster_b"]),
+    )
+    first, *others = (p.drop("cluster_a", "cluster_b") for p in parts)
+    for other in others:
+        first = first.unionByName(other)
+    return first
+
+
 def raise_floors(met: DataFrame, vectors: Vectors, reps: DataFrame, n: int, ceiling: float) -> DataFrame:
     """Drop pairs that cannot reach the n-th best exact score among the pairs that
     already score most. Worth its small cost only where scores are still open."""
@@ -346,10 +404,11 @@ def rank_matches(weighted: DataFrame, products: DataFrame, n: int = TOP_N,
     up with the lowest-id products it has nothing in common with.
     """
     products = materialise(products.select("product_id", "side", "brand"), "products", by="side")
-    vectors = build_vectors(weighted, products, same_brand=False)
+    vectors = build_vectors(weighted, products, same_brand=False, ceiling=ceiling)
     reps = materialise(representatives(vectors.members, n), "representatives")
     floors = query_floors(vectors, reps, n, ceiling)
-    met = met_pairs(vectors.features, floors, same_brand=False)
+    compared = compared_clusters(vectors, floors, ceiling)
+    met = met_pairs(vectors.features, floors, same_brand=False, compared=compared)
     pairs = settle(raise_floors(met, vectors, reps, n, ceiling), vectors.features)
 
     per_brand, overall = _ranked(["a"], n)
@@ -371,17 +430,18 @@ def rank_matches(weighted: DataFrame, products: DataFrame, n: int = TOP_N,
     if not pad_zero:
         return ranked
     ranked = materialise(ranked, "ranked")
-    return ranked.unionByName(_zero_padding(ranked, met, reps, vectors, products, n))
+    return ranked.unionByName(_zero_padding(ranked, met, compared, reps, vectors, products, n))
 
 
-def _zero_padding(ranked: DataFrame, met: DataFrame, reps: DataFrame, vectors: Vectors,
-                  products: DataFrame, n: int) -> DataFrame:
+def _zero_padding(ranked: DataFrame, met: DataFrame, compared: DataFrame | None, reps: DataFrame,
+                  vectors: Vectors, products: DataFrame, n: int) -> DataFrame:
     """Rows of similarity 0 for products with fewer than n positive matches.
 
     A short product must skip its own brand and the e profiles it scores with, so it
     needs no more than the first 2(n + 2ne) match products under a limit of
     n + 2ne per brand. Products are put in classes of that need (powers of two) and
-    each class reads one small table of exactly that length.
+    each class reads one small table of exactly that length. What all products of a
+    cluster score with is left out of a table of the cluster's own.
     """
     keyed = products.select("product_id", "side", brand_key("brand").alias("brand"))
     ranks = ranked.groupBy("query_id").agg(F.count(F.lit(1)).cast("int").alias("have"))
@@ -401,10 +461,17 @@ def _zero_padding(ranked: DataFrame, met: DataFrame, reps: DataFrame, vectors: V
     )
     need = excluded.groupBy("a", "brand").agg(F.count(F.lit(1)).alias("e"))
     size_class = F.ceil(F.log2(1 + 2 * F.coalesce("e", F.lit(0)))).cast("int")
-    short = materialise(
-        short.join(need, ["a", "brand"], "left").withColumn("size_class", size_class)
-        .select("query_id", "a", "brand", "have", "size_class"), "short")
+    short = short.join(need, ["a", "brand"], "left").withColumn("size_class", size_class)
+    if vectors.clusters is None:
+        short = short.withColumn("cluster", F.lit(LOOSE).cast("long"))
+    else:
+        of_query = vectors.clusters.members.filter(F.col("side") == "query").select(F.col("profile").alias("a"), "cluster")
+        short = short.join(of_query, "a", "left").withColumn("cluster", F.coalesce("cluster", F.lit(LOOSE)))
+    short = materialise(short.select("query_id", "a", "brand", "have", "size_class", "cluster"), "short")
 
+    classes = sorted(r[0] for r in short.select("size_class").distinct().collect())
+    if not classes:
+        return ranked.limit(0)
     idle = (
         keyed.filter(F.col("side") == "match").select("product_id", "brand")
         .join(vectors.members.filter(F.col("side") == "match").select("product_id"),
@@ -412,26 +479,61 @@ def _zero_padding(ranked: DataFrame, met: DataFrame, reps: DataFrame, vectors: V
         .select(F.lit(None).cast(products.schema["product_id"].dataType).alias("b"), F.col("product_id").alias("match_id"),
                 F.col("brand").alias("match_brand"))
     )
-    pool = reps.unionByName(idle)
-    classes = sorted(r[0] for r in short.select("size_class").distinct().collect())
+    pool = materialise(add_places(reps.unionByName(idle), ["match_id"], {"in_brand": ["match_brand"]}, "pool"), "placed")
+    shunned = None
+    if vectors.clusters is not None:
+        shunned = materialise(
+            compared.filter("state = 'above'").select(F.col("ca").alias("cluster"), F.col("cb").alias("other"))
+            .join(vectors.clusters.members.filter(F.col("side") == "match").select(
+                F.col("cluster").alias("other"), F.col("profile").alias("b")), "other")
+            .join(pool, "b").select("cluster", "match_brand", F.col("in_brand").alias("place")), "shunned")
     lists = None
     for c in classes:  # at most log2(products) rounds, in practice one or two
-        per_brand = n * 2 ** c
-        first = (
-            pool.withColumn("r", F.row_number().over(
-                W.partitionBy("match_brand").orderBy("match_id")))
-            .filter(F.col("r") <= per_brand).orderBy("match_id").limit(2 * per_brand)
-            .select("b", "match_id", "match_brand", F.lit(c).alias("size_class"))
-        )
+        here = short.filter(F.col("size_class") == c).select("cluster").distinct()
+        first = _first_places(pool, here, shunned, n * 2 ** c).withColumn("size_class", F.lit(c))
         lists = first if lists is None else lists.unionByName(first)
-    if lists is None:
-        return ranked.limit(0)
     place = F.row_number().over(W.partitionBy("query_id").orderBy("match_id"))
     return (
-        short.join(lists, "size_class").filter(F.col("brand") != F.col("match_brand"))
+        short.join(materialise(lists, "lists"), ["size_class", "cluster"]).filter(F.col("brand") != F.col("match_brand"))
         .join(excluded, ["a", "brand", "b"], "left_anti")
         .withColumn("r", place).filter(F.col("r") <= n)
         .filter(F.col("r") <= n - F.col("have"))
         .select("query_id", "match_id", F.lit(0.0).alias("similarity"),
                 (F.col("have") + F.col("r")).cast("int").alias("rank"))
     )
+
+
+#: Stands for no cluster.
+LOOSE = 0
+
+
+def _first_places(pool: DataFrame, asking: DataFrame, shunned: DataFrame | None, per_brand: int) -> DataFrame:
+    """cluster, b, match_id, match_brand: the first 2 * ``per_brand`` products, at most
+    ``per_brand`` of a brand, without those that the cluster in ``asking`` shuns.
+
+    A cluster's table differs from that of all only in the brands of what it shuns, so
+    the work per cluster is in proportion to that. Numbers of free places come from
+    the shunned ones (``free_places``); no brand and no table is counted through.
+    """
+    columns = ("cluster", "b", "match_id", "match_brand")
+    limited = materialise(add_places(pool.filter(F.col("in_brand") <= per_brand), ["match_id"], {"place": []}, "limited"),
+                          "first")
+    everyone = limited.filter(F.col("place") <= 2 * per_brand).withColumn("cluster", F.lit(LOOSE).cast("long"))
+    if shunned is None:
+        return everyone.select(*columns)
+    asking = asking.filter(F.col("cluster") != LOOSE)
+    blocked = shunned.join(asking, "cluster", "left_semi")
+    brands = blocked.select("cluster", "match_brand").distinct()
+
+    def numbers(upto: int) -> Column:
+        return F.explode(F.sequence(F.lit(1), F.lit(upto))).alias("nth")
+
+    own = free_places(blocked, brands.select("cluster", "match_brand", numbers(per_brand)), ["cluster", "match_brand"])
+    own = own.withColumnRenamed("place", "in_brand").join(pool, ["match_brand", "in_brand"])
+    common = free_places(
+        brands.join(limited.select("match_brand", "place"), "match_brand").select("cluster", "place"),
+        asking.select("cluster", numbers(2 * per_brand)), ["cluster"]).join(limited, "place")
+    both = own.select(*columns).unionByName(common.select(*columns))
+    order = F.row_number().over(W.partitionBy("cluster").orderBy("match_id"))
+    return everyone.select(*columns).unionByName(
+        both.withColumn("r", order).filter(F.col("r") <= 2 * per_brand).select(*columns))
