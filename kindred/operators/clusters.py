@@ -1,15 +1,20 @@
 """Clusters of nearly equal unit vectors, and which cluster pairs need no comparison.
 
-Vectors whose heavy weights fall in the same cells of a grid make a bucket. A bucket's
-mean is a *centre*; members within half of the angle that belongs to the ceiling form
-a *cluster*. Vectors that a cell border cut off from the rest meet it again on shifted
-and finer grids. Nothing depends on what the grids miss: whatever is in no cluster is
-compared as before.
-
-Angles obey the triangle inequality, so two centres and the radii around them bound
-the angle of every pair of members from both sides. A pair of clusters (also of one
-with itself) whose members are all at or above the ceiling, or all below the floor of
-every query in it, is settled by one comparison, whatever the number of its members.
+Vectors whose heavy weights fall in the same cells of a grid make a bucket. The mean of
+a bucket on its *core*, the ingredients that half of it has, is a *centre*. Vectors that
+a cell border cut off from the rest meet it again on shifted and finer grids. Nothing
+depends on what the grids miss: whatever is in no cluster is compared as before.
+
+Weights are positive, so the product of two vectors is at least that of their core
+parts: m·n·cos(α + β), where m and n are the lengths of the parts and α and β their
+angles to the centre. As -ln cos(α + β) <= 1.01 (α² + β²) for angles up to 0.05, it is at or
+above the ceiling if the *costs* -ln m + 1.01 α² of both add up to at most -ln(ceiling). Members of
+a cluster cost at most half of that, so no two of them need to be compared.
+
+Two clusters of one core are bounded in the same way, with the angle between their
+centres; any two by the triangle inequality on the angles of whole vectors, from both
+sides. A pair of clusters whose members are all at or above the ceiling, or all below
+the floor of every query in it, is settled by one comparison, whatever their numbers.
 """
 
 from __future__ import annotations
@@ -27,14 +32,18 @@ from kindred.session import materialise
 GRIDS = ((0.15, 0.5), (0.15, 0.83), (0.15, 0.17), (0.05, 0.5), (0.05, 0.83), (0.05, 0.17))
 #: Members that a bucket needs to become a cluster.
 MIN_MEMBERS = 16
-#: Slack for rounding in the angles.
+#: Slack for rounding in angles and in costs.
 SLACK = 1e-6
+COST_SLACK = 1e-8
+#: Angles up to here obey the bound on their cosine.
+LARGEST_TURN = 0.05
 
 
 @dataclass(frozen=True)
 class Clusters:
     """``members``: side, profile, cluster. ``centres``: cluster, ingredient, u (of length 1).
-    ``radii``: cluster, radius."""
+    ``radii``: cluster, core (a hash of the ingredients), and over the members the least
+    length m in the core, the largest angle there, and the largest angle of the whole vector."""
 
     members: DataFrame
     centres: DataFrame
@@ -55,6 +64,10 @@ def largest_angle(ceiling: float) -> float:
     return math.acos(ceiling) - SLACK
 
 
+def largest_cost(ceiling: float) -> float:
+    return -math.log(ceiling) - COST_SLACK
+
+
 def find_clusters(rows: DataFrame, ceiling: float) -> Clusters | None:
     """``rows``: side, profile, ingredient, u, all ingredients of every profile."""
     vector = ["side", "profile"]
@@ -78,9 +91,11 @@ def find_clusters(rows: DataFrame, ceiling: float) -> Clusters | None:
             *vector, F.xxhash64("sign", F.lit(number)).alias("cluster")), "buckets")
         if buckets.isEmpty():
             continue
-        sums = buckets.join(rows, vector).groupBy("cluster", "ingredient").agg(F.sum("u").alias("s"))
-        norms = sums.groupBy("cluster").agg(F.sqrt(F.sum(F.col("s") * F.col("s"))).alias("norm"))
-        centres = materialise(sums.join(norms, "cluster").select(
+        sizes = buckets.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
+        core = buckets.join(rows, vector).groupBy("cluster", "ingredient").agg(
+            F.sum("u").alias("s"), F.count(F.lit(1)).alias("n")).join(sizes, "cluster").filter("2 * n >= size")
+        norms = core.groupBy("cluster").agg(F.sqrt(F.sum(F.col("s") * F.col("s"))).alias("norm"))
+        centres = materialise(core.join(norms, "cluster").select(
             "cluster", "ingredient", (F.col("s") / F.col("norm")).alias("u")), "centres")
         close = materialise(_close(buckets, rows, centres, ceiling), "close")
         if not close.isEmpty():
@@ -88,20 +103,25 @@ def find_clusters(rows: DataFrame, ceiling: float) -> Clusters | None:
     if not found:
         return None
     everyone = materialise(functools.reduce(DataFrame.unionByName, [m for m, _ in found]), "clustered")
-    radii = materialise(everyone.groupBy("cluster").agg(
-        F.max("angle").alias("radius"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "radii")
     centres = functools.reduce(DataFrame.unionByName, [c for _, c in found])
+    cores = centres.groupBy("cluster").agg(F.bit_xor(F.xxhash64("ingredient")).alias("core"))
+    radii = materialise(everyone.groupBy("cluster").agg(
+        F.min("m").alias("m"), F.max("angle").alias("angle"), F.max("whole").alias("whole"),
+        F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n").join(cores, "cluster"), "radii")
     return Clusters(everyone.join(radii, "cluster", "left_semi").select(*vector, "cluster"),
                     materialise(centres.join(radii, "cluster", "left_semi"), "centres"), radii)
 
 
 def _close(asked: DataFrame, rows: DataFrame, centres: DataFrame, ceiling: float) -> DataFrame:
-    """side, profile, cluster, angle of those asked that stand within half of the ceiling's angle of the centre."""
-    cosine = asked.join(rows, ["side", "profile"]).join(
+    """side, profile, cluster, m, angle, whole of those asked that cost at most half of what the ceiling allows."""
+    in_core = asked.join(rows, ["side", "profile"]).join(
         centres.withColumnRenamed("u", "c"), ["cluster", "ingredient"]).groupBy("side", "profile", "cluster").agg(
-        F.sum(F.col("u") * F.col("c")).alias("cosine"))
-    return cosine.withColumn("angle", _angle(F.col("cosine"))).drop("cosine").filter(
-        F.col("angle") <= largest_angle(ceiling) / 2)
+        F.sum(F.col("u") * F.col("c")).alias("cosine"), F.sqrt(F.sum(F.col("u") * F.col("u"))).alias("m"))
+    return in_core.select(
+        "side", "profile", "cluster", "m", _angle(F.col("cosine") / F.col("m")).alias("angle"),
+        _angle(F.col("cosine")).alias("whole"),
+    ).filter((F.col("angle") <= LARGEST_TURN)
+             & (-F.log("m") + 1.01 * F.col("angle") * F.col("angle") <= largest_cost(ceiling) / 2))
 
 
 def compare(probes: DataFrame, postings: DataFrame, clusters: Clusters, ceiling: float) -> DataFrame:
@@ -118,12 +138,17 @@ def compare(probes: DataFrame, postings: DataFrame, clusters: Clusters, ceiling:
                            "touching")
     centre = {x: clusters.centres.select(F.col("cluster").alias(f"c{x}"), "ingredient", F.col("u").alias(f"u{x}"))
               for x in "ab"}
-    radius = {x: clusters.radii.select(F.col("cluster").alias(f"c{x}"), F.col("radius").alias(f"r{x}")) for x in "ab"}
+    radius = {x: clusters.radii.select(F.col("cluster").alias(f"c{x}"), F.struct("core", "m", "angle", "whole").alias(x))
+              for x in "ab"}
     cosine = touching.join(centre["a"], "ca").join(centre["b"], ["cb", "ingredient"]).groupBy("ca", "cb").agg(
         F.sum(F.col("ua") * F.col("ub")).alias("cosine"))
     angle = _angle(F.coalesce("cosine", F.lit(0.0)))
-    spread = F.col("ra") + F.col("rb") + SLACK
-    above = angle + spread <= largest_angle(ceiling)
+    a, b = F.col("a"), F.col("b")
+    spread = a["whole"] + b["whole"] + SLACK
+    turned = F.when(F.col("ca") == F.col("cb"), 0.0).otherwise(angle) + a["angle"] + b["angle"] + SLACK
+    cost = -F.log(a["m"] * b["m"] * F.cos(F.least(turned, F.lit(1.5))))
+    above = (F.col("ca") == F.col("cb")) | (angle + spread <= largest_angle(ceiling)) | (
+        (a["core"] == b["core"]) & (cost <= largest_cost(ceiling)))
     below = F.cos(F.greatest(F.lit(0.0), angle - spread)) < F.col("floor")
     return materialise(
         touching.join(cosine, ["ca", "cb"], "left").join(radius["a"], "ca").join(radius["b"], "cb").select(

@@ -201,3 +201,85 @@ def test_missing_positions(spark):
                                  "product_id string, ingredient string, position string")
     got = {(r.product_id, r.ingredient): r.tf for r in weigh.weigh(rows).collect()}
     assert got == {("a", "x"): 1.0, ("a", "y"): 1 / 999, ("b", "x"): 1 / 999}
+
+
+def near_equal(n_cluster, seed=1, others=40, brands=7):
+    """Two families of lists that differ in a far tail only, split over both sides, and others."""
+    rng = random.Random(seed)
+    rows, products = [], []
+    for k in range(n_cluster + others):
+        p = f"p{k:05d}"
+        if k < n_cluster:
+            base = [f"f{k % 2}-{i}" for i in range(6)]
+            rows += [(p, w, i + 1) for i, w in enumerate(base)]
+            rows += [(p, f"tail{rng.randrange(n_cluster)}", rng.randint(1500, 2500)) for _ in range(3)]
+        else:
+            words = [f"f{k % 2}-{rng.randrange(6)}"] * (k % 3 == 0) + [f"o{rng.randrange(12)}" for _ in range(3)]
+            rows += [(p, w, i + 1) for i, w in enumerate(dict.fromkeys(words))]
+        products.append((p, "query" if (k // 2) % 2 else "match", f"b{rng.randrange(brands)}"))
+    return rows, products
+
+
+@pytest.mark.parametrize("brands", [2, 7, 1000])
+def test_nearly_equal_lists(spark, brands):
+    rows, products = near_equal(120, brands=brands)
+    assert ranked(spark, rows, products) == dense_ranking(rows, products)
+    assert ranked(spark, rows, products, pad_zero=False) == dense_ranking(rows, products, pad=False)
+
+
+def test_nearly_equal_lists_form_few_pairs(spark):
+    kept = []
+    for n in (400, 1600):
+        rows, products = near_equal(n)
+        silver = spark.createDataFrame(rows, SCHEMA)
+        sides = spark.createDataFrame(products, "product_id string, side string, brand string")
+        vectors = match.build_vectors(weigh.weigh(silver), sides, same_brand=False, ceiling=0.9999)
+        reps = match.representatives(vectors.members, 3)
+        floors = match.query_floors(vectors, reps, 3, 0.9999)
+        compared = match.compared_clusters(vectors, floors, 0.9999)
+        assert compared.filter("state = 'above'").count() >= 2
+        kept.append(match.met_pairs(vectors.features, floors, same_brand=False, compared=compared).count())
+    every = 2 * (1600 // 4) ** 2  # pairs within the families, that is nearly all there are
+    assert kept[1] < 8 * kept[0] and kept[1] < every / 10
+
+
+def test_places(spark):
+    """Free places beside plain counting."""
+    from kindred.operators import places
+
+    rng = random.Random(4)
+    blocked = {k: sorted(rng.sample(range(1, 60), rng.randint(0, 40))) for k in range(6)}
+    got = places.free_places(
+        spark.createDataFrame([(k, p) for k, v in blocked.items() for p in v], "k int, place long"),
+        spark.createDataFrame([(k, n) for k in blocked for n in range(1, 30)], "k int, nth int"), ["k"]).collect()
+    assert len(got) == 6 * 29
+    for r in got:
+        free = [p for p in range(1, 200) if p not in blocked[r.k]]
+        assert r.place == free[r.nth - 1]
+
+
+def test_places_in_a_hot_group(spark):
+    from kindred.operators import places
+
+    rows = [(i, "hot" if i % 10 else f"b{i}") for i in range(3000)]
+    got = places.add_places(spark.createDataFrame(rows, "id long, brand string").repartition(5), ["id"],
+                            {"overall": [], "in_brand": ["brand"]}, "t").collect()
+    seen = defaultdict(int)
+    for place, r in enumerate(sorted(got, key=lambda r: r.id), 1):
+        seen[r.brand] += 1
+        assert (r.overall, r.in_brand) == (place, seen[r.brand])
+
+
+def test_padding_beyond_a_window_limit(spark):
+    """One brand has nine tenths of the rows, and queries score with so many profiles that
+    more than a thousand products per brand must be at hand."""
+    rows, products = [], []
+    for k in range(420):
+        p = f"m{k:04d}"
+        rows += [(p, "common", 1), (p, f"r{k}", 2)] if k < 400 else [(p, f"z{k}", 1)]
+        products.append((p, "match", "big" if k % 10 else "small"))
+    rows += [("q1", "common", 1), ("q1", "x", 2), ("q2", "y", 1)]
+    products += [("q1", "query", "other"), ("q2", "query", "big")]
+    got = ranked(spark, rows, products, n=3, ceiling=1e-5)
+    assert got == dense_ranking(rows, products, ceiling=1e-5)
+    assert [m for m, s in got["q1"]] == ["m0400", "m0401", "m0402"]
