@@ -205,6 +205,11 @@ def _segment_batch(out: list[list]) -> pa.RecordBatch:
                                       names=[x.split()[0] for x in _SEGMENTS.split(", ")])
 
 
+def _window_hashes(words: np.ndarray, starts: np.ndarray, width: int) -> np.ndarray:
+    """Hash of the ``width`` values from each start on."""
+    return blocks.window_hashes(words, width)[starts] if len(starts) else np.zeros(0, np.uint64)
+
+
 def earlier_windows(segments: pa.Table, width: int) -> np.ndarray:
     """For each segment (id, k1, k2, start, words) a bit for each of its windows: set if
     the same words also stand at an earlier place in some segment."""
@@ -229,13 +234,17 @@ def earlier_windows(segments: pa.Table, width: int) -> np.ndarray:
         changed[1:] |= key[order][1:] != key[order][:-1]
     place = np.full(len(text), len(text), np.int64)
     place[(begins[owner] + within)[order]] = np.cumsum(changed)
-    # Backward search of all windows at once; what has one occurrence left is settled.
-    first = (begins[owner] + within)[within + width <= lengths[owner]]
-    last = text[first + width - 1]
+    # Backward search of all distinct windows at once; what has one occurrence left is settled.
+    starts = np.flatnonzero(within + width <= lengths[owner])
+    words = padded.view("<u8").ravel()
+    begin, kind = np.unique(_window_hashes(words, starts, width), return_index=True, return_inverse=True)[1:]
+    first = (begins[owner] + within)[starts]
+    asked = first[begin]
+    last = text[asked + width - 1]
     low, high = index.first[last], index.first[last + 1]
     live = np.flatnonzero(high - low > 1)
     for step in range(width - 2, -1, -1):
-        low[live], high[live] = index.extend(text[first[live] + step], low[live], high[live])
+        low[live], high[live] = index.extend(text[asked[live] + step], low[live], high[live])
         live = live[high[live] - low[live] > 1]
     masks = np.zeros(len(raw), np.int64)
     if len(live):
@@ -243,10 +252,10 @@ def earlier_windows(segments: pa.Table, width: int) -> np.ndarray:
         highs = np.zeros(len(lows), np.int64)
         highs[back] = high[live]
         by_suffix = np.append(place[index.suffixes], len(text))
-        earliest = np.minimum.reduceat(by_suffix, np.stack([lows, highs], 1).ravel())[::2]
-        again = first[live][earliest[back] < place[first[live]]]
-        segment = np.searchsorted(begins, again, "right") - 1
-        np.bitwise_or.at(masks, segment, np.int64(1) << (again - begins[segment]))
+        earliest = np.full(len(asked), len(text), np.int64)
+        earliest[live] = np.minimum.reduceat(by_suffix, np.stack([lows, highs], 1).ravel())[::2][back]
+        again = starts[earliest[kind] < place[first]]
+        np.bitwise_or.at(masks, owner[again], np.int64(1) << within[again])
     return masks
 
 
