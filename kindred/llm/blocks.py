@@ -119,6 +119,45 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: np
     return out
 
 
+#: Odd multipliers of the two hashes of a run.
+_RUN_BASES = (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
+
+
+def run_hashes(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of the values in each [start, end), from prefix sums, whatever the lengths."""
+    out = []
+    for base in _RUN_BASES:
+        n = len(hashes) + 1
+        sums = np.zeros(n, np.uint64)
+        np.cumsum(mix(hashes ^ _U(base)) * _power_table(base, n - 1), out=sums[1:])
+        back = _power_table(pow(base, -1, 1 << 64), n)
+        out.append(mix((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64)))
+    return out[0], out[1]
+
+
+def joined(data: np.ndarray, offsets: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.ndarray,
+           kept: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ``kept`` words (numbers, ascending) of each row with one blank between them, end
+    to end, and the bytes of each row. ``starts``, ``ends``, ``first`` as ``spans`` gives them."""
+    edges = np.zeros(len(data) + 1, np.int8)
+    edges[starts[kept]] += 1
+    edges[ends[kept]] -= 1
+    take = np.cumsum(edges[:-1], dtype=np.int8).view(bool)
+    row = np.searchsorted(first, kept, "right") - 1
+    # The byte after a word that is not the last kept one of its row is white space.
+    blanks = ends[kept[:-1][row[1:] == row[:-1]]]
+    take[blanks] = True
+    data = data.copy()
+    data[blanks] = 0x20
+    return data[take], np.diff(np.concatenate([[0], np.cumsum(take)])[offsets])
+
+
+def as_strings(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Strings of the given numbers of bytes, cut from UTF-8 bytes that stand end to end."""
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+    return pa.Array.from_buffers(pa.large_string(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(data)]).cast(pa.string())
+
+
 def window_hashes(hashes: np.ndarray, width: int, seed: int = 0) -> np.ndarray:
     """Hash of each run of ``width`` consecutive values."""
     n = len(hashes) - width + 1

@@ -27,10 +27,8 @@ hash of the text; a null id counts as larger than all others; an empty table giv
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -174,34 +172,33 @@ def _segments(marks: Marks, width: int, gram: int) -> DataFrame:
     reach, only = width - gram, marks.only
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[tuple[int, int]] = set()
-        out: list[list] = [[] for _ in range(8)]
+        seen: set[int] = set()
+        held: list[list[np.ndarray]] = []
+        words_of: list[bytes | None] = []
         for part, row, words, places in Marks(None, only).documents(batches, width, gram):
-            key = [part.column(k)[row].as_py() for k in ("id", "k1", "k2")]
-            grams = blocks.window_hashes(words, gram)[places].view(np.int64).tolist()
+            key = [np.full(len(places), part.column(k)[row].as_py(), np.int64) for k in ("id", "k1", "k2")]
+            starts, ends = np.maximum(places - reach, 0), np.minimum(places + width, len(words))
+            marks_of = blocks.window_hashes(words, gram)[places].view(np.int64)
+            c1, c2 = (x.view(np.int64) for x in blocks.run_hashes(words, starts, ends))
             short = np.ascontiguousarray(words.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :WORD_BYTES]).tobytes()
-            for at, anchor in zip(places.tolist(), grams, strict=True):
-                start = max(0, at - reach)
-                held = short[WORD_BYTES * start:WORD_BYTES * (at + width)]
-                digest = hashlib.blake2b(held, digest_size=16).digest()
-                c = int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)
-                for column, value in zip(out, (*key, start, anchor, *c, None if c in seen else held), strict=True):
-                    column.append(value)
+            for c, first, last in zip(c1.tolist(), (WORD_BYTES * starts).tolist(), (WORD_BYTES * ends).tolist(), strict=True):
+                words_of.append(None if c in seen else short[first:last])
                 seen.add(c)
-            if len(out[0]) >= 8192:
-                yield _segment_batch(out)
-                out = [[] for _ in range(8)]
+            held.append([*key, starts.astype(np.int32), marks_of, c1, c2])
+            if len(words_of) >= 8192:
+                yield _segment_batch(held, words_of)
+                held, words_of = [], []
                 if len(seen) > 1 << 18:
                     seen.clear()
-        if out[0]:
-            yield _segment_batch(out)
+        if words_of:
+            yield _segment_batch(held, words_of)
 
     return marks.texts.mapInArrow(run, _SEGMENTS)
 
 
-def _segment_batch(out: list[list]) -> pa.RecordBatch:
-    kinds = [pa.int64()] * 3 + [pa.int32()] + [pa.int64()] * 3 + [pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)],
+def _segment_batch(held: list[list[np.ndarray]], words: list[bytes | None]) -> pa.RecordBatch:
+    columns = [pa.array(np.concatenate(c)) for c in zip(*held, strict=True)]
+    return pa.RecordBatch.from_arrays([*columns, pa.array(words, pa.binary())],
                                       names=[x.split()[0] for x in _SEGMENTS.split(", ")])
 
 
@@ -225,15 +222,16 @@ def earlier_windows(segments: pa.Table, width: int) -> np.ndarray:
     text[begins[owner] + within] = symbols
     index = FMIndex(text, width)
     # Order of places: id, then text, then word; one place in two segments is one number.
-    columns = [segments.column(c).to_numpy() for c in ("id", "k1", "k2")]
+    columns = [segments.column(c).to_numpy() for c in ("k2", "k1", "id")]
+    by_text = np.lexsort(columns)
+    changed = np.zeros(len(raw), np.int64)
+    for column in columns:
+        changed[1:] |= column[by_text][1:] != column[by_text][:-1]
+    document = np.empty(len(raw), np.int64)
+    document[by_text] = np.cumsum(changed)
     at = segments.column("start").to_numpy()[owner] + within
-    keys = [at, *(c[owner] for c in reversed(columns))]
-    order = np.lexsort(keys)
-    changed = np.zeros(len(order), np.int64)
-    for key in keys:
-        changed[1:] |= key[order][1:] != key[order][:-1]
     place = np.full(len(text), len(text), np.int64)
-    place[(begins[owner] + within)[order]] = np.cumsum(changed)
+    place[begins[owner] + within] = np.unique((document[owner] << 32) | at, return_inverse=True)[1]
     # Backward search of all distinct windows at once; what has one occurrence left is settled.
     starts = np.flatnonzero(within + width <= lengths[owner])
     words = padded.view("<u8").ravel()
@@ -386,16 +384,15 @@ def cut(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
     found = find(docs, width, gram).withColumn("_copy", _id(F.col("doc_id")) != F.col("_first_id"))
 
     def of(part: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray) -> list[pa.Array]:
-        raw, copies, marks = data.tobytes(), part.column("_copy"), part.column("_marks")
-        count, gone, kept = [], [], []
-        for row in range(part.num_rows):
-            words = raw[offsets[row]:offsets[row + 1]].split()  # at exactly the blanks of the words' definition
-            out = removed_words(len(words), copies[row].as_py(), marks[row].as_py(), width)
-            count.append(len(words))
-            gone.append(int(out.sum()))
-            kept.append(b" ".join(compress(words, ~out) if gone[-1] else words))
-        return [pa.array(count, pa.int64()), pa.array(gone, pa.int64()),
-                pa.array(kept, pa.binary()).cast(pa.string())]
+        starts, ends, first = blocks.spans(data, offsets, blocks.UNSPACED)
+        count, gone = np.diff(first), np.zeros(len(starts), bool)
+        rows = zip(part.column("_copy").to_pylist(), part.column("_marks").to_pylist(), strict=True)
+        for row, (copy, marks) in enumerate(rows):
+            if copy or marks:
+                gone[first[row]:first[row + 1]] = removed_words(int(count[row]), copy, marks, width)
+        lost = np.concatenate([[0], np.cumsum(gone)])[first]
+        kept, sizes = blocks.joined(data, offsets, starts, ends, first, np.flatnonzero(~gone))
+        return [pa.array(count, pa.int64()), pa.array(np.diff(lost), pa.int64()), blocks.as_strings(kept, sizes)]
 
     return blocks.add_columns(found, "n_words long, n_removed long, kept_text string", of).drop(
         "_copy", "_first_id", "_marks")
