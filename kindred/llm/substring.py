@@ -63,58 +63,54 @@ def sliding(values: np.ndarray, size: int, best: np.ufunc) -> np.ndarray:
     return best(values[:len(values) - (size - have)], values[size - have:]) if have < size else values
 
 
-def anchors(words: np.ndarray, width: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places of grams that are the smallest of some window, and their hashes."""
+def anchors(words: np.ndarray, first: np.ndarray, width: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of grams that are the smallest of some window, and their hashes.
+
+    ``first``: where each text's words begin in ``words``, and where the last one's end.
+    """
+    span = width - gram + 1
     if len(words) < width:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    grams, span = blocks.window_hashes(words, gram), width - gram + 1
+    grams = blocks.window_hashes(words, gram)
     least = sliding(grams, span, np.minimum)
+    least[~_inside(len(least), first, width)] = 0  # a window over two texts is none
     around = np.concatenate([np.zeros(span - 1, np.uint64), least, np.zeros(span - 1, np.uint64)])
-    at = np.flatnonzero(sliding(around, span, np.maximum) == grams)
+    at = np.flatnonzero((sliding(around, span, np.maximum) == grams) & (grams > 0))
     return at, grams[at]
 
 
-def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, int, np.ndarray]]:
+def _inside(count: int, first: np.ndarray, width: int) -> np.ndarray:
+    """Whether ``width`` words from each of the first ``count`` places on are of one text."""
+    begins = np.arange(count)
+    return begins + width <= first[np.searchsorted(first, begins, "right")]
+
+
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Slices of rows with the hashes of their words and where each row's begin."""
     for part, data, offsets in blocks.slices(batches):
         starts, ends, first = blocks.spans(data, offsets, blocks.UNSPACED)
-        hashes = blocks.word_hashes(data, starts, ends)
-        for row in range(part.num_rows):
-            yield part, row, hashes[first[row]:first[row + 1]]
-
-
-def _batches(rows: Iterator[list[np.ndarray]], schema: pa.Schema, size: int = 1 << 16) -> Iterator[pa.RecordBatch]:
-    held: list[list[np.ndarray]] = []
-    count = 0
-    for row in rows:
-        held.append(row)
-        count += len(row[0])
-        if count >= size:
-            yield _batch(held, schema)
-            held, count = [], 0
-    if held:
-        yield _batch(held, schema)
-
-
-def _batch(held: list[list[np.ndarray]], schema: pa.Schema) -> pa.RecordBatch:
-    columns = [np.concatenate(c) for c in zip(*held, strict=True)]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c.view(np.int64) if c.dtype == np.uint64 else c, f.type) for c, f in zip(columns, schema, strict=True)],
-        schema=schema)
+        yield part, blocks.word_hashes(data, starts, ends), first
+
+
+def _column(part: pa.RecordBatch, name: str, rows: np.ndarray) -> np.ndarray:
+    return part.column(name).to_numpy(zero_copy_only=False)[rows]
 
 
 _PLACES = pa.schema([("anchor", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("at", pa.int32())])
 
 
+def _place_batch(part: pa.RecordBatch, first: np.ndarray, at: np.ndarray, hashes: np.ndarray) -> pa.RecordBatch:
+    row = np.searchsorted(first, at, "right") - 1
+    return pa.RecordBatch.from_arrays(
+        [pa.array(hashes.view(np.int64)), *(pa.array(_column(part, k, row)) for k in ("k1", "k2")),
+         pa.array((at - first[row]).astype(np.int32))], schema=_PLACES)
+
+
 def _places(texts: DataFrame, width: int, gram: int) -> DataFrame:
     """anchor, k1, k2, at of every anchor of ``texts`` (k1, k2, text)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows() -> Iterator[list[np.ndarray]]:
-            for part, row, words in _documents(batches):
-                at, found = anchors(words, width, gram)
-                if len(at):
-                    key = [np.full(len(at), part.column(k)[row].as_py()) for k in ("k1", "k2")]
-                    yield [found, *key, at.astype(np.int32)]
-        yield from _batches(rows(), _PLACES)
+        for part, words, first in _words(batches):
+            yield _place_batch(part, first, *anchors(words, first, width, gram))
 
     return texts.select("k1", "k2", "text").mapInArrow(run, "anchor long, k1 long, k2 long, at int")
 
@@ -146,19 +142,21 @@ class Marks:
         grouped = marks.groupBy("k1", "k2").agg(F.collect_set("at").alias("marks")).join(firsts, ["k1", "k2"])
         return cls(docs.join(grouped, ["id", "k1", "k2"]).dropDuplicates(["id", "k1", "k2"]), None)
 
-    def documents(self, batches: Iterator[pa.RecordBatch], width: int, gram: int
-                  ) -> Iterator[tuple[pa.RecordBatch, int, np.ndarray, np.ndarray]]:
-        """Rows with their words and the places of the wanted anchors."""
-        for part, row, words in _documents(batches):
+    def slices(self, batches: Iterator[pa.RecordBatch], width: int, gram: int
+               ) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
+        """Slices of rows with their words, where each row's begin, and the places of the wanted anchors."""
+        for part, words, first in _words(batches):
             if self.only is None:
-                at = np.sort(np.array(part.column("marks")[row].as_py(), np.int64))
+                marks = part.column("marks")
+                row = np.repeat(np.arange(part.num_rows), pc.list_value_length(marks).fill_null(0).to_numpy())
+                at = np.sort(first[row] + marks.flatten().to_numpy())
             else:
-                at, found = anchors(words, width, gram)
+                at, found = anchors(words, first, width, gram)
                 near = np.searchsorted(self.only.value, found)
                 near[near == len(self.only.value)] = 0
                 at = at[self.only.value[near] == found] if len(self.only.value) else at[:0]
             if len(at):
-                yield part, row, words, at
+                yield part, words, first, at
 
 
 _SEGMENTS = ("id long, k1 long, k2 long, start int, anchor long, c1 long, c2 long, words binary")
@@ -173,35 +171,25 @@ def _segments(marks: Marks, width: int, gram: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        held: list[list[np.ndarray]] = []
-        words_of: list[bytes | None] = []
-        for part, row, words, places in Marks(None, only).documents(batches, width, gram):
-            key = [np.full(len(places), part.column(k)[row].as_py(), np.int64) for k in ("id", "k1", "k2")]
-            starts, ends = np.maximum(places - reach, 0), np.minimum(places + width, len(words))
-            marks_of = blocks.window_hashes(words, gram)[places].view(np.int64)
+        for part, words, first, at in Marks(None, only).slices(batches, width, gram):
+            row = np.searchsorted(first, at, "right") - 1
+            starts, ends = np.maximum(at - reach, first[row]), np.minimum(at + width, first[row + 1])
             c1, c2 = (x.view(np.int64) for x in blocks.run_hashes(words, starts, ends))
             short = np.ascontiguousarray(words.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :WORD_BYTES]).tobytes()
-            for c, first, last in zip(c1.tolist(), (WORD_BYTES * starts).tolist(), (WORD_BYTES * ends).tolist(), strict=True):
-                words_of.append(None if c in seen else short[first:last])
+            held: list[bytes | None] = []
+            for c, begin, end in zip(c1.tolist(), (WORD_BYTES * starts).tolist(), (WORD_BYTES * ends).tolist(), strict=True):
+                held.append(None if c in seen else short[begin:end])
                 seen.add(c)
-            held.append([*key, starts.astype(np.int32), marks_of, c1, c2])
-            if len(words_of) >= 8192:
-                yield _segment_batch(held, words_of)
-                held, words_of = [], []
-                if len(seen) > 1 << 18:
-                    seen.clear()
-        if words_of:
-            yield _segment_batch(held, words_of)
+            columns = (*(_column(part, k, row) for k in ("id", "k1", "k2")), (starts - first[row]).astype(np.int32),
+                       blocks.window_hashes(words, gram)[at].view(np.int64), c1, c2)
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(held, pa.binary())],
+                                             names=[x.split()[0] for x in _SEGMENTS.split(", ")])
+            if len(seen) > 1 << 18:
+                seen.clear()
 
     return marks.texts.mapInArrow(run, _SEGMENTS)
 
 
-def _segment_batch(held: list[list[np.ndarray]], words: list[bytes | None]) -> pa.RecordBatch:
-    columns = [pa.array(np.concatenate(c)) for c in zip(*held, strict=True)]
-    return pa.RecordBatch.from_arrays([*columns, pa.array(words, pa.binary())],
-                                      names=[x.split()[0] for x in _SEGMENTS.split(", ")])
-
-
 def _window_hashes(words: np.ndarray, starts: np.ndarray, width: int) -> np.ndarray:
     """Hash of the ``width`` values from each start on."""
     return blocks.window_hashes(words, width)[starts] if len(starts) else np.zeros(0, np.uint64)
@@ -344,14 +332,12 @@ def _windows(marks: Marks, width: int, gram: int) -> DataFrame:
     only = marks.only
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows() -> Iterator[list[np.ndarray]]:
-            for part, row, words, places in Marks(None, only).documents(batches, width, gram):
-                hashes = blocks.window_hashes(words, width)
-                at = np.unique((places[:, None] - np.arange(width - gram + 1)).ravel())
-                at = at[(at >= 0) & (at < len(hashes))]
-                key = [np.full(len(at), part.column(k)[row].as_py()) for k in ("k1", "k2")]
-                yield [hashes[at], *key, at.astype(np.int32)]
-        yield from _batches(rows(), _PLACES)
+        for part, words, first, places in Marks(None, only).slices(batches, width, gram):
+            hashes = blocks.window_hashes(words, width)
+            row = np.searchsorted(first, places, "right") - 1
+            at = places[:, None] - np.arange(width - gram + 1)
+            at = np.unique(at[(at >= first[row][:, None]) & (at + width <= first[row + 1][:, None])])
+            yield _place_batch(part, first, at, hashes[at])
 
     return marks.texts.mapInArrow(run, "anchor long, k1 long, k2 long, at int")
 
@@ -364,19 +350,23 @@ def _text_key() -> tuple[Column, Column]:
     return F.xxhash64("text").alias("k1"), F.xxhash64(F.lit(1), "text").alias("k2")
 
 
-def removed_words(count: int, copy: bool, marks: list[dict] | None, width: int) -> np.ndarray:
-    """Whether each word is covered by a window to remove."""
-    if count < width or not (copy or marks):
-        return np.zeros(count, bool)
-    if copy:
-        return np.ones(count, bool)
-    edges = np.zeros(count + 1, np.int64)
-    for mark in marks:
-        for j in range(min(width, count - width + 1 - mark["start"])):
-            if mark["mask"] >> j & 1:
-                edges[mark["start"] + j] += 1
-                edges[mark["start"] + j + width] -= 1
-    return np.cumsum(edges)[:-1] > 0
+def removed_words(first: np.ndarray, copies: np.ndarray, marks: pa.Array, width: int) -> np.ndarray:
+    """Whether each word is covered by a window to remove.
+
+    ``first``: where each row's words begin. All words of copies go that have a window at
+    all. ``marks``: for each row its [start, mask] structs, null for none.
+    """
+    count = np.diff(first)
+    row = np.repeat(np.arange(len(count)), pc.list_value_length(marks).fill_null(0).to_numpy())
+    held = marks.flatten()
+    start, mask = (held.field(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+    edges = np.zeros(int(first[-1]) + 1, np.int64)
+    for j in range(width):
+        chosen = (mask >> j & 1 == 1) & (start + j + width <= count[row])
+        at = first[row[chosen]] + start[chosen] + j
+        np.add.at(edges, at, 1)
+        np.subtract.at(edges, at + width, 1)
+    return (np.cumsum(edges)[:-1] > 0) | np.repeat(copies & (count >= width), count)
 
 
 def cut(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
@@ -385,11 +375,8 @@ def cut(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
 
     def of(part: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray) -> list[pa.Array]:
         starts, ends, first = blocks.spans(data, offsets, blocks.UNSPACED)
-        count, gone = np.diff(first), np.zeros(len(starts), bool)
-        rows = zip(part.column("_copy").to_pylist(), part.column("_marks").to_pylist(), strict=True)
-        for row, (copy, marks) in enumerate(rows):
-            if copy or marks:
-                gone[first[row]:first[row + 1]] = removed_words(int(count[row]), copy, marks, width)
+        count = np.diff(first)
+        gone = removed_words(first, part.column("_copy").to_numpy(zero_copy_only=False), part.column("_marks"), width)
         lost = np.concatenate([[0], np.cumsum(gone)])[first]
         kept, sizes = blocks.joined(data, offsets, starts, ends, first, np.flatnonzero(~gone))
         return [pa.array(count, pa.int64()), pa.array(np.diff(lost), pa.int64()), blocks.as_strings(kept, sizes)]

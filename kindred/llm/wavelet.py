@@ -73,13 +73,20 @@ class FMIndex:
 
     def __init__(self, text: np.ndarray, depth: int):
         n = len(text)
-        rank = np.unique(text, return_inverse=True)[1].astype(np.int64)
-        size = 1
+        # Ranks of the first symbols, as many as fit in a number; then twice as many each time.
+        bits = max(1, int(text.max()).bit_length())
+        size = max(1, min(depth, 62 // bits))
+        packed = np.zeros(n, np.int64)
+        for i in range(size):
+            packed <<= bits
+            packed[:n - i] |= text[i:]
+        rank = np.unique(packed, return_inverse=True)[1].astype(np.int64)
         while size < depth:
+            ahead = min(size, depth - size)
             following = np.zeros(n, np.int64)
-            following[:max(0, n - size)] = rank[size:] + 1
+            following[:max(0, n - ahead)] = rank[ahead:] + 1
             rank = np.unique(rank * (n + 2) + following, return_inverse=True)[1].astype(np.int64)
-            size *= 2
+            size += ahead
         self.suffixes = np.argsort(rank, kind="stable")
         self.first = np.concatenate([[0], np.cumsum(np.bincount(text))])
         symbols = len(self.first)
