@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from kindred.functions.fields import parse_price
 from kindred.functions.text import SYNONYMS, flatten_lines, ingredient_array
+from kindred.operators.balance import balance
 
 #: Copies of one record expanded by a single task at most.
 COPIES_PER_TASK = 10_000
@@ -52,38 +53,54 @@ def join_products(products: DataFrame, ingredients: DataFrame, key: str = "url")
     return products.join(ingredients, key, "inner")
 
 
-def add_stable_id(df: DataFrame, source: str | Column, key: str = "url",
-                  columns: Sequence[str] | None = None) -> DataFrame:
+def content_key(columns: Sequence[str]) -> tuple[Column, Column]:
+    """Two 64-bit hashes that are equal for equal contents, and for others but by chance (2^-128)."""
+    marked = [c for name in columns for c in (F.col(name), F.col(name).isNull())]
+    return F.xxhash64(*marked).alias("_k1"), F.xxhash64(F.lit("second"), *reversed(marked)).alias("_k2")
+
+
+def copy_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """_k1, _k2, copies: how often each content occurs."""
+    return df.select(*content_key(list(columns or df.columns))).groupBy("_k1", "_k2").agg(
+        F.count(F.lit(1)).alias("copies"))
+
+
+def add_stable_id(df: DataFrame, source: str | Column, key: str = "url", columns: Sequence[str] | None = None,
+                  earlier: DataFrame | None = None) -> DataFrame:
     """``product_id`` from source, key, content and the number of the copy.
 
-    The same rows get the same ids in any run and partitioning. Equal rows are first
-    counted (one partial row per map task, however many copies there are), then
-    spread again in slices, so no task expands an unbounded group.
+    The same rows get the same ids in any run and partitioning. Contents are counted by
+    two hashes, so no text is shuffled to find out that it has no copy: such rows get
+    their id where they are read. Only contents that do repeat are grouped as such
+    (one partial row per map task, however many copies there are), then spread again
+    in slices, so no task expands an unbounded group. ``earlier`` (``copy_counts`` of
+    rows that came before) lets the numbers go on from there.
     """
     columns = list(columns or df.columns)
     source = F.lit(source) if isinstance(source, str) else source
-    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
-    one = counted.filter(F.col("_copies") == 1).withColumn("_copy", F.lit(1).cast("bigint"))
-    many = counted.filter(F.col("_copies") > 1)
-    few = many.filter(F.col("_copies") <= COPIES_PER_TASK).withColumn(
-        "_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))))
+    counts = copy_counts(df, columns)
+    if earlier is None:
+        again = counts.filter("copies > 1").select("_k1", "_k2", F.lit(0).cast("bigint").alias("_before"))
+    else:
+        known = earlier.groupBy("_k1", "_k2").agg(F.sum("copies").alias("_before"))
+        again = counts.join(known, ["_k1", "_k2"], "left").filter("copies > 1 OR _before IS NOT NULL").select(
+            "_k1", "_k2", F.coalesce("_before", F.lit(0)).alias("_before"))
+    k1, k2 = content_key(columns)
+    keyed = df.select(*columns, k1, k2)
+    one = keyed.join(again, ["_k1", "_k2"], "left_anti").select(*columns, F.lit(1).cast("bigint").alias("_copy"))
+    many = keyed.join(again, ["_k1", "_k2"]).groupBy("_k1", "_k2").agg(
+        F.first(F.struct(*columns)).alias("_row"), F.count(F.lit(1)).alias("_copies"),
+        F.first("_before").alias("_before")).select("_k1", "_row.*", "_copies", "_before")
     step = F.lit(COPIES_PER_TASK).cast("bigint")
-    heavy = (
-        many.filter(F.col("_copies") > COPIES_PER_TASK)
-        .withColumn("_from", F.explode(
-            F.sequence(F.lit(1).cast("bigint"), F.col("_copies"), step)))
-        .repartition(key, "_from")
-        .withColumn("_copy", F.explode(F.sequence(
-            F.col("_from"), F.least(F.col("_copies"), F.col("_from") + step - 1))))
-        .drop("_from")
-    )
+    slices = many.withColumn("_from", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies"), step)))
+    spread = (
+        slices.repartition("_k1", "_from")
+        .withColumn("_copy", F.explode(F.sequence(F.col("_from"), F.least(F.col("_copies"), F.col("_from") + step - 1))))
+        .select(*columns, (F.col("_copy") + F.col("_before")).alias("_copy")))
     content = F.concat_ws("\x1f", *[
         F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in columns])
     identity = F.concat_ws("\x1f", source, content, F.col("_copy").cast("string"))
-    return (
-        one.unionByName(few).unionByName(heavy)
-        .withColumn("product_id", F.sha2(identity, 256)).drop("_copies", "_copy")
-    )
+    return one.unionByName(spread).withColumn("product_id", F.sha2(identity, 256)).drop("_copy")
 
 
 def add_running_id(df: DataFrame, source: str) -> DataFrame:
@@ -94,18 +111,19 @@ def add_running_id(df: DataFrame, source: str) -> DataFrame:
 
 def explode_ingredients(df: DataFrame, text: str = "ingredients_raw",
                         synonyms: Mapping[str, str] = SYNONYMS) -> DataFrame:
-    """One row per kept ingredient with its position from 1; none gives no row."""
+    """One row per kept ingredient with its position from 1; none gives no row. Cleaning costs
+    by the byte, so rows are dealt by bytes first where they lie unevenly."""
     names = [c for c in df.columns if c != text]
-    return df.select(*names, F.posexplode(
+    return balance(df, text).select(*names, F.posexplode(
         ingredient_array(F.col(text), synonyms)).alias("position", "ingredient")
     ).withColumn("position", F.col("position") + 1)
 
 
 def to_silver(listings: DataFrame, source: str, stable_ids: bool = True,
-              optional: Sequence[str] = (), observation=None) -> DataFrame:
-    """``listings``: url, brand, product_name, price_eur, ingredients_raw."""
+              optional: Sequence[str] = (), observation=None, earlier: DataFrame | None = None) -> DataFrame:
+    """``listings``: url, brand, product_name, price_eur, ingredients_raw. ``earlier``: see ``add_stable_id``."""
     kept = with_text(with_key(listings), observation=observation)
-    keyed = add_stable_id(kept, source) if stable_ids else add_running_id(kept, source)
+    keyed = add_stable_id(kept, source, earlier=earlier) if stable_ids else add_running_id(kept, source)
     return explode_ingredients(keyed.withColumn("source", F.lit(source))).select(
         "product_id", "source", "brand", "product_name", "price_eur", "url",
         "ingredient", "position", *optional)

@@ -48,17 +48,23 @@ def document_frequency(cell_rows: DataFrame) -> DataFrame:
     return cell_rows.groupBy("ingredient").agg(F.count("position").alias("doc_freq"))
 
 
-def weigh(silver: DataFrame) -> DataFrame:
+def merged_frequency(parts: DataFrame) -> DataFrame:
+    """Document frequencies of a catalogue from those of parts that share no product."""
+    return parts.groupBy("ingredient").agg(F.sum("doc_freq").alias("doc_freq"))
+
+
+def weigh(silver: DataFrame, frequency: DataFrame | None = None, total: Column | None = None) -> DataFrame:
     """product_id, ingredient, position, doc_freq, tf, idf, tfidf.
 
     The number of products is a one-value scalar subquery. The frequency table is
     joined unhinted: it is broadcast only while its measured size allows it, and
     a hot ingredient otherwise has its product side split by the skew-join rule.
+    ``frequency`` and ``total`` are counted from ``silver`` unless they are known.
     """
     rows = cells(silver)
-    total = product_count(silver).scalar()
+    total = product_count(silver).scalar() if total is None else total
     return (
-        rows.join(document_frequency(rows), "ingredient", "left")
+        rows.join(document_frequency(rows) if frequency is None else frequency, "ingredient", "left")
         .withColumn("tf", F.try_divide(F.lit(1.0), F.col("position")))
         .withColumn("idf", F.log(total / F.col("doc_freq")))
         .withColumn("tfidf", F.col("tf") * F.col("idf"))

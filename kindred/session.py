@@ -105,10 +105,33 @@ def remove(spark: SparkSession, path: str) -> None:
     system.delete(where, True)
 
 
-def rename(spark: SparkSession, old: str, new: str) -> None:
-    system, where = _at(spark, old)
-    if not system.rename(where, spark._jvm.org.apache.hadoop.fs.Path(new)):
-        raise OSError(f"{old} could not become {new}")
+def write_new(spark: SparkSession, path: str, text: str) -> None:
+    """A small file in one piece; an existing one is an error."""
+    system, where = _at(spark, path)
+    out = system.create(where, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_small(spark: SparkSession, path: str) -> str:
+    system, where = _at(spark, path)
+    stream = system.open(where)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def files_below(spark: SparkSession, path: str) -> list[str]:
+    """Names of all files in a folder and its folders, relative to it, sorted."""
+    system, where = _at(spark, path)
+    base = system.makeQualified(where).toUri().getPath().rstrip("/") + "/"
+    found, listed = [], system.listFiles(where, True)
+    while listed.hasNext():
+        found.append(listed.next().getPath().toUri().getPath()[len(base):])
+    return sorted(found)
 
 
 def matching(spark: SparkSession, pattern: str) -> list[str]:

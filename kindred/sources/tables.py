@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-import time
+import json
 import uuid
+import zlib
 from collections.abc import Callable, Iterable
+from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,30 +23,92 @@ def publish(df: DataFrame, path: str, check: Callable[[DataFrame], object] | Non
             by: str | None = None) -> None:
     """Store ``df`` as the new version of the table at ``path``.
 
-    The version is written aside, checked and then renamed, which readers see at once or
-    not at all; a failed write or check leaves the version before in place.
+    The files of a version stay where they are written, in a folder of their own. The
+    version exists from the moment its manifest does: a small file with the names of
+    the data files, the row count and the version's number, written last, after the
+    check. No file is renamed, so object stores keep the promise as well. Numbers
+    follow the manifests present at that moment, not a clock; of two writers that take
+    the same number, the folder's name decides. Whatever has no whole manifest (a
+    writer at work, or one that broke off) is no version.
     """
-    spark, trial = df.sparkSession, f"{path}/trial-{uuid.uuid4().hex}"
+    spark, folder = df.sparkSession, f"{path}/v-{uuid.uuid4().hex}"
     try:
-        (df.write.partitionBy(by) if by else df.write).parquet(trial)
+        (df.write.partitionBy(by) if by else df.write).parquet(folder)
+        stored = spark.read.schema(df.schema).parquet(folder)
         if check is not None:
-            check(spark.read.schema(df.schema).parquet(trial))
-        session.rename(spark, trial, f"{path}/v-{time.time_ns():020d}")
+            check(stored)
+        rows = stored.count()
+        files = [f for f in session.files_below(spark, folder) if f.endswith(".parquet")]
+        number = max((v.number for v in versions(spark, path)), default=0) + 1
+        session.write_new(spark, f"{folder}/{MANIFEST}", _manifest(number, rows, files))
     except BaseException:
-        session.remove(spark, trial)
+        session.remove(spark, folder)
         raise
-    for old in session.matching(spark, f"{path}/v-*")[:-KEPT_VERSIONS]:
-        session.remove(spark, old)
+    for old in versions(spark, path)[:-KEPT_VERSIONS]:
+        session.remove(spark, old.folder)
 
 
-def current(spark: SparkSession, path: str) -> str:
-    """Folder of the version that was published last."""
-    found = session.matching(spark, f"{path}/v-*")
+#: Name of the file that makes a folder a version. Spark's readers pass over it.
+MANIFEST = "_manifest.json"
+
+
+@dataclass(frozen=True, order=True)
+class Version:
+    number: int
+    folder: str
+    rows: int = field(compare=False)
+    files: tuple[str, ...] = field(compare=False)
+
+
+def _manifest(number: int, rows: int, files: list[str]) -> str:
+    body = {"version": number, "rows": rows, "files": files}
+    return json.dumps({**body, "check": zlib.crc32(json.dumps(body).encode())})
+
+
+def versions(spark: SparkSession, path: str) -> list[Version]:
+    """Versions of a published table, the last one last. A manifest that was cut off fails
+    its own checksum and does not count; one that goes while it is read neither."""
+    found = []
+    for place in session.matching(spark, f"{path}/v-*/{MANIFEST}"):
+        try:
+            held = json.loads(session.read_small(spark, place))
+            check = held.pop("check")
+        except (ValueError, KeyError, AttributeError, Py4JJavaError):
+            continue
+        if check == zlib.crc32(json.dumps(held).encode()):
+            found.append(Version(held["version"], place[:-len(MANIFEST) - 1], held["rows"], tuple(held["files"])))
+    return sorted(found)
+
+
+def remove_unfinished(spark: SparkSession, path: str) -> int:
+    """Delete folders without a manifest: what broken writers left. Not to be called while one is at work."""
+    whole = {v.folder for v in versions(spark, path)}
+    left = [f for f in session.matching(spark, f"{path}/v-*") if f not in whole]
+    for folder in left:
+        session.remove(spark, folder)
+    return len(left)
+
+
+def last_version(spark: SparkSession, path: str) -> Version:
+    found = versions(spark, path)
     if not found:
         raise FileNotFoundError(f"no table was published at {path}")
     return found[-1]
 
 
+def current(spark: SparkSession, path: str) -> str:
+    """Folder of the version that was published last."""
+    return last_version(spark, path).folder
+
+
+def read_published(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The files that the last manifest names, and no others."""
+    last = last_version(spark, path)
+    if not last.files:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", last.folder).parquet(*(f"{last.folder}/{f}" for f in last.files))
+
+
 def read_bronze(spark: SparkSession, path: str, sep: str = ",", columns: Iterable[str] = (),
                 multiline: bool = False) -> DataFrame:
     """CSV with a header; every column is a string, addressed by its header name.
@@ -81,7 +146,7 @@ def export_csv(df: DataFrame, path: str) -> None:
 def read_silver(spark: SparkSession, path: str) -> DataFrame:
     """All parts of the silver table; a missing table is an error of the reader."""
     names = schemas.SILVER.fieldNames()
-    return spark.read.schema(schemas.SILVER).parquet(current(spark, path)).select(*names)
+    return read_published(spark, path, schemas.SILVER).select(*names)
 
 
 def read_silver_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -117,7 +182,7 @@ def write_gold(gold: DataFrame, path: str, fmt: str = "parquet",
 
 
 def read_gold(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.GOLD).parquet(current(spark, path))
+    return read_published(spark, path, schemas.GOLD)
 
 
 def read_gold_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -138,4 +203,4 @@ def write_serving(items: DataFrame, path: str) -> None:
 
 
 def read_serving(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.SERVING).parquet(current(spark, path))
+    return read_published(spark, path, schemas.SERVING)

@@ -2,9 +2,9 @@
 
 A structured stream over the landing folder replaces the storage event. Every
 micro-batch is stored under its batch id, so a batch that is tried again after a
-failure overwrites itself. After the batch the caller's ``refresh`` runs over all of
-bronze: one new product changes the product count and thereby every weight, so gold
-cannot be updated in place. There is no event time and hence no watermark.
+failure overwrites itself. After the batch the caller's ``each`` gets its rows alone, for
+work that adds up (``increments``), and ``refresh`` all rows so far. There is no event
+time and hence no watermark.
 """
 
 from __future__ import annotations
@@ -25,12 +25,15 @@ def watch(spark: SparkSession, landing: str, schema: T.StructType, fmt: str = "c
 
 
 def store_arrivals(arrivals: DataFrame, bronze: str, checkpoint: str,
-                   refresh: Callable[[DataFrame, int], None] | None = None):
+                   refresh: Callable[[DataFrame, int], None] | None = None,
+                   each: Callable[[DataFrame, int], None] | None = None):
     """Start a query that takes all files that have arrived and then stops."""
     schema = arrivals.schema
 
     def store(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{bronze}/batch_id={batch_id}")
+        if each is not None:
+            each(batch.sparkSession.read.schema(schema).parquet(f"{bronze}/batch_id={batch_id}"), batch_id)
         if refresh is not None:
             refresh(read_arrivals(batch.sparkSession, bronze, schema), batch_id)
 

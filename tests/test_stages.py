@@ -212,3 +212,101 @@ def test_scratch_tables_go(spark):
         where = kept.inputFiles()[0].rsplit("/", 1)[0]
         assert session.matching(spark, where)
     assert not session.matching(spark, where)
+
+
+def test_increments_equal_one_run(spark, layout, tmp_path, monkeypatch):
+    """Ten files in ten batches: every text is cleaned once, gold is that of one run over
+    everything, and a batch that comes again changes nothing."""
+    base = [("Luxe", "Creme", "x", "10,00 €", "", "", f"https://a.example/{i % 7}") for i in range(20)]
+    rows = spark.createDataFrame(base, schemas.LISTING_A)
+    texts = spark.createDataFrame(
+        [(f"https://a.example/{i}", "Luxe", "Creme", f"Aqua, Glycerin, Oil {i % 3}, Extract {i}") for i in range(7)],
+        schemas.INGREDIENTS_A)
+    one = dataclasses.replace(layout, **{n: str(tmp_path / f"one-{n}") for n in
+                                         ("listing_a", "ingredients_a", "silver", "gold", "serving")})
+    tables.write_bronze(texts, one.ingredients_a)
+    tables.write_bronze(rows, one.listing_a, sep=";")
+    catalogue.run(spark, one)
+
+    many = dataclasses.replace(one, **{n: str(tmp_path / f"many-{n}") for n in ("silver", "gold", "serving")})
+    landing = str(tmp_path / "landing")
+    for i in range(10):
+        part = spark.createDataFrame(base[2 * i:2 * i + 2], schemas.LISTING_A)
+        tables.write_bronze(part.coalesce(1), landing, sep=";", mode="append")
+    cleaned = []
+    clean = bronze.explode_ingredients
+    monkeypatch.setattr(bronze, "explode_ingredients", lambda df, *a: cleaned.append(df.count()) or clean(df, *a))
+    golds = []
+    gold_rows = catalogue.gold_rows
+    monkeypatch.setattr(catalogue, "gold_rows", lambda *a, **k: golds.append(1) or gold_rows(*a, **k))
+
+    def take():
+        source = arrivals.watch(spark, landing, schemas.LISTING_A, header=True, sep=";", files_per_batch=1)
+        return catalogue.take_arrivals(spark, many, "listing_a", source, str(tmp_path / "stored"), str(tmp_path / "progress"))
+
+    def gold(at):
+        return sorted(map(tuple, tables.read_gold(spark, at.gold).collect()), key=str)
+
+    assert take() == tables.read_serving(spark, one.serving).count()
+    others = bronze.with_text(bronze.with_key(catalogue._listings(spark, many, {})[catalogue.SOURCE_B])).count()
+    assert sum(cleaned) == 20 + others and len(cleaned) == 11 and len(golds) == 1
+    assert gold(many) == gold(one)
+    assert take() is None and len(golds) == 1
+    # A batch is tried again after a failure.
+    parts = catalogue.Parts(spark, f"{many.silver}-parts")
+    before = sorted(map(tuple, parts.silver().collect()), key=str)
+    batch = arrivals.read_arrivals(spark, str(tmp_path / "stored"), schemas.LISTING_A).filter("batch_id = 4").drop("batch_id")
+    parts.add(catalogue._listings(spark, many, {"listing_a": batch})[catalogue.SOURCE_A], catalogue.SOURCE_A, 4)
+    assert sorted(map(tuple, parts.silver().collect()), key=str) == before
+
+
+def test_half_written_versions_and_two_writers(spark, tmp_path):
+    path = str(tmp_path / "table")
+    tables.publish(spark.range(3), path)
+    spark.range(9).write.parquet(f"{path}/v-broken")  # a writer that broke off before its manifest
+    spark.range(8).write.parquet(f"{path}/v-cut")
+    text = session.read_small(spark, f"{tables.current(spark, path)}/{tables.MANIFEST}")
+    session.write_new(spark, f"{path}/v-cut/{tables.MANIFEST}", text.replace('"version": 1', '"version": 7')[:-4])
+    assert tables.read_published(spark, path, spark.range(1).schema).count() == 3
+    # Another writer commits between our write and our manifest: both numbers count on.
+    tables.publish(spark.range(4), path, check=lambda rows: tables.publish(spark.range(5), path))
+    assert [v.rows for v in tables.versions(spark, path)] == [5, 4]
+    assert tables.read_published(spark, path, spark.range(1).schema).count() == 4
+    # Two writers that saw the same versions take one number: one of them is read, whole.
+    last = tables.last_version(spark, path)
+    for name, n in (("v-x", 6), ("v-y", 7)):
+        spark.range(n).write.parquet(f"{path}/{name}")
+        files = [f for f in session.files_below(spark, f"{path}/{name}") if f.endswith(".parquet")]
+        session.write_new(spark, f"{path}/{name}/{tables.MANIFEST}", tables._manifest(last.number + 1, n, files))
+    assert tables.read_published(spark, path, spark.range(1).schema).count() == 7
+    with pytest.raises(Exception, match="exist"):
+        session.write_new(spark, f"{path}/v-y/{tables.MANIFEST}", "")
+    # A stray file in the folder is not read.
+    spark.range(100).coalesce(1).write.mode("append").parquet(f"{path}/v-y")
+    assert tables.read_published(spark, path, spark.range(1).schema).count() == 7
+    assert tables.remove_unfinished(spark, path) == 2
+
+
+def test_ids_shuffle_no_texts(spark):
+    rows = spark.createDataFrame([(f"u{i % 5}", "text " * (i % 5)) for i in range(12)] + [("v", None)], "url string, t string")
+    got = bronze.add_stable_id(rows, "a")
+    ids = sorted(r.product_id for r in got.collect())
+    assert len(set(ids)) == 13
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_k1" in plan and "hashpartitioning(url" not in plan and "hashpartitioning(t" not in plan
+    first, second = rows.limit(7), rows.exceptAll(rows.limit(7))
+    later = bronze.add_stable_id(second, "a", earlier=bronze.copy_counts(first))
+    assert sorted(r.product_id for r in bronze.add_stable_id(first, "a").union(later).collect()) == ids
+
+
+def test_balanced_by_bytes(spark, monkeypatch):
+    from kindred.operators import balance as b
+
+    monkeypatch.setattr(b, "LEAST_BYTES", 0)
+    rows = spark.createDataFrame([(i, "x" * (20_000 if i < 8 else 50)) for i in range(2000)] + [(-1, None)], "i int, t string")
+    dealt = b.balance(rows.coalesce(1), "t")
+    assert dealt.columns == ["i", "t"]
+    sizes = [r.n for r in dealt.groupBy(F.spark_partition_id()).agg(
+        F.sum(F.coalesce(F.length("t"), F.lit(0)) + b.ROW_BYTES).alias("n")).collect()]
+    assert max(sizes) < 2.5 * sum(sizes) / 8 and dealt.exceptAll(rows).isEmpty() and dealt.count() == 2001
+    assert b.balance(rows.limit(0), "t").count() == 0
