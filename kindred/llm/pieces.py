@@ -7,8 +7,11 @@ the best splits of its words.
 
 The distinct words of a slice are sorted, which puts words of one prefix side by side,
 as a depth-first walk of their trie meets them. The walk keeps the forward scores of
-the current prefix; a word computes those of its own suffix alone. Splits of frequent
-words are kept by the worker, up to a bound.
+the current prefix; a word computes those of its own suffix alone.
+
+Words are found and looked up as byte ranges by array operations; a worker keeps the
+pieces of words it has met under a 64-bit hash of their bytes (some 30 bytes a word, up
+to a bound, then it begins anew), so only words that are new to it become strings.
 
 The best split has the highest sum of piece scores; of equal sums the one whose last
 piece is longest wins, then so on to the left, which is what the unigram algorithm of
@@ -27,6 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,8 +41,10 @@ from kindred.llm import blocks
 MARK = "▁"
 #: Penalty of an unknown character below the worst piece; fixed value of the algorithm.
 UNKNOWN_PENALTY = 10
-#: Words whose pieces a worker keeps (about 250 bytes each).
-KEPT_WORDS = 400_000
+#: Words whose pieces a worker keeps (about 30 bytes each).
+KEPT_WORDS = 1_500_000
+_BLANK = 0x20
+_MARK_BYTES = np.frombuffer(MARK.encode(), np.uint8)
 
 _words = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
@@ -129,31 +135,99 @@ def marked_words(text: str) -> list[str]:
     return _words.findall(MARK + text.replace(" ", MARK))
 
 
+def _gather(arena: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The ranges of ``arena`` one after the other."""
+    ends = np.cumsum(sizes)
+    return arena[np.repeat(begins - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
+
+
+def blanked(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Texts end to end with marks as blanks, and one more before every text that is not empty."""
+    at = np.flatnonzero((data[:-2] == _MARK_BYTES[0]) & (data[1:-1] == _MARK_BYTES[1]) & (data[2:] == _MARK_BYTES[2])
+                        ) if len(data) > 2 else np.zeros(0, np.int64)
+    if len(at):
+        data, keep = data.copy(), np.ones(len(data), bool)
+        data[at] = _BLANK
+        keep[at + 1] = keep[at + 2] = False
+        offsets = np.concatenate([[0], np.cumsum(keep)])[offsets]
+        data = data[keep]
+    sizes = np.diff(offsets)
+    fresh = np.concatenate([[0], np.cumsum(sizes + (sizes > 0))])
+    out = np.full(int(fresh[-1]), _BLANK, np.uint8)
+    inside = np.ones(len(out), bool)
+    inside[fresh[:-1][sizes > 0]] = False
+    out[inside] = data
+    return out, fresh
+
+
 class Codec:
     def __init__(self, path: str):
         self.vocabulary = Vocabulary.load(path)
-        self.kept: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return self.encode_marked([marked_words(t) for t in texts])
-
-    def encode_marked(self, parts: list[list[str]]) -> list[np.ndarray]:
-        wanted: set[str] = set()
-        for p in parts:
-            wanted.update(p)
-        wanted.difference_update(self.kept)
-        fresh = {w: np.array(p, np.int32).tobytes()
-                 for w, p in encode_words(list(wanted), self.vocabulary).items()}
-        if len(self.kept) + len(fresh) <= KEPT_WORDS:
-            self.kept.update(fresh)
-            found = self.kept
-        else:
-            found = {**{w: self.kept[w] for p in parts for w in p if w in self.kept}, **fresh}
-        return [np.frombuffer(b"".join([found[w] for w in p]), np.int32) for p in parts]
-
-    def decode(self, pieces: np.ndarray) -> str:
         texts = self.vocabulary.texts
-        return b"".join([texts[i] for i in pieces.tolist()])[1:].decode("utf-8", "replace")
+        self.text_sizes = np.array([len(t) for t in texts], np.int64)
+        self.text_begins = np.cumsum(self.text_sizes) - self.text_sizes
+        self.text_bytes = np.frombuffer(b"".join(texts), np.uint8)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.hashes, self.arena = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        self.begins, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int32)
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pieces of all texts, where each text's begin (and the last end), and its number of marked words."""
+        data, offsets = blanked(data, offsets)
+        blank = data == _BLANK
+        begin = blank.copy()
+        begin[1:] &= ~blank[:-1]
+        begin[offsets[:-1][np.diff(offsets) > 0]] = True
+        starts = np.flatnonzero(begin)
+        ends = np.append(starts[1:], len(data))
+        first = np.searchsorted(starts, offsets)
+        hashes, sample, word = np.unique(blocks.word_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        at = self._known(hashes)
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            self._learn(data, starts[sample[new]], ends[sample[new]], hashes[new], hashes)
+            at = self._known(hashes)
+        sizes = self.sizes[at][word].astype(np.int64)
+        pieces = _gather(self.arena, self.begins[at][word], sizes)
+        return pieces, np.concatenate([[0], np.cumsum(sizes)])[first], np.diff(first)
+
+    def _known(self, hashes: np.ndarray) -> np.ndarray:
+        """Places of hashes among the kept ones, -1 where there is none."""
+        at = np.searchsorted(self.hashes, hashes)
+        at[at == len(self.hashes)] = 0
+        return np.where(self.hashes[at] == hashes, at, -1) if len(self.hashes) else np.full(len(hashes), -1)
+
+    def _learn(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray, wanted: np.ndarray) -> None:
+        raw = data.tobytes()
+        words = [raw[a:b].decode("utf-8", "replace").replace(" ", MARK)
+                 for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+        found = encode_words(list(set(words)), self.vocabulary)
+        if len(self.hashes) + len(words) > KEPT_WORDS:  # of the kept ones, only those of this slice
+            at = self._known(wanted)
+            at = at[at >= 0]
+            self.arena = _gather(self.arena, self.begins[at], self.sizes[at].astype(np.int64))
+            self.hashes, self.sizes = self.hashes[at], self.sizes[at]
+            self.begins = np.cumsum(self.sizes, dtype=np.int64) - self.sizes
+        sizes = np.array([len(found[w]) for w in words], np.int32)
+        fresh = np.array([p for w in words for p in found[w]], np.int32)
+        begins = len(self.arena) + np.cumsum(sizes, dtype=np.int64) - sizes
+        self.arena = np.concatenate([self.arena, fresh])
+        hashes = np.concatenate([self.hashes, hashes])
+        order = np.argsort(hashes)
+        self.hashes = hashes[order]
+        self.begins = np.concatenate([self.begins, begins])[order]
+        self.sizes = np.concatenate([self.sizes, sizes])[order]
+
+    def decode(self, pieces: np.ndarray, offsets: np.ndarray) -> pa.Array:
+        """The text that the pieces of each row spell, without the blank before it."""
+        sizes = self.text_sizes[pieces]
+        data = _gather(self.text_bytes, self.text_begins[pieces], sizes)
+        ends = np.concatenate([[0], np.cumsum(sizes)])[offsets]
+        keep = np.ones(len(data), bool)
+        keep[ends[:-1][np.diff(ends) > 0]] = False
+        return blocks.as_strings(data[keep], np.maximum(np.diff(ends) - 1, 0))
 
 
 #: The codec of a worker; it serves one task after the other, with the words it keeps.
@@ -166,37 +240,44 @@ def codec_of(path: str) -> Codec:
     return _codecs[path]
 
 
+def _lists(pieces: np.ndarray, begins: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(begins.astype(np.int32)), pa.array(pieces, pa.int32()))
+
+
 def encode(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
     """``docs`` with pieces (ids) and n_words (marked words)."""
     def of(part: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray) -> list[pa.Array]:
-        parts = [marked_words(t) for t in part.column(text).fill_null("").to_pylist()]
-        found = codec_of(model).encode_marked(parts)
-        ends = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
-        flat = np.concatenate(found) if found else np.zeros(0, np.int32)
-        return [pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32())),
-                pa.array([len(p) for p in parts], pa.int64())]
+        pieces, begins, count = codec_of(model).encode(data, offsets)
+        return [_lists(pieces, begins), pa.array(count, pa.int64())]
 
     return blocks.add_columns(docs, "pieces array<int>, n_words long", of, text)
 
 
 def decode(encoded: DataFrame, model: str) -> DataFrame:
-    """``encoded`` (pieces) with decoded, the text that its pieces spell."""
+    """``encoded`` (pieces) with decoded, the text that its pieces spell; null pieces are none."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            codec = codec_of(model)
             lists = batch.column("pieces")
-            ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
-            texts = [codec.decode(flat[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())],
-                                             names=[*batch.schema.names, "decoded"])
+            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+            texts = codec_of(model).decode(lists.flatten().to_numpy(zero_copy_only=False),
+                                           np.concatenate([[0], np.cumsum(sizes)]))
+            yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=[*batch.schema.names, "decoded"])
 
     kept = encoded.drop("decoded")
     return kept.mapInArrow(run, T.StructType([*kept.schema.fields, T.StructField("decoded", T.StringType())]))
 
 
 def round_trip(docs: DataFrame, model: str) -> DataFrame:
-    """doc_id, n_words, n_pieces, pieces, restored: the pieces spell the text again."""
-    coded = decode(encode(docs.select("doc_id", "text"), model), model)
+    """doc_id, n_words, n_pieces, pieces, restored: the pieces spell the text again.
+
+    Both ways go through one worker, which holds one codec.
+    """
+    def of(part: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray) -> list[pa.Array]:
+        codec = codec_of(model)
+        pieces, begins, count = codec.encode(data, offsets)
+        return [_lists(pieces, begins), pa.array(count, pa.int64()), codec.decode(pieces, begins)]
+
+    coded = blocks.add_columns(docs.select("doc_id", "text"), "pieces array<int>, n_words long, decoded string", of)
     return coded.select(
         "doc_id", "n_words", F.size("pieces").cast("long").alias("n_pieces"), "pieces",
         (F.col("decoded") == F.translate(F.coalesce("text", F.lit("")), MARK, " ")).alias("restored"))

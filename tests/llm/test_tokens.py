@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -151,3 +152,23 @@ def test_pieces_round_trip(spark, monkeypatch):
     assert len(got) == len(rows) and all(r.restored for r in got)
     assert {r.doc_id: r.n_pieces for r in got}[0] == 0
     assert pieces.round_trip(docs.limit(0), public_tokenizers.path("piece_bpe_32k.model")).collect() == []
+
+
+@pytest.mark.parametrize("kept", [3, 1_500_000])
+def test_pieces_of_slices_are_those_of_their_words(codec, monkeypatch, kept):
+    """Array look-ups with hashes beside splitting each text into marked words."""
+    monkeypatch.setattr(pieces, "KEPT_WORDS", kept)
+    texts = [*ODD, None, "▁", "a▁b ▁ c", "  two  blanks ", "x" * 300, "▁▁start", "the then there the", ""]
+    for _ in range(2):
+        array = pa.array(texts, pa.string())
+        data, offsets = blocks.flat(array)
+        found, begins, count = codec.encode(data, offsets)
+        for i, text in enumerate(texts):
+            words = pieces.marked_words(text or "")
+            split = pieces.encode_words(words, codec.vocabulary)
+            assert found[begins[i]:begins[i + 1]].tolist() == [p for w in words for p in split[w]]
+            assert count[i] == len(words)
+        spelled = codec.decode(found, begins).to_pylist()
+        assert spelled == [(t or "").replace("▁", " ") for t in texts]
+        assert len(codec.hashes) <= max(kept, len({w for t in texts for w in pieces.marked_words(t or "")}))
+    assert codec.encode(np.zeros(0, np.uint8), np.zeros(1, np.int64))[0].tolist() == []
