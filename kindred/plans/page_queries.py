@@ -113,6 +113,20 @@ def page_image(spark, sf_dir):
     return rows.select("page_id", fields.first_filled(first("src"), first("data-src")).alias("image"))
 
 
+@query("page_own_image", f"""
+SELECT page_id, nullif(coalesce({_decoded("regexp_extract(html, '<a href=\"([^\"]*)\"', 1)")}, ''), '') AS image,
+       len(regexp_extract_all(html, '<a href="[^"]')) AS images FROM pages""")
+def page_own_image(spark, sf_dir):
+    """The first image of each page where its links stand as images: every value is the page's own."""
+    lazy = F.col("page_id") % 2 == 0
+    html = F.replace(F.col("html"), F.lit('<a href="'), F.when(lazy, "<img src='' data-src=\"").otherwise('<img src="'))
+    sources = {attr: pages.attribute_values(F.col("html"), attr, tag="img") for attr in ("src", "data-src")}
+    images = {attr: F.get(values, 0) for attr, values in sources.items()}
+    return table(spark, sf_dir, "pages").withColumn("html", html).select(
+        "page_id", fields.first_filled(images["src"], images["data-src"]).alias("image"),
+        (F.size(sources["src"]) + F.size(sources["data-src"])).cast("long").alias("images"))
+
+
 @query("attr_inventory", f"""
 SELECT value, count(*) AS uses FROM (
   SELECT unnest(regexp_extract_all(html, '<[a-z0-9]+ (?:[a-z-]+="[^"]*" )*class="([^"]+)"', 1)) AS value FROM pages)

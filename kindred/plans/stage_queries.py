@@ -12,9 +12,9 @@ from kindred.plans.adapters import (
 )
 from kindred.plans.registry import query
 from kindred.plans.text_queries import STAGES_SQL
-from kindred.session import fresh_path
+from kindred.session import fresh_path, materialise
 from kindred.sources import tables
-from kindred.streaming import arrivals
+from kindred.streaming import arrivals, increments
 
 # --- scans and sinks ---------------------------------------------------------
 
@@ -159,6 +159,22 @@ def stream_arrival(spark, sf_dir):
     return last.drop("batches")
 
 
+@query("stream_increments", STAGES_SQL + """
+SELECT ingredient, count(*) AS doc_freq FROM silver GROUP BY 1""")
+def stream_increments(spark, sf_dir):
+    """Listings arrive in three files and three batches; each batch is cleaned alone and
+    the document frequencies of the parts are added up."""
+    rows = document_listings(spark, sf_dir).select(
+        "url", "brand", "product_name", F.lit(0.0).cast("float").alias("price_eur"), "ingredients_raw")
+    landing, stored, made = (fresh_path(spark, x) for x in ("landing", "arrivals", "parts"))
+    rows.repartition(3, "url").write.parquet(landing)
+    parts = increments.Parts(spark, made)
+    arriving = arrivals.watch(spark, landing, rows.schema, "parquet", files_per_batch=1)
+    arrivals.store_arrivals(arriving, stored, fresh_path(spark, "progress"),
+                            each=lambda batch, batch_id: parts.add(batch, "b", batch_id)).awaitTermination()
+    return parts.frequency()
+
+
 # --- bronze steps ------------------------------------------------------------
 
 BRONZE_SQL = """
@@ -288,6 +304,26 @@ def sparsity(spark, sf_dir):
         "sparsity", F.round("sparsity", 9))
 
 
+@query("pivot_weights", "WITH " + WEIGHTS_SQL + f""",
+columns AS (
+  SELECT ingredient, (number - 1) // {profile.BLOCK_WIDTH} AS block, (number - 1) % {profile.BLOCK_WIDTH} AS place
+  FROM (SELECT ingredient, row_number() OVER (ORDER BY ingredient) AS number FROM freq))
+SELECT product_id, block, CAST({profile.BLOCK_WIDTH} AS INTEGER) AS width,
+       CAST(count(*) FILTER (tfidf <> 0) AS INTEGER) AS filled, round(sum(tfidf), 9) AS total,
+       round(sum(tfidf * (place + 1)), 7) AS placed
+FROM weights JOIN columns USING (ingredient) GROUP BY 1, 2""")
+def pivot_weights(spark, sf_dir):
+    weighted = materialise(weigh.weigh(order_rows(spark, sf_dir)).select("product_id", "ingredient", "tfidf"), "weights")
+    blocks = profile.pivot_blocks(weighted, profile.pivot_columns(weighted))
+
+    def total(term):
+        return F.aggregate(F.transform("values", term), F.lit(0.0), lambda x, y: x + y)
+    return blocks.select(
+        "product_id", "block", F.size("values").alias("width"),
+        F.size(F.filter("values", lambda v: v != 0)).alias("filled"), F.round(total(lambda v: v), 9).alias("total"),
+        F.round(total(lambda v, i: v * (i + 1)), 7).alias("placed"))
+
+
 @query("gold_summary", GOLD_SQL + """
 SELECT round(avg(cosine_similarity) FILTER (rank = 1), 6) AS avg_rank1,
        count(DISTINCT query_product_name) AS matched_products, count(*) AS match_rows FROM gold""")

@@ -71,5 +71,8 @@ class Parts:
     def weights(self) -> DataFrame:
         """As ``weigh.weigh`` of all silver rows, with the frequencies and counts of the parts."""
         total = self._read("products", _PRODUCTS).agg(F.sum("products").alias("products"))
-        frequency = weigh.merged_frequency(self._read("frequency", _FREQUENCY))
-        return weigh.weigh(self.silver().drop("batch_id"), frequency, total.scalar())
+        return weigh.weigh(self.silver().drop("batch_id"), self.frequency(), total.scalar())
+
+    def frequency(self) -> DataFrame:
+        """ingredient, doc_freq over all parts."""
+        return weigh.merged_frequency(self._read("frequency", _FREQUENCY))

@@ -310,3 +310,34 @@ def test_balanced_by_bytes(spark, monkeypatch):
         F.sum(F.coalesce(F.length("t"), F.lit(0)) + b.ROW_BYTES).alias("n")).collect()]
     assert max(sizes) < 2.5 * sum(sizes) / 8 and dealt.exceptAll(rows).isEmpty() and dealt.count() == 2001
     assert b.balance(rows.limit(0), "t").count() == 0
+
+
+def test_pivot_in_blocks(spark):
+    rows = spark.createDataFrame([(f"p{i}", f"w{(i * j) % 23:02d}", j + 1) for i in range(12) for j in range(5)],
+                                 "product_id string, ingredient string, position int")
+    weighted = weigh.weigh(rows).cache()
+    columns = profile.pivot_columns(weighted, 4)
+    names = {r.block * 4 + r.place: r.ingredient for r in columns.collect()}
+    assert [names[i] for i in range(len(names))] == sorted(set(names.values()))
+    cells = {(r.product_id, r.ingredient): r.tfidf for r in weighted.collect()}
+    seen = {}
+    for r in profile.pivot_blocks(weighted, columns, 4).collect():
+        assert len(r["values"]) == 4
+        for i, v in enumerate(r["values"]):
+            if 4 * r.block + i in names:
+                seen[r.product_id, names[4 * r.block + i]] = v
+            else:
+                assert v == 0.0
+    assert all(seen[k] == v for k, v in cells.items())
+    assert all(v == 0.0 for k, v in seen.items() if k not in cells)
+
+
+def test_profiles_do_not_copy_rows(spark):
+    rows = spark.createDataFrame([("a", "x", 1), ("a", "y", 2), ("b", "x", 1), (None, None, 1)],
+                                 "product_id string, ingredient string, position int")
+    for df in (profile.profile(rows, ["product_id", "ingredient"]), profile.sparsity(weigh.weigh(rows))):
+        row = df.first().asDict()
+        assert {row.get("products", 2), row.get("ingredients", 2), row.get("distinct_product_id", 2)} == {2}
+        assert "Expand" not in df._jdf.queryExecution().executedPlan().toString()
+    empty = profile.profile(rows.limit(0), ["ingredient"]).first()
+    assert (empty.rows, empty.distinct_ingredient) == (0, 0)
