@@ -94,3 +94,22 @@ def test_names_lose_what_the_plain_pattern_cuts(spark):
         "n", fields.clean_name(F.col("n"), F.lit(None)).alias("c")).collect()
     for row in got:
         assert (row.c or "") == re.sub(r"\s*\n\s*\(\d+[^)]*\)\s*\Z", "", row.n, count=1).strip(), repr(row.n)
+
+
+def test_fixed_values_written_out(spark):
+    """What the lists of fixed values must do, spelled out apart from them."""
+    from kindred.functions.text import ingredient_array
+
+    headings = ["Ingredients / INCI: ", "INGREDIENTS, inci : ", "ingredients /something else: ", "Ingredients; ", "Ingredients : ",
+                "ingredients ", "INCI: ", "inci ", "Ingredients INCI: "]
+    waters = ["water", "Eau", "Aqua/Water", "Water/Aqua", "Aqua/Water/Eau", "Water/Aqua/Eau", "Deionized Water",
+              "Purified Water", "Distilled Water", "WaterAquaEau", "WasserAquaEau"]
+    notes = ["hergestellt in X", "Bio-Zutat", "exclusive anti age complex", "PEOPLE'S choice", "10 PPM", "3 ppb", "5 %", "20ppm x", "12 abc", "1.-2"]
+    rows = [(h + "Glycerin, Parfum", ["GLYCERIN", "PARFUM"]) for h in headings]
+    rows += [(f"{w}, Glycerin", ["AQUA", "GLYCERIN"]) for w in waters]
+    rows += [(f"Glycerin, {n}, Parfum", ["GLYCERIN", "PARFUM"]) for n in notes]
+    rows += [("Glycerin | Parfum * Talc · Mica • Silica", ["GLYCERIN", "PARFUM", "TALC", "MICA", "SILICA"]),
+             ("Glycerin, CI 77891, ab, Talc", ["GLYCERIN", "TALC"])]  # colour index numbers and short tokens go
+    df = spark.createDataFrame([(r[0],) for r in rows], "t string")
+    got = [r[0] for r in df.select(ingredient_array(F.col("t"))).collect()]
+    assert [(t, g, w) for (t, w), g in zip(rows, got, strict=True) if g != w] == []
