@@ -13,8 +13,9 @@ buffers per task. Everything is DataFrame functions; no Python runs on executors
 
 Defined results: a null text has no words and fails the base rule; a null lang or
 source is a group of its own; repeated rows are judged alike and all returned; an
-empty table gives no rows; further columns of the input are kept (measure columns are
-named in ``MEASURED``, an input column of such a name is replaced).
+empty table gives no rows; further columns of the input are kept whatever their names,
+but ``measure`` and ``judge`` replace those named as a count, a share or ``kept``;
+``keep_good`` gives back all columns as they were.
 """
 
 from __future__ import annotations
@@ -35,15 +36,12 @@ REPEAT_PERCENT = 30
 
 MEASURED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
 
-#: Measure → least quartile distance that counts.
+#: Measure → least quartile distance that counts. Where nothing repeats, the fences of
+#: repeated lines and words are 0.30 and 0.12, well below the base cutoff.
 SPREADS = {
     "symbol_share": 0.005, "mark_share": 0.008, "upper_share": 0.05,
-    "mean_word": 0.6, "dup_line_share": 0.15, "repeat_share": 0.05,
+    "mean_word": 0.6, "dup_line_share": 0.05, "repeat_share": 0.02,
 }
-#: What the pipeline uses: repetition is judged by its group well below the base cutoff
-#: (fences of 0.12 and 0.30 where nothing repeats). The registered query keeps ``SPREADS``,
-#: with which its SQL is written and whose fences for both measures hardly act.
-CLOSE_SPREADS = SPREADS | {"dup_line_share": 0.05, "repeat_share": 0.02}
 #: Measures that can also be too low.
 TWO_SIDED = ("mean_word",)
 FENCE = 6.0
@@ -114,22 +112,26 @@ def measure(docs: DataFrame) -> DataFrame:
                         (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"))
 
     lines = F.filter(F.split(text, "\n", -1), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
-    counted = docs.withColumns({
-        "_w": _let(words_of(text), by_words), "_l": _let(lines, by_lines),
-        "n_symbols": _removed(text, SYMBOLS).cast("long"),
-        "_marks": _removed(text, MARKS).cast("long"), "_upper": _removed(text, r"\p{Lu}+").cast("long"),
-    })
-    n, chars = F.greatest(F.col("_w.n_words"), F.lit(1)), F.greatest(F.col("_w.word_chars"), F.lit(1))
-    return counted.withColumns({
-        "n_words": F.col("_w.n_words"), "word_chars": F.col("_w.word_chars"),
-        "n_dup_lines": F.col("_l.n_dup_lines"), "n_repeat_words": F.col("_w.n_repeat_words"),
-        "base_failed": (F.col("_w.n_words") < MIN_WORDS)
-        | (100 * F.col("_w.n_repeat_words") > REPEAT_PERCENT * F.col("_w.n_words")),
-        "symbol_share": F.col("n_symbols") / chars, "mark_share": F.col("_marks") / chars,
-        "upper_share": F.col("_upper") / chars, "mean_word": F.col("_w.word_chars") / n,
-        "dup_line_share": F.col("_l.n_dup_lines") / F.greatest(F.col("_l.n_lines"), F.lit(1)),
-        "repeat_share": F.col("_w.n_repeat_words") / n,
-    }).drop("_w", "_l", "_marks", "_upper")
+    # The input's columns stand in a struct meanwhile, so none of them meets one of ours.
+    own = [c for c in docs.columns if c not in (*MEASURED, *SPREADS)]
+    counted = docs.select(
+        F.struct(*(F.col(_quoted(c)) for c in own)).alias("row"), _let(words_of(text), by_words).alias("w"),
+        _let(lines, by_lines).alias("l"), _removed(text, SYMBOLS).cast("long").alias("n_symbols"),
+        _removed(text, MARKS).cast("long").alias("marks"), _removed(text, r"\p{Lu}+").cast("long").alias("upper"))
+    n, chars = F.greatest(F.col("w.n_words"), F.lit(1)), F.greatest(F.col("w.word_chars"), F.lit(1))
+    return counted.select(
+        "row.*", F.col("w.n_words").alias("n_words"), F.col("w.word_chars").alias("word_chars"), "n_symbols",
+        F.col("l.n_dup_lines").alias("n_dup_lines"), F.col("w.n_repeat_words").alias("n_repeat_words"),
+        ((F.col("w.n_words") < MIN_WORDS)
+         | (100 * F.col("w.n_repeat_words") > REPEAT_PERCENT * F.col("w.n_words"))).alias("base_failed"),
+        (F.col("n_symbols") / chars).alias("symbol_share"), (F.col("marks") / chars).alias("mark_share"),
+        (F.col("upper") / chars).alias("upper_share"), (F.col("w.word_chars") / n).alias("mean_word"),
+        (F.col("l.n_dup_lines") / F.greatest(F.col("l.n_lines"), F.lit(1))).alias("dup_line_share"),
+        (F.col("w.n_repeat_words") / n).alias("repeat_share"))
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def _fences(sketch: Callable[[str], Column], spreads: Mapping[str, float]) -> list[Column]:
@@ -179,21 +181,28 @@ def apply_rules(docs: DataFrame, min_group: int = MIN_GROUP, k: int = SKETCH_K,
 
 def judge(measured: DataFrame, min_group: int = MIN_GROUP, k: int = SKETCH_K,
           spreads: Mapping[str, float] = SPREADS) -> DataFrame:
-    limits = thresholds(measured, min_group, k, spreads).withColumnsRenamed({"lang": "_lang", "source": "_source"})
+    limits = thresholds(measured, min_group, k, spreads).select(F.struct("*").alias("limits"))
+    own = [c for c in measured.columns if c != "kept"]
+    rows = measured.select(F.struct(*(F.col(_quoted(c)) for c in own)).alias("row"))
     inside = F.lit(True)
     for name in SPREADS:
-        inside = inside & (F.col(name) <= F.col(f"{name}_max"))
+        inside = inside & (F.col(f"row.{name}") <= F.col(f"limits.{name}_max"))
         if name in TWO_SIDED:
-            inside = inside & (F.col(name) >= F.col(f"{name}_min"))
+            inside = inside & (F.col(f"row.{name}") >= F.col(f"limits.{name}_min"))
     # A group without limits has no document that passes the base rule.
-    return (
-        measured.join(limits, F.col("lang").eqNullSafe(F.col("_lang"))
-                      & F.col("source").eqNullSafe(F.col("_source")), "left")
-        .withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(False)))
-        .drop("_lang", "_source", *[c for c in limits.columns if c.endswith(("_max", "_min"))])
-    )
+    return rows.join(
+        limits, F.col("row.lang").eqNullSafe(F.col("limits.lang"))
+        & F.col("row.source").eqNullSafe(F.col("limits.source")), "left").select(
+        "row.*", (~F.col("row.base_failed") & F.coalesce(inside, F.lit(False))).alias("kept"))
+
+
+#: What the rules read.
+READ = ("text", "lang", "source")
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that pass with ``CLOSE_SPREADS``, with the columns of ``docs``."""
-    return apply_rules(docs.select("*"), spreads=CLOSE_SPREADS).filter("kept").select(*docs.columns)
+    """The rows of ``docs`` that pass, with all their columns as they were."""
+    own = [c for c in docs.columns if c not in READ]
+    packed = docs.select(*READ, F.struct(F.lit(0).alias("_"), *(F.col(_quoted(c)) for c in own)).alias("own"))
+    return apply_rules(packed).filter("kept").select(
+        *(F.col(c) if c in READ else F.col("own").getField(c).alias(c) for c in docs.columns))

@@ -87,8 +87,8 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        AND upper_share <= q.up[2] + 6 * greatest(q.up[2] - q.up[1], 0.05)
        AND mean_word <= q.me[2] + 6 * greatest(q.me[2] - q.me[1], 0.6)
        AND mean_word >= q.me[1] - 6 * greatest(q.me[2] - q.me[1], 0.6)
-       AND dup_line_share <= q.du[2] + 6 * greatest(q.du[2] - q.du[1], 0.15)
-       AND repeat_share <= q.re[2] + 6 * greatest(q.re[2] - q.re[1], 0.05) AS kept
+       AND dup_line_share <= q.du[2] + 6 * greatest(q.du[2] - q.du[1], 0.05)
+       AND repeat_share <= q.re[2] + 6 * greatest(q.re[2] - q.re[1], 0.02) AS kept
 FROM chosen
 """
 
