@@ -235,10 +235,26 @@ def _still_open(rows: DataFrame, mapping: DataFrame | None, sets: DataFrame, per
     shingles = mine.select("cid", F.explode("held").alias("shingle"))
     alone = shingles.groupBy("shingle").agg(F.min("cid").alias("cid"), F.count(F.lit(1)).alias("c")).filter("c = 1")
     private = materialise(alone.groupBy("cid").agg(F.count(F.lit(1)).alias("private")), "private")
-    return materialise(
+    found = materialise(
         mixed.join(mine.drop("held"), "cid").join(private, "cid", "left")
         .withColumn("common", F.col("n") - F.coalesce("private", F.lit(0)))
         .filter(F.col("common") * 100 >= F.col("n") * percent).drop("private"), "open")
+    return _within_reach(found, percent)
+
+
+def _within_reach(rows: DataFrame, percent: int) -> DataFrame:
+    """Without the classes that are too large for every other one in their bucket.
+
+    A set of n shingles, of which ``common`` are met elsewhere, links only with sets of up
+    to common * (100 + percent) / percent - n shingles. So a bucket of texts that are
+    alike, but not enough, is left without a comparison, whatever their number.
+    """
+    reach = F.floor(F.col("common") * ((100 + percent) / percent) + 1e-9) - F.col("n")
+    bounds = rows.groupBy("band").agg(
+        F.min("n").alias("least"), F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
+    near = rows.join(bounds.select("band", "least"), "band").filter(reach >= F.col("least")).drop("least")
+    mixed = near.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
+    return materialise(near.join(mixed.select("band"), "band", "left_semi"), "near")
 
 
 def _pairs(rows: DataFrame, central: bool, percent: int) -> DataFrame:
@@ -277,14 +293,17 @@ def _candidate_sets(open_rows: DataFrame, classes: DataFrame, keyed: DataFrame,
 
 
 def keep_one(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """One row of each group (the first by doc_id, null ids last, then by the row's
-    hashes), with the columns of ``docs``."""
+    """One row of each group (the first by doc_id, null ids last, then by hashes of id and
+    text, then by a hash of the other columns, which must not be maps), with the columns
+    of ``docs`` as they were."""
     # Rows of the component's id; several if texts share it or all ids are null.
     flagged = group(docs.select("doc_id", "text"), width, percent).filter("kept")
     alone = F.col("root").isNull()
     chosen = flagged.groupBy("root", F.when(alone, F.col("row_1")).alias("x"), F.when(alone, F.col("row_2")).alias("y")).agg(
         F.min(F.struct("row_1", "row_2")).alias("row"))
-    first, second = row_key("doc_id", "text")
-    return (docs.withColumns({"_row_1": first, "_row_2": second})
-            .join(chosen.select(F.col("row.row_1").alias("_row_1"), F.col("row.row_2").alias("_row_2")), ["_row_1", "_row_2"])
-            .dropDuplicates(["_row_1", "_row_2"]).select(*docs.columns))
+    # The row stands in a struct meanwhile, so none of its columns meets one of ours.
+    rows = docs.select(F.struct("*").alias("row"), *row_key("doc_id", "text"))
+    others = [F.col("row").getField(c) for c in docs.columns if c not in ("doc_id", "text")]
+    one = rows.join(chosen.select("row.*"), ["row_1", "row_2"]).groupBy("row_1", "row_2").agg(
+        F.min_by("row", F.xxhash64(F.lit(0), *others)).alias("row"))
+    return one.select("row.*")
