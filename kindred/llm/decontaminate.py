@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -108,8 +108,12 @@ def _blocks(items: DataFrame, block_bytes: int) -> Iterator[list[tuple[str, byte
 
 
 def find(docs: DataFrame, items: DataFrame, width: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``docs`` with n_words, n_hit, hit_items (sorted) and spans (character offsets)."""
-    spark, out = docs.sparkSession, docs
+    """``docs`` with n_words, n_hit, hit_items (sorted) and spans (character offsets).
+
+    Input columns of these names are replaced; the others stay, whatever their names.
+    """
+    out = docs.select("text", _packed(docs, ("text", *RESULT)).alias("own"))
+    spark = docs.sparkSession
     for number, block in enumerate(_blocks(items, block_bytes)):
         shared = spark.sparkContext.broadcast(block)
         mark = zlib.crc32(repr(block).encode()) + (number << 32)
@@ -148,15 +152,15 @@ def find(docs: DataFrame, items: DataFrame, width: int = WINDOW, block_bytes: in
                     pa.array(places_out, pair), pa.array(items_out, pa.list_(pa.string()))]
 
         if not first:
-            out = materialise(out, "scanned")
-            earlier = out.withColumnsRenamed({"_places": "_p", "_items": "_i"}).withColumns(
-                {"_places": F.col("_p"), "_items": F.col("_i")}).drop("_p", "_i")
-            out = _rescan(earlier, scan)
+            out = _rescan(materialise(out, "scanned"), scan)
         else:
             out = blocks.add_columns(out, _COLUMNS, scan)
-    return out.drop("_places", "_items")
+    kept = [F.col("text") if c == "text" else F.col("own").getField(c).alias(c) for c in docs.columns if c not in RESULT]
+    return out.select(*kept, *RESULT)
 
 
+#: Columns that ``find`` adds.
+RESULT = ("n_words", "n_hit", "hit_items", "spans")
 _COLUMNS = ("n_words long, n_hit long, hit_items array<string>, spans array<struct<start:bigint,end:bigint>>, "
             "_places array<struct<s:bigint,e:bigint>>, _items array<string>")
 
@@ -177,7 +181,11 @@ def _rescan(docs: DataFrame, scan) -> DataFrame:
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` without any window of an item, with the columns of ``docs``."""
-    own = {c: f"_own_{c}" for c in docs.columns if c != "text"}
-    back = {v: k for k, v in own.items()}
-    return (find(docs.withColumnsRenamed(own), items).filter("n_hit = 0")
-            .select(*[own.get(c, c) for c in docs.columns]).withColumnsRenamed(back))
+    return find(docs.select("text", _packed(docs, ("text",)).alias("all")), items).filter("n_hit = 0").select(
+        *(F.col("text") if c == "text" else F.col("all").getField(c).alias(c) for c in docs.columns))
+
+
+def _packed(docs: DataFrame, but: tuple[str, ...]) -> Column:
+    """The columns of ``docs`` but some in a struct, where their names meet no others."""
+    quoted = ("`" + c.replace("`", "``") + "`" for c in docs.columns if c not in but)
+    return F.struct(F.lit(0).alias("_"), *map(F.col, quoted))
