@@ -84,7 +84,7 @@ class Space:
             return np.full(len(counts), self.default)
         cosines = np.maximum(self.project(counts) @ self.vectors.T, 0)
         # Equal cosines (repeated rows) are told apart by place, so results do not depend on blocks.
-        ranked = np.round(cosines, 5) - np.arange(len(self.labels), dtype=np.float32) * np.float32(1e-9)
+        ranked = np.round(cosines.astype(np.float64), 5) - np.arange(len(self.labels)) * 1e-9
         nearest = np.argpartition(-ranked, near - 1, axis=1)[:, :near]
         weight = np.take_along_axis(cosines, nearest, 1).astype(float)
         total = weight.sum(1)
