@@ -7,10 +7,13 @@ an insult beside the mention of a group weighs more than both alone, which no su
 weights can express. Products count by ``PAIR_SCALE`` over the number of the text's terms,
 so that long texts are not carried away by them.
 
-Learned on at most ``MAX_ROWS`` labelled rows (the documented bound). Every bucket met in
+Learned on at most ``MAX_ROWS`` labelled rows and about ``MAX_TERMS`` terms (the
+documented bounds; rows are chosen by hash). Every bucket met in
 them has a weight and a vector, for a term that tells nothing alone may tell beside
 another; instead of a choice of terms, weights are drawn to zero by as much as chance
-moves them and vectors decay. The model is a table of at most ``BUCKETS`` rows of
+moves them and vectors decay. That keeps margins small, so a fifth of the learned rows
+is left out of the training and sets the scale and shift that turn margins into
+probabilities; there a missed toxic row costs as much as ``MISS_COST`` false alarms. The model is a table of at most ``BUCKETS`` rows of
 ``FACTORS`` + 1 numbers (38 MB) and is broadcast; every text is then scored whole, in one
 pass, without a shuffle.
 
@@ -21,6 +24,7 @@ row); repeated rows score alike; an empty table gives no rows.
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,6 +34,7 @@ from pyspark.sql import functions as F
 
 from kindred.llm import blocks
 from kindred.llm.labelled import held_out, training_rows
+from kindred.session import materialise
 
 BUCKETS = 1 << 20
 BEGINNINGS = (4, 5, 6)
@@ -42,6 +47,11 @@ FACTOR_DECAY = 1e-2
 #: Standard errors of its gradient that a weight is drawn towards zero by.
 SHRINK = 1.0
 THRESHOLD = 0.5
+#: Terms of all learned rows that come to the driver (four bytes each).
+MAX_TERMS = 40_000_000
+#: Every so manieth learned row is left for the calibration, which needs so many of each label.
+CALIBRATION_FOLD, CALIBRATION_LEAST = 5, 10
+MISS_COST = 3.0
 
 
 def term_buckets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -65,6 +75,11 @@ class Machine:
     bias: float
     weights: np.ndarray
     factors: np.ndarray
+    scale: float = 1.0
+    shift: float = 0.0
+
+    def probabilities(self, row: np.ndarray, slot: np.ndarray, rows: int) -> np.ndarray:
+        return _sigmoid(self.scale * self.margins(row, slot, rows) + self.shift)
 
     def terms(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Distinct (row, slot) of a slice."""
@@ -150,14 +165,49 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = MA
         flat = (pairs % BUCKETS).astype(np.int32)
         return [pa.array([flat[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.binary())]
 
-    rows = blocks.add_columns(training_rows(docs, labels, label, most), "terms binary", of).select("label", "terms")
-    found = rows.collect()  # at most ``most`` rows, four bytes for each distinct term
+    rows = materialise(blocks.add_columns(
+        training_rows(docs, labels, label, most), "terms binary", of).select("label", "terms"), "terms")
+    total = (rows.agg(F.sum(F.octet_length("terms"))).first()[0] or 0) // 4
+    share = F.pmod(F.xxhash64("terms", F.lit("share")), F.lit(1 << 20)) < F.lit(
+        (1 << 20) if total <= MAX_TERMS else int((1 << 20) * MAX_TERMS / total))
+    found = rows.filter(share).collect()
+    found.sort(key=lambda r: (r.terms, r.label))
+    # Rows of equal terms are on one side.
+    apart = np.array([zlib.crc32(r.terms) % CALIBRATION_FOLD == 0 for r in found], bool)
     terms = [np.frombuffer(r.terms, np.int32) for r in found]
+    known = np.array([r.label for r in found], float)
+    enough = min(int((known[apart] == x).sum()) for x in (0, 1)) >= CALIBRATION_LEAST
+    learned = np.flatnonzero(~apart) if enough else np.arange(len(found))
     met = np.zeros(BUCKETS, bool)
-    for t in terms:
-        met[t] = True
+    for i in learned:
+        met[terms[i]] = True
     slot = np.where(met, np.cumsum(met) - 1, -1).astype(np.int32)
-    return train(slot, [slot[t] for t in terms], np.array([r.label for r in found], float))
+    machine = train(slot, [slot[terms[i]] for i in learned], known[learned])
+    if enough:
+        left = [np.sort(slot[t[slot[t] >= 0]]) for t in (terms[i] for i in np.flatnonzero(apart))]
+        margins = machine.margins(np.repeat(np.arange(len(left)), [len(t) for t in left]), np.concatenate(left), len(left))
+        machine.scale, machine.shift = calibration(margins, known[apart])
+    return machine
+
+
+def calibration(margins: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
+    """Scale (at least 0) and shift of the logistic curve through (margin, label) after Platt
+    (1999), with his smoothed targets; toxic rows weigh ``MISS_COST`` each."""
+    count = np.array([(labels == x).sum() for x in (0, 1)])
+    target = np.where(labels == 1, (count[1] + 1) / (count[1] + 2), 1 / (count[0] + 2))
+    weight = np.where(labels == 1, MISS_COST, 1.0) / len(labels)
+    at = np.array([1.0, 0.0])
+    for _ in range(100):  # damped Newton steps on a convex function of two numbers
+        p = _sigmoid(at[0] * margins + at[1])
+        slope, bend = weight * (p - target), weight * p * (1 - p)
+        gradient = np.array([(slope * margins).sum() + 1e-6 * (at[0] - 1), slope.sum()])
+        hessian = np.array([[(bend * margins ** 2).sum() + 1e-6, (bend * margins).sum()],
+                            [(bend * margins).sum(), bend.sum() + 1e-6]])
+        step = np.linalg.solve(hessian, gradient)
+        at -= step * min(1.0, 1.0 / np.abs(step).max()) if np.abs(step).max() > 0 else step
+        if np.abs(step).max() < 1e-9:
+            break
+    return max(0.0, float(at[0])), float(at[1])
 
 
 def score(docs: DataFrame, machine: Machine) -> DataFrame:
@@ -166,7 +216,7 @@ def score(docs: DataFrame, machine: Machine) -> DataFrame:
 
     def of(part: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray) -> list[pa.Array]:
         row, slot = shared.value.terms(data, offsets)
-        return [pa.array(_sigmoid(shared.value.margins(row, slot, part.num_rows)))]
+        return [pa.array(shared.value.probabilities(row, slot, part.num_rows))]
 
     return blocks.add_columns(docs, "score double", of).withColumns({
         "held_out": held_out(F.col("doc_id")),
