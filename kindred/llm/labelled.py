@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 FOLDS = 5
 
@@ -25,3 +26,11 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, most: int) ->
         (1 << 20) if count <= most else int((1 << 20) * most / count))
     chosen = usable.filter(share).select("doc_id", F.col(label).cast("int").alias("label"))
     return docs.select("doc_id", "text").filter(share).join(chosen, "doc_id").select("text", "label")
+
+
+def long_id(docs: DataFrame, column: str) -> Column:
+    """The ids of ``docs`` as longs: whole numbers as they are, any other text as its 64-bit hash."""
+    given = F.col(column)
+    if isinstance(docs.schema[column].dataType, T.IntegralType):
+        return given.cast("long")
+    return F.when(given.isNotNull(), F.coalesce(given.try_cast("long"), F.xxhash64(given)))

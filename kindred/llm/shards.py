@@ -6,7 +6,7 @@ Veach, 2014): no ring table, and one more shard takes rows only into itself, abo
 the keys, not from one task per shard: each range counts its rows per shard, and the
 counts of the ranges before it are added.
 
-Defined results: a null key counts as -1; a null text has no bytes and the checksum
+Defined results: a key that is no whole number counts as its hash, a null key as -1; a null text has no bytes and the checksum
 of an empty one; repeated rows each get a slot of their own; an empty table gives no
 rows.
 """
@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from kindred.llm.labelled import long_id
 from kindred.session import materialise
 
 #: Fixed values of the method.
@@ -49,7 +50,7 @@ def assign(docs: DataFrame, shards: int, key: str = "doc_id", text: str = "text"
     Only these few bytes a row are shuffled; texts are read once and stay behind.
     """
     rows = docs.select(
-        F.col(key).cast("long").alias("doc_id"),
+        long_id(docs, key).alias("doc_id"),
         (F.coalesce(F.octet_length(text), F.lit(0)) + OVERHEAD_BYTES).cast("long").alias("size"),
         F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("text_crc32"))
 

@@ -22,7 +22,8 @@ Copies of one text are one document there; of copies only the first keeps words.
 
 Defined results: null or short texts have no window and keep all words; rows of equal
 id and text count as one document, rows of one id and different texts are ordered by a
-hash of the text; a null id counts as larger than all others; an empty table gives no rows.
+hash of the text; an id that is no whole number counts as its hash, a null id as larger
+than all others; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -38,6 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kindred.llm import blocks
+from kindred.llm.labelled import long_id
 from kindred.llm.wavelet import FMIndex
 from kindred.session import materialise
 
@@ -309,7 +311,7 @@ def _search_hot(segments: DataFrame, width: int) -> DataFrame:
 def find(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
     """``docs`` (doc_id, text, further columns) with _first_id (the least id of the
     row's text) and _marks: [start, mask] of segments with windows to remove."""
-    keyed = docs.select(_id(F.col("doc_id")).alias("id"), *_text_key(), "text")
+    keyed = docs.select(_id(docs).alias("id"), *_text_key(), "text")
     firsts = materialise(keyed.groupBy("k1", "k2").agg(F.min("id").alias("id")), "texts")
     repeated = materialise(_repeated(_places(keyed, width, gram)), "repeated")
     plain = Marks.of(repeated.filter("NOT hot"), keyed, firsts, width, gram)
@@ -342,8 +344,8 @@ def _windows(marks: Marks, width: int, gram: int) -> DataFrame:
     return marks.texts.mapInArrow(run, "anchor long, k1 long, k2 long, at int")
 
 
-def _id(doc_id: Column) -> Column:
-    return F.coalesce(doc_id.cast("long"), F.lit(_LAST))
+def _id(docs: DataFrame) -> Column:
+    return F.coalesce(long_id(docs, "doc_id"), F.lit(_LAST))
 
 
 def _text_key() -> tuple[Column, Column]:
@@ -371,7 +373,7 @@ def removed_words(first: np.ndarray, copies: np.ndarray, marks: pa.Array, width:
 
 def cut(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
     """``docs`` with n_words, n_removed and kept_text: the words that stay, between blanks."""
-    found = find(docs, width, gram).withColumn("_copy", _id(F.col("doc_id")) != F.col("_first_id"))
+    found = find(docs, width, gram).withColumn("_copy", _id(docs) != F.col("_first_id"))
 
     def of(part: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray) -> list[pa.Array]:
         starts, ends, first = blocks.spans(data, offsets, blocks.UNSPACED)
