@@ -42,6 +42,41 @@ def test_classifier_edges(spark, module):
     assert module.score(odd.limit(0), module.fit(odd.limit(0), no_labels, label)).collect() == []
 
 
+def test_margins_are_the_sum_over_pairs():
+    pick = np.random.default_rng(2)
+    machine = toxicity.Machine(np.arange(30, dtype=np.int32), -0.5, pick.normal(size=30).astype(np.float32),
+                               pick.normal(size=(30, toxicity.FACTORS)).astype(np.float32), 1.5, -0.25)
+    terms = [np.sort(pick.choice(30, n, replace=False)) for n in (0, 1, 2, 7, 30)]
+    row = np.repeat(np.arange(5), [len(t) for t in terms])
+    margins = machine.margins(row, np.concatenate(terms), 5)
+    scores = machine.probabilities(row, np.concatenate(terms), 5)
+    for t, margin, score in zip(terms, margins, scores, strict=True):
+        pairs = sum(float(machine.factors[i].astype(float) @ machine.factors[j].astype(float))
+                    for a, i in enumerate(t) for j in t[a + 1:])
+        want = -0.5 + float(machine.weights[t].sum()) + toxicity.PAIR_SCALE / max(1, len(t)) * pairs
+        assert margin == pytest.approx(want, abs=1e-3)
+        assert score == pytest.approx(1 / (1 + np.exp(-(1.5 * want - 0.25))), abs=1e-3)
+
+
+def test_calibration_weighs_misses():
+    pick = np.random.default_rng(6)
+    labels = (np.arange(4000) % 8 == 0).astype(float)
+    margins = pick.normal(np.where(labels == 1, 1.0, -3.0), 1.0)
+    scale, shift = toxicity.calibration(margins, labels)
+    # Where p(margin) = 1/2: the densities with weights 3 and 7 cross at -1 + ln(7 / 3) / 4.
+    assert -shift / scale == pytest.approx(-1 + np.log(7 / 3) / 4, abs=0.12)
+    assert toxicity.calibration(-margins, labels)[0] == 0.0
+
+
+def test_learned_terms_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "MAX_TERMS", 400)
+    docs = spark.createDataFrame([(i, f"word{i} common") for i in range(1, 400)], "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 2 AS int) AS toxic")
+    machine = toxicity.fit(docs, labels)
+    assert 0 < len(machine.weights) < 500
+    assert {r.predicted for r in toxicity.score(docs, machine).collect()} <= {0, 1}
+
+
 def test_factors_learn_what_no_sum_can():
     """Two terms that are harmless alone and harmful together, and the reverse for others."""
     terms = [np.array(t, np.int32) for t in ([0], [1], [0, 1], []) * 200]
@@ -68,9 +103,10 @@ def test_pairs_are_learned_of_terms_that_tell_nothing_alone(spark):
     assert np.mean([r.predicted == r.toxic for r in held]) > 0.9
 
 
-def test_every_learned_term_has_a_factor(spark):
+def test_every_learned_term_has_a_factor(spark, monkeypatch):
     docs = spark.createDataFrame([(i, f"word{i} common") for i in range(1, 60)], "doc_id long, text string")
     labels = docs.selectExpr("doc_id", "cast(doc_id % 2 AS int) AS toxic")
+    monkeypatch.setattr(toxicity, "CALIBRATION_LEAST", 100)  # too few rows to leave any out
     machine = toxicity.fit(docs, labels)
     learned = [i for i in range(1, 60) if zlib.crc32(str(i).encode()) % 5]
     text = " ".join(f"word{i}" for i in learned).encode()

@@ -225,3 +225,31 @@ def test_substring_joins_anchors_beyond_the_filter(spark, docs, rows, monkeypatc
         monkeypatch.setattr(substring, "HOT", hot)
         got = {r.doc_id: (r.n_words, r.n_removed, brute.sha(r.kept_text)) for r in substring.cut(docs).collect()}
         assert got == want
+
+
+def test_families_below_the_threshold_form_no_pairs(spark, monkeypatch):
+    """Texts of one family, similar by about 0.55: comparisons grow as the rows, not as their square."""
+    asked = []
+    pairs = near_dedup._pairs
+
+    def counted(rows, central, percent):
+        met = rows.groupBy("band").count().selectExpr("sum(count * (count - 1) / 2) AS n").first().n
+        asked.append(0 if central else met or 0)  # what the join within buckets forms
+        return pairs(rows, central, percent)
+
+    monkeypatch.setattr(near_dedup, "_pairs", counted)
+    base, compared = prose(77, 60, 10_000).split(), []
+    for count in (100, 200):
+        pick, texts = random.Random(9), []
+        for i in range(count):
+            words = list(base)
+            for at in pick.sample(range(60), 5):
+                words[at] = f"new{i}x{at}"
+            texts.append((i, " ".join(words)))
+        texts += [(1000, " ".join(base)), (1001, " ".join(base[:-1]))]
+        asked.clear()
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.group(
+            spark.createDataFrame(texts, "doc_id long, text string"), 2, 80).collect()}
+        assert got == brute.components(texts, 2)
+        compared.append(sum(asked))
+    assert compared[1] <= 3 * compared[0] + 200 and compared[1] < 200 * 200 / 8
