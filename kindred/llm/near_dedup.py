@@ -299,11 +299,15 @@ def keep_one(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> D
     # Rows of the component's id; several if texts share it or all ids are null.
     flagged = group(docs.select("doc_id", "text"), width, percent).filter("kept")
     alone = F.col("root").isNull()
-    chosen = flagged.groupBy("root", F.when(alone, F.col("row_1")).alias("x"), F.when(alone, F.col("row_2")).alias("y")).agg(
-        F.min(F.struct("row_1", "row_2")).alias("row"))
+    counted = flagged.groupBy(
+        "root", F.when(alone, F.col("row_1")).alias("x"), F.when(alone, F.col("row_2")).alias("y"), "row_1", "row_2").agg(
+        F.count(F.lit(1)).alias("copies"))
+    chosen = materialise(counted.groupBy("root", "x", "y").agg(
+        F.min(F.struct("row_1", "row_2", "copies")).alias("first")).select("first.*"), "chosen")
     # The row stands in a struct meanwhile, so none of its columns meets one of ours.
     rows = docs.select(F.struct("*").alias("row"), *row_key("doc_id", "text"))
+    single = rows.join(chosen.filter("copies = 1"), ["row_1", "row_2"]).select("row")
     others = [F.col("row").getField(c) for c in docs.columns if c not in ("doc_id", "text")]
-    one = rows.join(chosen.select("row.*"), ["row_1", "row_2"]).groupBy("row_1", "row_2").agg(
-        F.min_by("row", F.xxhash64(F.lit(0), *others)).alias("row"))
-    return one.select("row.*")
+    repeated = rows.join(chosen.filter("copies > 1"), ["row_1", "row_2"]).groupBy("row_1", "row_2").agg(
+        F.min_by("row", F.xxhash64(F.lit(0), *others)).alias("row")).select("row")
+    return single.unionByName(repeated).select("row.*")
