@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from kindred.session import materialise
+
 #: Bytes of text in a slice at most, and slices for each core at least.
 SLICE_BYTES = 128 << 20
 SLICES_PER_CORE = 2
@@ -27,16 +29,16 @@ _ROW_BITS = 33
 def balance(df: DataFrame, text: str) -> DataFrame:
     """``df``, shuffled if need be so that every task holds about the same bytes of ``text``.
 
-    Sizes alone are read first: a row number and a length for each row, summed up per
-    partition and cut. One row per slice and partition comes to the driver. Rows whose
+    Sizes alone are read first and written: a row number and a length for each row, summed
+    up per partition and cut. One row per slice and partition comes to the driver. Rows whose
     numbers differ at the second reading (of a source without fixed order) are dealt
     less evenly, but each once.
     """
     spark = df.sparkSession
     marked = df.withColumn("_row", F.monotonically_increasing_id())
-    sizes = marked.select(
+    sizes = materialise(marked.select(
         F.shiftright("_row", _ROW_BITS).alias("_part"), "_row",
-        (F.coalesce(F.octet_length(text), F.lit(0)) + ROW_BYTES).cast("long").alias("_bytes"))
+        (F.coalesce(F.octet_length(text), F.lit(0)) + ROW_BYTES).cast("long").alias("_bytes")), "sizes")
     totals = {r[0]: r[1] for r in sizes.groupBy("_part").agg(F.sum("_bytes")).collect()}
     total = sum(totals.values())
     slices = max(SLICES_PER_CORE * spark.sparkContext.defaultParallelism, -(-total // SLICE_BYTES))

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from kindred.functions.fields import parse_price
 from kindred.functions.text import SYNONYMS, flatten_lines, ingredient_array
 from kindred.operators.balance import balance
+from kindred.session import materialise
 
 #: Copies of one record expanded by a single task at most.
 COPIES_PER_TASK = 10_000
@@ -69,24 +70,24 @@ def add_stable_id(df: DataFrame, source: str | Column, key: str = "url", columns
                   earlier: DataFrame | None = None) -> DataFrame:
     """``product_id`` from source, key, content and the number of the copy.
 
-    The same rows get the same ids in any run and partitioning. Contents are counted by
-    two hashes, so no text is shuffled to find out that it has no copy: such rows get
-    their id where they are read. Only contents that do repeat are grouped as such
+    The same rows get the same ids in any run and partitioning. Rows are written once with
+    two hashes of their content, by which contents are counted, so no text is shuffled to
+    find out that it has no copy: such rows get their id where they are read. Only contents that do repeat are grouped as such
     (one partial row per map task, however many copies there are), then spread again
     in slices, so no task expands an unbounded group. ``earlier`` (``copy_counts`` of
     rows that came before) lets the numbers go on from there.
     """
     columns = list(columns or df.columns)
     source = F.lit(source) if isinstance(source, str) else source
-    counts = copy_counts(df, columns)
+    k1, k2 = content_key(columns)
+    keyed = materialise(df.select(*columns, k1, k2), "keyed")
+    counts = keyed.groupBy("_k1", "_k2").agg(F.count(F.lit(1)).alias("copies"))
     if earlier is None:
         again = counts.filter("copies > 1").select("_k1", "_k2", F.lit(0).cast("bigint").alias("_before"))
     else:
         known = earlier.groupBy("_k1", "_k2").agg(F.sum("copies").alias("_before"))
         again = counts.join(known, ["_k1", "_k2"], "left").filter("copies > 1 OR _before IS NOT NULL").select(
             "_k1", "_k2", F.coalesce("_before", F.lit(0)).alias("_before"))
-    k1, k2 = content_key(columns)
-    keyed = df.select(*columns, k1, k2)
     one = keyed.join(again, ["_k1", "_k2"], "left_anti").select(*columns, F.lit(1).cast("bigint").alias("_copy"))
     many = keyed.join(again, ["_k1", "_k2"]).groupBy("_k1", "_k2").agg(
         F.first(F.struct(*columns)).alias("_row"), F.count(F.lit(1)).alias("_copies"),
@@ -112,9 +113,9 @@ def add_running_id(df: DataFrame, source: str) -> DataFrame:
 def explode_ingredients(df: DataFrame, text: str = "ingredients_raw",
                         synonyms: Mapping[str, str] = SYNONYMS) -> DataFrame:
     """One row per kept ingredient with its position from 1; none gives no row. Cleaning costs
-    by the byte, so rows are dealt by bytes first where they lie unevenly."""
+    by the byte: ``balance`` deals rows of a few large tasks by their bytes beforehand."""
     names = [c for c in df.columns if c != text]
-    return balance(df, text).select(*names, F.posexplode(
+    return df.select(*names, F.posexplode(
         ingredient_array(F.col(text), synonyms)).alias("position", "ingredient")
     ).withColumn("position", F.col("position") + 1)
 
@@ -122,7 +123,7 @@ def explode_ingredients(df: DataFrame, text: str = "ingredients_raw",
 def to_silver(listings: DataFrame, source: str, stable_ids: bool = True,
               optional: Sequence[str] = (), observation=None, earlier: DataFrame | None = None) -> DataFrame:
     """``listings``: url, brand, product_name, price_eur, ingredients_raw. ``earlier``: see ``add_stable_id``."""
-    kept = with_text(with_key(listings), observation=observation)
+    kept = balance(with_text(with_key(listings), observation=observation), "ingredients_raw")
     keyed = add_stable_id(kept, source, earlier=earlier) if stable_ids else add_running_id(kept, source)
     return explode_ingredients(keyed.withColumn("source", F.lit(source))).select(
         "product_id", "source", "brand", "product_name", "price_eur", "url",

@@ -69,11 +69,15 @@ def largest_cost(ceiling: float) -> float:
 
 
 def find_clusters(rows: DataFrame, ceiling: float) -> Clusters | None:
-    """``rows``: side, profile, ingredient, u, all ingredients of every profile."""
+    """``rows``: side, profile, ingredient, u, of unit vectors all ingredients that count in a product."""
     vector = ["side", "profile"]
     signed = materialise(rows.groupBy(*vector).agg(*map(_signature, range(len(GRIDS)))), "signatures")
+    cells = F.explode(F.array(*[F.struct(F.lit(i).alias("grid"), F.col(f"s{i}").alias("sign")) for i in range(len(GRIDS))]))
+    filled = signed.select(cells.alias("c")).filter("c.sign IS NOT NULL").groupBy("c.grid", "c.sign").agg(
+        F.count(F.lit(1)).alias("n")).filter(F.col("n") >= MIN_MEMBERS)
+    tried = sorted(r.grid for r in filled.select("grid").distinct().collect())
     found: list[tuple[DataFrame, DataFrame]] = []
-    for number in range(len(GRIDS)):
+    for number in tried:
         sign = F.col(f"s{number}")
         members = functools.reduce(DataFrame.unionByName, [m for m, _ in found]) if found else None
         free = signed.filter(sign.isNotNull())

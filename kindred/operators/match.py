@@ -133,10 +133,6 @@ def build_vectors(weighted: DataFrame, products: DataFrame, same_brand: bool = T
         .select("side", "profile", "lead_brand", "only_brand", "ingredient",
                 (F.col("tfidf") / F.col("norm")).alias("u"))
     )
-    clusters = None
-    if ceiling is not None:
-        rows = materialise(rows, "units")
-        clusters = tight.find_clusters(rows.select("side", "profile", "ingredient", "u"), ceiling)
     # An ingredient that only one source uses counts in the norm but in no score.
     counts = [F.count_if(F.col("side") == "match").alias("postings"), F.count_if(F.col("side") == "query").alias("probes")]
     if not same_brand:
@@ -161,10 +157,14 @@ def build_vectors(weighted: DataFrame, products: DataFrame, same_brand: bool = T
             ((squares >= LEAD_SHARE) | (F.col("place") == 1)).alias("lead"),
         )
     )
-    features = (features.withColumn("cluster", F.lit(None).cast("long")) if clusters is None
-                else features.join(clusters.members, ["side", "profile"], "left"))
-    return Vectors(materialise(features, "features", by="side"),
-                   materialise(members, "members", by="side"), clusters)
+    features = materialise(features, "features", by="side")
+    clusters = None if ceiling is None else tight.find_clusters(
+        features.select("side", "profile", "ingredient", "u"), ceiling)
+    if clusters is None:
+        features = features.withColumn("cluster", F.lit(None).cast("long"))
+    else:
+        features = materialise(features.join(clusters.members, ["side", "profile"], "left"), "features", by="side")
+    return Vectors(features, materialise(members, "members", by="side"), clusters)
 
 
 def _line_of(side: str) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from kindred.functions import fields, text
 from kindred.operators import bronze, weigh
+from kindred.operators.balance import balance
 from kindred.plans.adapters import LABEL_SQL, WEIGHTS_SQL, listings, order_rows, table
 from kindred.plans.registry import query
 
@@ -164,7 +165,7 @@ def distinct_tokens(spark, sf_dir):
 
 @query("explode_positions", STAGES_SQL + "SELECT doc_id, ingredient, position FROM silver")
 def explode_positions(spark, sf_dir):
-    return bronze.explode_ingredients(listings(spark, sf_dir), "label").select(
+    return bronze.explode_ingredients(balance(listings(spark, sf_dir), "label"), "label").select(
         "doc_id", "ingredient", "position")
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from kindred import schemas
 from kindred.operators import bronze, weigh
-from kindred.session import matching
+from kindred.session import matching, scratch
 
 #: Number of the part that holds what does not arrive as a stream.
 STANDING = -1
@@ -56,7 +56,8 @@ class Parts:
         self._write(bronze.copy_counts(kept), f"copies/source={source}", batch_id)
         earlier = self.spark.read.schema(T.StructType([*_COPIES.fields, T.StructField("source", T.StringType())])).parquet(
             f"{self.path}/copies").filter((F.col("source") == source) & (F.col("batch_id") < batch_id))
-        self._write(bronze.to_silver(kept, source, earlier=earlier), "silver", batch_id)
+        with scratch(self.spark):
+            self._write(bronze.to_silver(kept, source, earlier=earlier), "silver", batch_id)
         part = self.silver().filter(F.col("batch_id") == batch_id)
         self._write(weigh.document_frequency(weigh.cells(part)), "frequency", batch_id)
         self._write(weigh.product_count(part), "products", batch_id)
