@@ -122,7 +122,7 @@ heads AS (
 SELECT item_key, heads.query_url, rank, match_product_name, cosine_similarity
 FROM gold JOIN heads ON item_key = query_product_name""")
 def nest_by_name(spark, sf_dir):
-    return nest.matches_by_name(order_gold(spark, sf_dir)).select(
+    return nest.matches_by_name(materialise(order_gold(spark, sf_dir), "gold")).select(
         "item_key", "query_url", "rank", "match_product_name",
         F.col("cosine_similarity").cast("double").alias("cosine_similarity"))
 

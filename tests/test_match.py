@@ -283,3 +283,36 @@ def test_padding_beyond_a_window_limit(spark):
     got = ranked(spark, rows, products, n=3, ceiling=1e-5)
     assert got == dense_ranking(rows, products, ceiling=1e-5)
     assert [m for m, s in got["q1"]] == ["m0400", "m0401", "m0402"]
+
+
+def test_short_lists_form_few_rows(spark):
+    """Every list is short and most pairs share one ingredient alone: what n others of the
+    same list beat goes where the list is opened, with the same answers."""
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(80)]
+    rows, products = catalogue(11, 400, words, ["a", "b", "c", None], length=(1, 6), copies=0.1)
+    silver = spark.createDataFrame(rows, SCHEMA)
+    sides = spark.createDataFrame(products, "product_id string, side string, brand string")
+    vectors = match.build_vectors(weigh.weigh(silver), sides, same_brand=False, ceiling=0.9999)
+    assert not rng.choice(vectors.features.select("wide").distinct().collect()).wide
+    fa, fb = match._sides(vectors.features)
+    every = fa.join(fb, "ingredient").count()
+    floors = match.query_floors(vectors, match.representatives(vectors.members, 3), 3, 0.9999, wide_only=True)
+    assert floors.isEmpty()
+    assert match.narrow_pairs(fa, fb, 3, 0.9999).count() < every / 3
+    assert ranked(spark, rows, products) == dense_ranking(rows, products)
+
+
+def test_bits_of_the_other_ingredients(spark):
+    """Two profiles that share an ingredient and one more have a common bit, even where the
+    two ingredients have the same bit; there are more ingredients than bits."""
+    rows, products = catalogue(12, 60, [f"w{i}" for i in range(200)], ["a"], length=(40, 80))
+    vectors = match.build_vectors(weigh.weigh(spark.createDataFrame(rows, SCHEMA)), spark.createDataFrame(
+        products, "product_id string, side string, brand string"))
+    held = defaultdict(dict)
+    for r in vectors.features.collect():
+        held[r.profile][r.ingredient] = r.others
+    for x in held.values():
+        for y in held.values():
+            both = x.keys() & y.keys()
+            assert len(both) < 2 or all(x[i] & y[i] for i in both)
