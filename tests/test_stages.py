@@ -341,3 +341,25 @@ def test_profiles_do_not_copy_rows(spark):
         assert "Expand" not in df._jdf.queryExecution().executedPlan().toString()
     empty = profile.profile(rows.limit(0), ["ingredient"]).first()
     assert (empty.rows, empty.distinct_ingredient) == (0, 0)
+
+
+def test_nesting_after_the_look_ups_needs_no_shuffle(spark):
+    """Rows come by query from the last look-up, whatever type the ids have there."""
+    products = spark.createDataFrame(
+        [(k, "ab"[k % 2], f"n{k}", 1.5 * k, f"u{k}") for k in range(8)],
+        "product_id long, brand string, product_name string, price_eur double, url string")
+    ranked = spark.createDataFrame([(0, 1, 0.5, 1), (0, 3, 0.25, 2), (2, 5, 0.0, 1)],
+                                   "query_id long, match_id long, similarity double, rank int")
+    held = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        gold = nest.attach_attributes(ranked, products)
+        items = nest.nest_matches(gold)
+        exchanges = [df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") for df in (gold, items)]
+        assert exchanges[0] == exchanges[1]
+        got = {r.item_key: (r.product_name, [m.product_name for m in r.top_matches]) for r in items.collect()}
+    finally:
+        for key, value in held.items():
+            spark.conf.set(key, value)
+    assert got == {"0": ("n0", ["n1", "n3"]), "2": ("n2", ["n5"])}
