@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
@@ -48,13 +49,17 @@ NO_ID = -(1 << 63)
 
 #: A blank that always begins a word of the tokenizer.
 _inner_blank = re.compile(r"(?<=\S) (?=\S)")
+#: Letters, marks, and perhaps a line break with letters and marks once more.
+_marked_word = re.compile(r"([^\W\d_]+)([!-/:-@\[-`{-~]+)(?:\n([^\W\d_]+)([!-/:-@\[-`{-~]*))?").fullmatch
 
 
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes.
 
     A blank between two characters that are no white space always begins a word of
-    the tokenizer, so what stands between such blanks can be encoded by itself.
+    the tokenizer, so what stands between such blanks can be encoded by itself. So can the
+    letters, the marks and the line break of a word like ``end.\\nNext,``: the tokenizer
+    always cuts between them.
     """
 
     def __init__(self, path: str):
@@ -62,51 +67,89 @@ class Encoder:
         size = self.tokenizer.get_vocab_size()
         # One character of a byte-level token stands for one byte.
         self.sizes = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)], np.int64)
+        #: Ids of words with the blank before them, and of letters or marks with a line break before them.
         self.kept: dict[str, bytes] = {}
-        self.marks = {m: np.array(self.tokenizer.encode("a" + m).ids[1:], np.uint32).tobytes() for m in ".,"}
+        self.lines: dict[str, bytes] = {}
 
-    def _words(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of words that follow a blank."""
+    def _units(self, words: list[str], lead: str) -> dict[str, bytes]:
+        """Ids of words that follow a blank, or of letters and marks that follow a line break."""
         if not words:
             return {}
-        ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(words)], add_special_tokens=False)[0].ids, np.uint32)
+        ids = np.array(self.tokenizer.encode_batch_fast([lead + lead.join(words)], add_special_tokens=False)[0].ids, np.uint32)
         ends = np.cumsum([1 + len(w.encode()) for w in words])
         cuts = np.concatenate([[0], np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 1]) * 4
         raw = ids.tobytes()
         return {w: raw[a:b] for w, a, b in zip(words, cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)}
 
-    def _learn(self, wanted: set[str]) -> dict[str, bytes]:
-        """Ids of words that are not kept; kept from now on as far as there is room."""
-        # The tokenizer always cuts between letters and the mark after them.
-        marked = {w for w in wanted if w[-1] in ".," and w[:-1].isalpha()}
-        plain = sorted((wanted - marked | {w[:-1] for w in marked}).difference(self.kept))
-        fresh: dict[str, bytes] = {}
+    def _all_units(self, wanted: set[str], lead: str, known: dict[str, bytes]) -> dict[str, bytes]:
+        """Ids of units that are not among the known ones; known from now on as far as there is room."""
+        plain, fresh = sorted(wanted.difference(known)), {}
         # In chunks, since the library takes several times a text's size while it encodes it.
         for i in range(0, len(plain), 20_000):
-            fresh.update(self._words(plain[i:i + 20_000]))
-        kept = self.kept
-        fresh.update({w: (kept.get(w[:-1]) or fresh[w[:-1]]) + self.marks[w[-1]] for w in marked})
-        if len(kept) + len(fresh) <= KEPT_WORDS:
-            kept.update(fresh)
+            fresh.update(self._units(plain[i:i + 20_000], lead))
+        if len(self.kept) + len(self.lines) + len(fresh) <= KEPT_WORDS:
+            known.update(fresh)
+        return fresh
+
+    def _learn(self, wanted: set[str]) -> dict[str, bytes]:
+        """Ids of words that are not kept."""
+        parted = {w: m.groups("") for w in wanted if (m := _marked_word(w))}
+        heads, lines = {m[0] for m in parted.values()}, {x for m in parted.values() for x in m[1:] if x}
+        again = {w for w, m in parted.items() if m[0] in self.kept}
+        fresh = self._all_units(wanted.difference(parted) | heads, " ", self.kept)
+        fresh_lines = self._all_units(lines, "\n", self.lines)
+        kept, known = self.kept, self.lines
+        made = {}
+        for w, (head, marks, line, more) in parted.items():
+            raw = (kept.get(head) or fresh[head]) + (known.get(marks) or fresh_lines[marks])[4:]
+            if line:
+                raw += known.get(line) or fresh_lines[line]
+            if more:
+                raw += (known.get(more) or fresh_lines[more])[4:]
+            made[w] = raw
+        # Kept are those whose letters were met before; many others never come again.
+        if len(kept) + len(known) + len(again) <= KEPT_WORDS:
+            kept.update((w, made[w]) for w in again)
+        fresh.update(made)
         return fresh
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        parts, kept = [t.split(" ") for t in texts], self.kept
-        wanted = set().union(*parts).difference(kept)
+    def encode(self, texts: pa.Array | list[str]) -> list[bytes]:
+        """Ids of each text. Each distinct word is looked up once; the ids are put in place with array operations."""
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        split = pc.split_pattern(texts, " ")
+        rows = split.offsets.to_numpy().astype(np.int64)
+        coded = split.values.slice(rows[0], rows[-1] - rows[0]).dictionary_encode()
+        rows, codes, words = rows - rows[0], coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = list(map(self.kept.get, words))
+        wanted = {w for w, x in zip(words, found, strict=True) if x is None}
         # A blank beside other white space is no cut; kept words have none at their ends.
-        odd = {w for w in wanted if not w or w[0].isspace() or w[-1].isspace()}
+        odd = {w for w in wanted if not w or w.strip() != w}
+        parted: dict[int, list[str]] = {}
         if odd:
-            parts = [p if odd.isdisjoint(p) else _inner_blank.split(t) for t, p in zip(texts, parts, strict=True)]
-            wanted = set().union(*parts).difference(kept)
-        wanted.difference_update([p[0] for p in parts if len(p) == 1])
-        wanted = {w for w in wanted if w and not w[0].isspace()} if odd else wanted
-        firsts = self.tokenizer.encode_batch_fast([p[0] for p in parts], add_special_tokens=False)
-        fresh, out = self._learn(wanted), []
-        for first, p in zip(firsts, parts, strict=True):
-            found = list(map(kept.get, p[1:]))
-            if None in found:
-                found = [x if x is not None else fresh[w] for x, w in zip(found, p[1:], strict=True)]
-            out.append(np.array(first.ids, np.uint32).tobytes() + b"".join(found))
+            is_odd = np.fromiter((x is None and w in odd for w, x in zip(words, found, strict=True)), bool, len(words))
+            where = np.unique(np.searchsorted(rows, np.flatnonzero(is_odd[codes]), "right") - 1)
+            parted = {i: _inner_blank.split(texts[i].as_py()) for i in where.tolist()}
+            wanted.difference_update(odd)
+        first = codes[rows[:-1]]
+        begins = [parted[i][0] if i in parted else words[c] for i, c in enumerate(first.tolist())]
+        firsts = [np.array(e.ids, np.uint32).tobytes() for e in self.tokenizer.encode_batch_fast(begins, add_special_tokens=False)]
+        # What only begins texts may be a whole text without blanks: it is of no use to others.
+        inner = np.ones(len(codes), bool)
+        inner[rows[:-1]] = False
+        used = np.bincount(codes[inner], minlength=len(words)) > 0
+        wanted.difference_update([words[c] for c in set(first.tolist()) if not used[c]])
+        wanted.update(w for p in parted.values() for w in p[1:] if w not in self.kept)
+        fresh = self._learn(wanted)
+        held = [x if x is not None else fresh.get(w, b"") for w, x in zip(words, found, strict=True)] + firsts
+        codes[rows[:-1]] = np.arange(len(firsts)) + len(words)
+        sizes = np.fromiter(map(len, held), np.int64, len(held)) // 4
+        table, taken = np.frombuffer(b"".join(held), np.uint32), sizes[codes]
+        ends = np.concatenate([[0], np.cumsum(taken)])
+        shift = np.repeat((np.cumsum(sizes) - sizes)[codes] - ends[:-1], taken)
+        raw, cuts = table[np.arange(ends[-1]) + shift].tobytes(), (ends[rows] * 4).tolist()
+        out = [raw[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        for i, p in parted.items():
+            out[i] = firsts[i] + b"".join([self.kept.get(w) or fresh[w] for w in p[1:]])
         return out
 
 
@@ -279,7 +322,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0,
 
         for part, _, _ in blocks.slices(batches):
             where = part.column("_range")[0].as_py()
-            texts = part.column("text").fill_null("").to_pylist()
+            texts = part.column("text").fill_null("")
             for doc_id, raw in zip(part.column("doc_id").fill_null(NO_ID).to_pylist(), encoder_of(tokenizer).encode(texts), strict=True):
                 held.append(raw + end)
                 ids.append(doc_id)

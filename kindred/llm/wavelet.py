@@ -34,16 +34,17 @@ def planes(sequence: np.ndarray, levels: int):
         bits = (sequence & sequence.dtype.type(1 << level)) != 0
         yield bits
         if level:
-            sequence = np.concatenate([sequence[~bits], sequence[bits]])
+            # Faster than masks, which take a branch per place.
+            sequence = np.concatenate([sequence.take(np.flatnonzero(~bits)), sequence.take(np.flatnonzero(bits))])
 
 
 def restore(bits_top_first: list[np.ndarray], n: int, kind: type = np.uint32) -> np.ndarray:
     """The sequence of given planes."""
     values = np.zeros(n, kind)
     for level, bits in enumerate(reversed(bits_top_first)):
-        zeros, back = n - int(bits.sum()), np.empty(n, kind)
-        back[~bits], back[bits] = values[:zeros], values[zeros:]
-        values = back | (bits.astype(kind) << kind(level))
+        zeros, back = n - int(np.count_nonzero(bits)), np.empty(n, kind)
+        back[np.flatnonzero(~bits)], back[np.flatnonzero(bits)] = values[:zeros], values[zeros:] | kind(1 << level)
+        values = back
     return values
 
 

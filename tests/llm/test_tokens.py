@@ -172,3 +172,27 @@ def test_pieces_of_slices_are_those_of_their_words(codec, monkeypatch, kept):
         assert spelled == [(t or "").replace("▁", " ") for t in texts]
         assert len(codec.hashes) <= max(kept, len({w for t in texts for w in pieces.marked_words(t or "")}))
     assert codec.encode(np.zeros(0, np.uint8), np.zeros(1, np.int64))[0].tolist() == []
+
+
+def test_marked_words_are_made_from_their_parts():
+    """A word with marks or a line break is not given to the library once its parts are known."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder, library = token_files.Encoder(path), Tokenizer.from_file(path)
+    plain = ["one two Éric straße x² 日本", "a, b\nÉric c### d!?"]
+    marked = ["z one, two### Éric.\nÉric!? straße'\nÉric x². 日本... it's don't.\nwe'll a--b <|endoftext|>, one.\n\nÉric one.\n",
+              "", " ", "one,", "one.\nÉric one.\nÉric", "\tone two, ", "x  one, two,"]
+    encoder.encode(plain)
+    given = []
+
+    class Counted:
+        def encode_batch_fast(self, texts, **options):
+            given.extend(texts)
+            return library.encode_batch_fast(texts, **options)
+
+    encoder.tokenizer = Counted()
+    for texts in (marked, marked[::-1], [""]):
+        for text, raw in zip(texts, encoder.encode(texts), strict=True):
+            assert np.frombuffer(raw, np.uint32).tolist() == library.encode(text, add_special_tokens=False).ids
+    given.clear()
+    encoder.encode(["z one!? Éric###\nÉric, two.\nÉric."])
+    assert not any("one" in t or "two" in t for t in given)
