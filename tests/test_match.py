@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 from collections import defaultdict
 
 import numpy as np
@@ -9,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kindred.operators import match, weigh
+from kindred.session import materialise
 
 SCHEMA = "product_id string, ingredient string, position int"
 
@@ -316,3 +318,24 @@ def test_bits_of_the_other_ingredients(spark):
         for y in held.values():
             both = x.keys() & y.keys()
             assert len(both) < 2 or all(x[i] & y[i] for i in both)
+
+
+def test_shuffled_features_carry_one_brand(spark, monkeypatch):
+    plans = {}
+
+    def kept(df, label, **options):
+        plans[label] = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+        return materialise(df, label, **options)
+
+    monkeypatch.setattr(match, "materialise", kept)
+    weighted = spark.createDataFrame(
+        [(p, i, w) for p in range(8) for i, w in ((p // 4, 1.0), (9, 0.5))], "product_id long, ingredient long, tfidf double")
+    products = spark.createDataFrame(
+        [(p, "query" if p % 2 else "match", "x" if p < 4 else f"y{p}") for p in range(8)], "product_id long, side string, brand string")
+    vectors = match.build_vectors(weighted, products, same_brand=False)
+    shuffled = re.findall(r"Exchange\nInput \[\d+\]: \[(.*?)\]", plans["features"])
+    assert any("lead_brand" in columns for columns in shuffled)
+    assert not any("only_brand" in columns for columns in shuffled)
+    # 0 to 3 are copies of one brand on each side, 4 to 7 of two.
+    assert {(r.profile, r.lead_brand, r.only_brand) for r in vectors.features.collect()} == {
+        (0, "X", "X"), (1, "X", "X"), (4, "Y4", None), (5, "Y5", None)}
