@@ -57,7 +57,7 @@ def gold_rows(silver: DataFrame, query_source: str = SOURCE_A, match_source: str
     """Gold of silver rows; ``weights`` are those of ``weigh.weigh``, unless they are known."""
     products = nest.first_per_product(silver)
     ranked = match.rank_matches(
-        weigh.weigh(silver) if weights is None else weights, nest.sides(products, query_source, match_source),
+        (lambda listed: weigh.weigh(silver, products=listed)) if weights is None else weights, nest.sides(products, query_source, match_source),
         n=n, ceiling=ceiling, pad_zero=pad_zero)
     return nest.attach_attributes(ranked, products)
 

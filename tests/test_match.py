@@ -339,3 +339,42 @@ def test_shuffled_features_carry_one_brand(spark, monkeypatch):
     # 0 to 3 are copies of one brand on each side, 4 to 7 of two.
     assert {(r.profile, r.lead_brand, r.only_brand) for r in vectors.features.collect()} == {
         (0, "X", "X"), (1, "X", "X"), (4, "Y4", None), (5, "Y5", None)}
+
+
+def test_lists_counted_with_the_weights(spark, monkeypatch):
+    """Lists that are short by their products are not shuffled again; those that are long, or are a line of one
+    of the brands of copies, are counted by profiles. The answers are the same."""
+    monkeypatch.setattr(match, "SHORT_LIST", 4)
+    shuffled = []
+
+    def kept(df, label, **options):
+        kept_rows = materialise(df, label, **options)
+        if label == "features":
+            shuffled.append(kept_rows.count())
+        return kept_rows
+
+    monkeypatch.setattr(match, "materialise", kept)
+    rows, products = catalogue(21, 90, [f"w{i}" for i in range(120)], BRANDS, copies=0.2, length=(1, 4))
+    # Copies of two brands whose list is a line of one brand on the other side, and rows for one list that is long.
+    rows += [(f"c{k}", "line", 1) for k in range(4)] + [(f"l{k}", "long", k % 3 + 1) for k in range(12)]
+    products += [(f"c{k}", "query" if k < 2 else "match", "acme" if k != 1 else "bolt") for k in range(4)]
+    products += [(f"l{k}", "query" if k % 2 else "match", BRANDS[k % 5]) for k in range(12)]
+    silver = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    sides = spark.createDataFrame(products, "product_id string, side string, brand string")
+    got = defaultdict(list)
+    for r in sorted(match.rank_matches(lambda listed: weigh.weigh(silver, products=listed), sides).collect(),
+                    key=lambda r: (r.query_id, r.rank)):
+        got[r.query_id].append((r.match_id, r.similarity))
+    assert dict(got) == dense_ranking(rows, products)
+    assert 0 < shuffled[0] < len(set(rows)) / 2
+
+
+def test_list_lengths(spark):
+    cells = spark.createDataFrame([("a1", "x"), ("a2", "x"), ("b1", "x"), ("b2", "x"), ("a1", "y"), ("b1", "z"), ("un", "x")],
+                                  "product_id string, ingredient string")
+    products = spark.createDataFrame([("a1", "query", "K"), ("a2", "query", "k"), ("b1", "match", None), ("b2", "match", "k"),
+                                      ("b2", "match", "m")], "product_id string, side string, brand string")
+    got = {r.ingredient: r for r in match.list_lengths(cells, products, F.count("product_id").alias("n")).collect()}
+    assert {i: (r.postings, r.n) for i, r in got.items()} == {"x": (2, 5), "y": (0, 1), "z": (0, 1)}
+    assert got["x"].query_line is not None and got["x"].match_line is None
+    assert got["x"].query_line == got["y"].query_line != got["z"].match_line
