@@ -378,3 +378,61 @@ def test_list_lengths(spark):
     assert {i: (r.postings, r.n) for i, r in got.items()} == {"x": (2, 5), "y": (0, 1), "z": (0, 1)}
     assert got["x"].query_line is not None and got["x"].match_line is None
     assert got["x"].query_line == got["y"].query_line != got["z"].match_line
+
+
+def test_cells_are_dealt_by_ingredient_once(spark):
+    """Lists are counted where the cells meet their ingredient: no sums by task are shuffled beside them, which are
+    as many rows as the cells in a large catalogue. The counts are those of ``list_lengths``."""
+    rows, products = catalogue(31, 80, WORDS, BRANDS, length=(1, 4))
+    products += [("p0001", "match", "other"), ("p0002", "match", "acme"), ("p0003", "query", None)]
+    silver = spark.createDataFrame(rows, SCHEMA)
+    sides = spark.createDataFrame(products, "product_id string, side string, brand string")
+    weighted = weigh.weigh(silver, products=sides)
+    plan = weighted._sc._jvm.PythonSQLUtils.explainString(weighted._jdf.queryExecution(), "simple")
+    assert len(re.findall(r"Exchange hashpartitioning\(ingredient", plan)) == 1
+    plain = {(r.product_id, r.ingredient): r.tfidf for r in weigh.weigh(silver).collect()}
+    lists = {r.ingredient: r for r in match.list_lengths(weigh.cells(silver), sides).collect()}
+    named = {r.h for r in sides.select(F.xxhash64(match.brand_key("brand")).alias("h")).collect()}
+    got = weighted.collect()
+    assert {(r.product_id, r.ingredient): r.tfidf for r in got} == plain
+    for r in got:
+        known = lists[r.ingredient]
+        assert r.postings == known.postings
+        for line in ("match_line", "query_line"):  # a hash of several brands is no brand's
+            assert known[line] == (r[line] if r[line] in named else None)
+
+
+@pytest.mark.parametrize("seed, options", [(1, {}), (3, {"copies": 0.5}), (4, {"hot": ("aqua",), "copies": 0.3, "length": (0, 3)})])
+@pytest.mark.parametrize("short", [4, 32])
+def test_copies_that_stay_apart(spark, monkeypatch, seed, options, short):
+    """Where copies are few, nothing is written again for them and no representative is looked up."""
+    monkeypatch.setattr(match, "SHORT_LIST", short)
+    monkeypatch.setattr(match, "BANDED_LENGTH", 8)
+    monkeypatch.setattr(match, "FEW_COPIES", 1000)
+    monkeypatch.setattr(match, "RARE_COPIES", 0)
+    written = []
+    monkeypatch.setattr(match, "materialise", lambda df, label, **o: written.append(label) or materialise(df, label, **o))
+    rows, products = catalogue(seed, 120, WORDS, BRANDS, **options)
+    known = {p for p, _, _ in rows}
+    products = [p for p in products if p[0] in known]
+    assert ranked(spark, rows, products) == dense_ranking(rows, products)
+    assert not {"profiles", "copied", "representatives", "large"} & set(written)
+
+
+def test_which_copies_stay_apart(spark):
+    def built(rows, products):
+        return match.build_vectors(weigh.weigh(spark.createDataFrame(rows, SCHEMA)), spark.createDataFrame(
+            products, "product_id string, side string, brand string"), same_brand=False)
+
+    rows = [(f"p{k:03d}", f"w{(k // 2) % 60}", 1) for k in range(160)] + [(f"p{k:03d}", f"x{k // 4}", 2) for k in range(160)]
+    products = [(f"p{k:03d}", "query" if k % 2 else "match", f"b{k % 7}") for k in range(160)]
+    few = [("c1", "w1", 1), ("c2", "w1", 1)], [("c1", "match", "b1"), ("c2", "match", "b2")]
+    vectors = built(rows + few[0], products + few[1])
+    assert vectors.single and vectors.members.filter("profile != product_id").isEmpty()
+    many = [(f"c{k}", "w1", 1) for k in range(10)], [(f"c{k}", "match", "b1") for k in range(10)]
+    vectors = built(rows + many[0], products + many[1])
+    assert not vectors.single and vectors.members.filter("profile = 'c0'").count() == 10
+    # A product of two brands has one profile, which is of no one brand.
+    vectors = built(rows, products + [("p000", "match", "other")])
+    assert not vectors.single
+    assert {r.only_brand for r in vectors.features.filter("profile = 'p000'").collect()} == {None}
