@@ -15,6 +15,9 @@ from kindred.session import materialise
 
 #: Copies of one record expanded by a single task at most.
 COPIES_PER_TASK = 10_000
+#: So many repeated contents (two hashes and a number each) are looked up where the texts are read;
+#: more are joined, which shuffles the texts.
+LOOKED_UP = 1_000_000
 
 
 def project_trim(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
@@ -72,7 +75,8 @@ def add_stable_id(df: DataFrame, source: str | Column, key: str = "url", columns
 
     The same rows get the same ids in any run and partitioning. Rows are written once with
     two hashes of their content, by which contents are counted, so no text is shuffled to
-    find out that it has no copy: such rows get their id where they are read. Only contents that do repeat are grouped as such
+    find out that it has no copy: such rows get their id where they are read (a plan made before the repeated contents
+    are counted would shuffle them, so these are written first). Only contents that do repeat are grouped as such
     (one partial row per map task, however many copies there are), then spread again
     in slices, so no task expands an unbounded group. ``earlier`` (``copy_counts`` of
     rows that came before) lets the numbers go on from there.
@@ -80,7 +84,7 @@ def add_stable_id(df: DataFrame, source: str | Column, key: str = "url", columns
     columns = list(columns or df.columns)
     source = F.lit(source) if isinstance(source, str) else source
     k1, k2 = content_key(columns)
-    keyed = materialise(df.select(*columns, k1, k2), "keyed")
+    keyed = materialise(df.select(*columns, k1, k2), "keyed", codec="zstd")
     counts = keyed.groupBy("_k1", "_k2").agg(F.count(F.lit(1)).alias("copies"))
     if earlier is None:
         again = counts.filter("copies > 1").select("_k1", "_k2", F.lit(0).cast("bigint").alias("_before"))
@@ -88,6 +92,8 @@ def add_stable_id(df: DataFrame, source: str | Column, key: str = "url", columns
         known = earlier.groupBy("_k1", "_k2").agg(F.sum("copies").alias("_before"))
         again = counts.join(known, ["_k1", "_k2"], "left").filter("copies > 1 OR _before IS NOT NULL").select(
             "_k1", "_k2", F.coalesce("_before", F.lit(0)).alias("_before"))
+    again = materialise(again, "again")
+    again = F.broadcast(again) if again.count() <= LOOKED_UP else again
     one = keyed.join(again, ["_k1", "_k2"], "left_anti").select(*columns, F.lit(1).cast("bigint").alias("_copy"))
     many = keyed.join(again, ["_k1", "_k2"]).groupBy("_k1", "_k2").agg(
         F.first(F.struct(*columns)).alias("_row"), F.count(F.lit(1)).alias("_copies"),

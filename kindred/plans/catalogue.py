@@ -54,12 +54,18 @@ def _listings(spark: SparkSession, at: Layout, given: dict[str, DataFrame]) -> d
 def gold_rows(silver: DataFrame, query_source: str = SOURCE_A, match_source: str = SOURCE_B,
               n: int = match.TOP_N, ceiling: float = match.SAME_PRODUCT,
               pad_zero: bool = True, weights: DataFrame | None = None) -> DataFrame:
-    """Gold of silver rows; ``weights`` are those of ``weigh.weigh``, unless they are known."""
+    """Gold of silver rows; ``weights`` are those of ``weigh.weigh``, if they are known. If not, numbers stand for the
+    products and hashes for the ingredients until the answers are ranked."""
     products = nest.first_per_product(silver)
-    ranked = match.rank_matches(
-        (lambda listed: weigh.weigh(silver, products=listed)) if weights is None else weights, nest.sides(products, query_source, match_source),
-        n=n, ceiling=ceiling, pad_zero=pad_zero)
-    return nest.attach_attributes(ranked, products)
+    options = {"n": n, "ceiling": ceiling, "pad_zero": pad_zero}
+    if weights is not None:
+        ranked = match.rank_matches(weights, nest.sides(products, query_source, match_source), **options)
+        return nest.attach_attributes(ranked, products)
+    products = nest.with_numbers(products)
+    numbers = products.drop("product_id").withColumnRenamed("number", "product_id")
+    ranked = match.rank_matches(lambda listed: weigh.weigh_numbered(silver, products, listed),
+                                nest.sides(numbers, query_source, match_source), **options)
+    return nest.attach_attributes(ranked, products, "number")
 
 
 def refresh_gold(spark: SparkSession, at: Layout, **options) -> DataFrame:

@@ -12,7 +12,7 @@ from kindred.plans.adapters import (
 from kindred.plans.catalogue import gold_rows
 from kindred.plans.registry import query
 from kindred.plans.text_queries import STAGES_SQL
-from kindred.session import materialise
+from kindred.session import materialise_alone
 
 #: Similarity floor of the registered pair query.
 PAIR_FLOOR = 0.5
@@ -65,5 +65,5 @@ SELECT 'https://shop.example/' || CAST(a AS VARCHAR) AS query_url, CAST(rank AS
 
 @query("gold_documents", DOCUMENT_SQL)
 def gold_documents(spark, sf_dir):
-    silver = materialise(document_silver(spark, sf_dir), "silver")
+    silver = materialise_alone(lambda: document_silver(spark, sf_dir), "silver", codec="zstd")
     return gold_rows(silver, pad_zero=False).select("query_url", "rank", "cosine_similarity")

@@ -9,7 +9,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from kindred.operators import match, weigh
+from kindred.operators import match, nest, weigh
+from kindred.plans import catalogue as job
 from kindred.session import materialise
 
 SCHEMA = "product_id string, ingredient string, position int"
@@ -436,3 +437,57 @@ def test_which_copies_stay_apart(spark):
     vectors = built(rows, products + [("p000", "match", "other")])
     assert not vectors.single
     assert {r.only_brand for r in vectors.features.filter("profile = 'p000'").collect()} == {None}
+
+
+def test_numbers_and_hashes_stand_for_ids_and_texts(spark, monkeypatch):
+    """Gold goes through the matching without long ids or ingredient texts, and the answers are the same, ties and
+    zero padding by the order of the ids included."""
+    types = []
+    rank = match.rank_matches
+
+    def seen(weighted, products, **options):
+        def weigh_it(listed):
+            rows = weighted(listed)
+            types.append((listed.schema["product_id"].dataType, rows.schema["product_id"].dataType, rows.schema["ingredient"].dataType))
+            return rows
+        return rank(weigh_it, products, **options)
+
+    monkeypatch.setattr(match, "rank_matches", seen)
+    rows, products = catalogue(41, 110, WORDS, BRANDS, copies=0.3, hot=("aqua",), length=(1, 5))
+    rows = [(p[::-1], w, i) for p, w, i in rows] + [("9zzz", None, 1)]  # ids whose order is not that of the rows
+    products = [(p[::-1], s, b) for p, s, b in products] + [("9zzz", "match", "bolt")]
+    of = {p: (s, b) for p, s, b in products}
+    silver = spark.createDataFrame(
+        [(p, "a" if of[p][0] == "query" else "b", of[p][1], f"n{p}", 1.0, f"u{p}", w, i) for p, w, i in rows + rows[:40]],
+        "product_id string, source string, brand string, product_name string, price_eur float, url string, "
+        "ingredient string, position int").repartition(4)
+    for pad in (False, True):
+        gold = job.gold_rows(silver, pad_zero=pad).collect()
+        plain = rank(weigh.weigh(silver), nest.sides(nest.first_per_product(silver), "a", "b"), pad_zero=pad).collect()
+        assert sorted((r.query_id, r.rank, r.match_id, r.cosine_similarity) for r in gold) == sorted(
+            (r.query_id, r.rank, r.match_id, pytest.approx(r.similarity, abs=1e-4)) for r in plain)
+        assert all((r.query_url, r.match_url) == (f"u{r.query_id}", f"u{r.match_id}") for r in gold)
+    assert {t.simpleString() for seen_types in types for t in seen_types} == {"bigint"}
+
+
+def test_ingredients_of_one_hash_are_told_apart(spark):
+    cells = spark.createDataFrame([(1, 7, 1, 1.0, 5, None), (2, 7, 1, 1.0, None, 6), (1, 7, 2, 2.0, 5, None), (2, 8, 1, 2.0, None, 6)],
+                                  "product_id long, ingredient long, second long, position double, held_by long, asked_by long")
+    got = match.counted_lists(cells, "second").collect()
+    assert sorted((r.product_id, r.position, r.doc_freq, r.postings) for r in got) == [
+        (1, 1.0, 2, 1), (1, 2.0, 1, 0), (2, 1.0, 2, 1), (2, 2.0, 1, 0)]
+    assert len({r.ingredient for r in got}) == 3 and [r.ingredient for r in got if r.position == 2.0 and r.product_id == 2] == [8]
+
+
+def test_numbered_weights_are_the_weights(spark):
+    rows, products = catalogue(43, 60, WORDS, BRANDS, length=(1, 4))
+    silver = spark.createDataFrame(rows, SCHEMA)
+    numbered = nest.with_numbers(spark.createDataFrame(products, "product_id string, side string, brand string"))
+    listed = numbered.select(F.col("number").alias("product_id"), "side", "brand")
+    weighted = weigh.weigh_numbered(silver, numbered, listed)
+    by_id = {r.number: r.product_id for r in numbered.collect()}
+    got = sorted((by_id[r.product_id], r.position, r.doc_freq, round(r.tfidf, 12), r.postings) for r in weighted.collect())
+    plain = weigh.weigh(silver, products=listed.join(numbered.select("product_id", "number").withColumnRenamed("product_id", "id"),
+                                                     F.col("product_id") == F.col("number")).select(
+        F.col("id").alias("product_id"), "side", "brand"))
+    assert got == sorted((r.product_id, r.position, r.doc_freq, round(r.tfidf, 12), r.postings) for r in plain.collect())

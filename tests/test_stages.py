@@ -363,3 +363,45 @@ def test_nesting_after_the_look_ups_needs_no_shuffle(spark):
         for key, value in held.items():
             spark.conf.set(key, value)
     assert got == {"0": ("n0", ["n1", "n3"]), "2": ("n2", ["n5"])}
+
+
+def test_texts_without_a_copy_are_not_shuffled_for_their_ids(spark):
+    """The repeated contents are known before the texts are read again, whatever the planner takes for small."""
+    rows = spark.createDataFrame([(f"u{i % 40}", f"text {i % 40}") for i in range(43)], "url string, t string")
+    held = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        got = bronze.add_stable_id(rows, "a")
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+        assert len({r.product_id for r in got.collect()}) == 43
+    finally:
+        for key, value in held.items():
+            spark.conf.set(key, value)
+
+
+def test_repeated_contents_beyond_those_looked_up(spark, monkeypatch):
+    rows = spark.createDataFrame([(f"u{i % 20}", f"text {i % 20}") for i in range(33)], "url string, t string")
+    ids = sorted(r.product_id for r in bronze.add_stable_id(rows, "a").collect())
+    monkeypatch.setattr(bronze, "LOOKED_UP", 1)
+    assert sorted(r.product_id for r in bronze.add_stable_id(rows, "a").collect()) == ids and len(set(ids)) == 33
+
+
+def test_numbers_keep_the_order_of_ids(spark):
+    products = spark.createDataFrame([(f"p{i * 7919 % 1000}", str(i)) for i in range(1000)], "product_id string, brand string")
+    got = sorted(nest.with_numbers(products.repartition(7)).collect(), key=lambda r: r.number)
+    assert [r.product_id for r in got] == sorted(f"p{i}" for i in range(1000))
+    assert {(r.product_id, r.brand) for r in got} == {tuple(r) for r in products.collect()}
+
+
+def test_tables_on_the_way_go(spark):
+    made = []
+
+    def make():
+        made.append(session.materialise(spark.range(5), "way").inputFiles()[0])
+        return spark.read.parquet(made[0].rsplit("/", 1)[0]).withColumn("x", F.col("id") * 2)
+
+    kept = session.materialise_alone(make, "kept")
+    assert kept.count() == 5 and not session.files_below(spark, session.shared_dir(spark)).count(made[0].split("/kindred/")[-1])
+    assert not session.matching(spark, made[0])
