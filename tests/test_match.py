@@ -491,3 +491,37 @@ def test_numbered_weights_are_the_weights(spark):
                                                      F.col("product_id") == F.col("number")).select(
         F.col("id").alias("product_id"), "side", "brand"))
     assert got == sorted((r.product_id, r.position, r.doc_freq, round(r.tfidf, 12), r.postings) for r in plain.collect())
+
+
+def mostly_own(seed, n):
+    """Lists whose first ingredients no other product has, as sentences of texts: the shared ones weigh little."""
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(40)]
+    rows, products = [], []
+    for k in range(n):
+        p = f"p{k:04d}"
+        own = rng.choice((0, 2, 6, 12))
+        rows += [(p, f"{p}-{i}", i + 1) for i in range(own)]
+        rows += [(p, w, own + i + 1) for i, w in enumerate(rng.sample(words, rng.randint(2, 9)))]
+        products.append((p, "query" if k % 2 == 0 else "match", rng.choice(BRANDS)))
+    return rows, products
+
+
+def test_light_shared_ingredients(spark, monkeypatch):
+    """Where most of a vector is its own, floors and bands go by the shared part, and what is met proves floors before it
+    is written: few pairs are left."""
+    monkeypatch.setattr(match, "SHORT_LIST", 4)
+    monkeypatch.setattr(match, "BANDED_LENGTH", 8)
+    written = {}
+
+    def kept(df, label, **how):
+        out = materialise(df, label, **how)
+        written[label] = out.count()
+        return out
+
+    monkeypatch.setattr(match, "materialise", kept)
+    rows, products = mostly_own(51, 300)
+    assert ranked(spark, rows, products, pad_zero=False) == dense_ranking(rows, products, pad=False)
+    queries = sum(s == "query" for _, s, _ in products)
+    assert written["met"] < 8 * queries
+    assert written["probes"] < 60 * queries

@@ -405,3 +405,10 @@ def test_tables_on_the_way_go(spark):
     kept = session.materialise_alone(make, "kept")
     assert kept.count() == 5 and not session.files_below(spark, session.shared_dir(spark)).count(made[0].split("/kindred/")[-1])
     assert not session.matching(spark, made[0])
+
+
+def test_shuffle_files_go_with_the_job(spark):
+    before = spark.conf.get(session.CLEANUP_KEY, None)
+    rows = spark.range(1000).selectExpr("id % 7 AS k").repartition("k").groupBy("k").count()
+    assert session.materialise(rows, "counted").count() == 7
+    assert spark.conf.get(session.CLEANUP_KEY, None) == before
